@@ -29,6 +29,9 @@ SETTINGS = Settings(
 )
 
 
+SCHEMAS = {}
+
+
 def c(name: str):
     return F.col(name)
 
@@ -44,7 +47,11 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One given table. Its schema is read once, not once for each use."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in SCHEMAS:
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
     def buyers(self) -> DataFrame:
         return self.raw("orders").join(self.raw("customer"), c("o_custkey") == c("c_custkey"))

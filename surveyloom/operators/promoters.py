@@ -52,35 +52,46 @@ MEASURES = (
 SCORE_COLUMNS = ("opt_ltr_score", "sun_ltr_score", "product_ltr_score", "score")
 
 
-def line_flags() -> dict[str, Column]:
-    """What one receipt line says about the six products."""
+def pack(tests: Sequence[Column]) -> Column:
+    """Booleans as the bits of one integer: one column to shuffle and to aggregate."""
+    packed = F.lit(0)
+    for i, test in enumerate(tests):
+        packed = packed.bitwiseOR(F.when(test, 1 << i).otherwise(0))
+    return packed
+
+
+def bit(packed: Column, i: int) -> Column:
+    return F.shiftright(packed, i).bitwiseAND(F.lit(1))
+
+
+def line_flags() -> list[Column]:
+    """What one receipt line says about the six products, in the order of `FLAGS`."""
     c = F.col
     lens_only = any_flag(c("lens_focal_type"), c("lens_only_ophth"), c("lens_only_sun"))
-    return {
-        "optical_flag": any_flag(c("complete_ophth"), c("complete_sun"), lens_only, c("frame_only_ophth")),
-        "plano_flag": any_flag(c("plano_sun")),
-        "contact_lens_flag": any_flag(c("contact_lens")),
-        "dr_service_exams_flag": any_flag(c("dr_service_exams")),
-        "accessory_flag": any_flag(c("accessory")),
-        "reader_flag": any_flag(c("reader")),
-    }
+    return [
+        any_flag(c("complete_ophth"), c("complete_sun"), lens_only, c("frame_only_ophth")),
+        any_flag(c("plano_sun")),
+        any_flag(c("contact_lens")),
+        any_flag(c("dr_service_exams")),
+        any_flag(c("accessory")),
+        any_flag(c("reader")),
+    ]
 
 
 def receipt_flags(receipts: DataFrame) -> DataFrame:
-    """One row of six flags per receipt that has any.
+    """One row per receipt that raises any flag, with the flags packed.
 
     The lines are reduced before they meet the surveys: lines that raise no flag drop in
     the scan, the rest combine in each task, so a receipt with very many lines costs no
     more than any other.
     """
-    flags = line_flags()
-    lines = receipts.select("receipt_h_hid", *[e.alias(n) for n, e in flags.items()])
-    marked = lines.filter(F.col("receipt_h_hid").isNotNull() & any_flag(*[F.col(n) for n in FLAGS]))
-    return marked.groupBy("receipt_h_hid").agg(*[F.bool_or(n).alias(n) for n in FLAGS])
+    lines = receipts.select("receipt_h_hid", pack(line_flags()).alias("flags"))
+    marked = lines.filter((F.col("flags") != 0) & F.col("receipt_h_hid").isNotNull())
+    return marked.groupBy("receipt_h_hid").agg(F.bit_or("flags").alias("flags"))
 
 
 def product_flags(surveys: DataFrame, receipts: DataFrame) -> DataFrame:
-    """Six flags per survey and dimensions: true if any line of any receipt raises it.
+    """Packed flags per survey and dimensions: set if any line of any receipt raises it.
 
     `surveys` holds the dimensions, `survey_h_hid` and `receipt_h_hid`. The result is
     partitioned by survey, which the join with the answers and the count per survey use
@@ -91,11 +102,21 @@ def product_flags(surveys: DataFrame, receipts: DataFrame) -> DataFrame:
         flagged.withColumn("_survey", spread_nulls(F.col("survey_h_hid"), *SURVEY_DIMENSIONS))
         .repartition("_survey")
         .groupBy("_survey", *SURVEY_DIMENSIONS)
-        .agg(*[F.coalesce(F.bool_or(n), F.lit(False)).alias(n) for n in FLAGS])
-        .withColumn("survey_h_hid", F.when(~F.col("_survey").startswith(NO_KEY), F.col("_survey")))
+        .agg(F.coalesce(F.bit_or("flags"), F.lit(0)).alias("flags"))
     )
 
 
+def survey_id() -> Column:
+    """The survey id of a frame that `product_flags` made; null where there was none."""
+    return F.when(~F.col("_survey").startswith(NO_KEY), F.col("_survey"))
+
+
+def unpack_flags(df: DataFrame) -> DataFrame:
+    """The packed flags as six boolean columns."""
+    flags = {name: bit(F.col("flags"), i) == 1 for i, name in enumerate(FLAGS)}
+    return df.withColumns(flags).drop("flags")
+
+
 def with_scores(
     flagged: DataFrame,
     answers: DataFrame,
@@ -115,49 +136,58 @@ def with_scores(
     return joined.withColumn("survey_type", family_of(F.col("survey_type"), families))
 
 
-def promoter_counts(scored: DataFrame) -> DataFrame:
-    """Distinct surveys per dimensions and flags, by kind of answer.
+def survey_marks(scored: DataFrame) -> DataFrame:
+    """One row per survey, dimensions and flags, with nine 0/1 marks named as the measures.
 
-    Nine distinct counts in one plan would copy each row nine times. Here the rows of one
-    survey fold to nine 0/1 marks first, inside the partitioning that the join left, and
-    the marks are summed.
+    A count of distinct surveys is a sum of these marks. Nine distinct counts in one plan
+    would copy each row nine times; this folds the rows of one survey inside the
+    partitioning that the join left.
     """
     has_id = ~F.col("_survey").startswith(NO_KEY)
     score, doctor = F.col("score"), F.col("doctor_score")
-    tests = {
-        "survey_sent": has_id,
-        "voters": has_id & score.isNotNull(),
-        "detractors": has_id & score.isin(*S.DETRACTOR_SCORES),
-        "passive": has_id & score.isin(*S.PASSIVE_SCORES),
-        "promoters": has_id & score.isin(*S.PROMOTER_SCORES),
-        "doctor_voters": has_id & doctor.isin(*S.VALID_SCORES),
-        "doctor_detractors": has_id & doctor.isin(*S.DETRACTOR_SCORES),
-        "doctor_passive": has_id & doctor.isin(*S.PASSIVE_SCORES),
-        "doctor_promoters": has_id & doctor.isin(*S.PROMOTER_SCORES),
-    }
-    marks = [F.max(F.when(test, 1).otherwise(0)).alias(name) for name, test in tests.items()]
-    keys = (*SURVEY_DIMENSIONS, *FLAGS)
-    per_survey = scored.groupBy("_survey", *keys).agg(*marks)
-    return per_survey.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    tests = [
+        has_id,
+        has_id & score.isNotNull(),
+        has_id & score.isin(*S.DETRACTOR_SCORES),
+        has_id & score.isin(*S.PASSIVE_SCORES),
+        has_id & score.isin(*S.PROMOTER_SCORES),
+        has_id & doctor.isin(*S.VALID_SCORES),
+        has_id & doctor.isin(*S.DETRACTOR_SCORES),
+        has_id & doctor.isin(*S.PASSIVE_SCORES),
+        has_id & doctor.isin(*S.PROMOTER_SCORES),
+    ]
+    keys = (*SURVEY_DIMENSIONS, "flags")
+    folded = scored.groupBy("_survey", *keys).agg(F.bit_or(pack(tests)).alias("_marks"))
+    marks = [bit(F.col("_marks"), i).cast("bigint").alias(name) for i, name in enumerate(MEASURES)]
+    return folded.select(*keys, *marks)
+
+
+def promoter_counts(marks: DataFrame) -> DataFrame:
+    """Distinct surveys per dimensions and flags, by kind of answer."""
+    return marks.groupBy(*SURVEY_DIMENSIONS, "flags").agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
 def product_rollup(counts: DataFrame, cutover: dt.date = S.EXAM_CUTOVER) -> DataFrame:
-    """Sums per product view. The views overlap: a row counts in each view it qualifies for.
+    """Sums per product view, from marks or from counts.
 
-    The examination view takes, before the cut-over, surveys of the examination family
-    only. Counts are sums of the distinct counts, by design.
+    The views overlap: a row counts in each view it qualifies for. The examination view
+    takes, before the cut-over, surveys of the examination family only. Sums are taken
+    over the dimensions and flags, so a survey under two sets of flags counts twice in
+    the overall view, by design.
     """
-    c = F.col
-    exam_rule = dated_rule(c("fiscal_date"), cutover, c("survey_type") == S.EXAM_FAMILY, F.lit(True))
+    flag = lambda name: bit(F.col("flags"), FLAGS.index(name)) == 1
+    exam_rule = dated_rule(
+        F.col("fiscal_date"), cutover, F.col("survey_type") == S.EXAM_FAMILY, F.lit(True)
+    )
     views = F.array_compact(
         F.array(
             F.lit("OVERALL"),
-            F.when(c("optical_flag"), "OPTICAL"),
-            F.when(c("plano_flag"), "PLANO SUN"),
-            F.when(c("contact_lens_flag"), "CONTACTS"),
-            F.when(c("accessory_flag"), "ACCESSORY"),
-            F.when(c("reader_flag"), "READER"),
-            F.when(c("dr_service_exams_flag") & exam_rule, "DR EXAM"),
+            F.when(flag("optical_flag"), "OPTICAL"),
+            F.when(flag("plano_flag"), "PLANO SUN"),
+            F.when(flag("contact_lens_flag"), "CONTACTS"),
+            F.when(flag("accessory_flag"), "ACCESSORY"),
+            F.when(flag("reader_flag"), "READER"),
+            F.when(flag("dr_service_exams_flag") & exam_rule, "DR EXAM"),
         )
     )
     viewed = counts.select(*SURVEY_DIMENSIONS, F.explode(views).alias("product"), *MEASURES)

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from surveyloom.functions.codes import channel_of, period_key
 from surveyloom.functions.dates import in_previous_months
 from surveyloom.operators import promoters as P
-from surveyloom.operators.dimensions import banner_prep, left_join_sparse, with_fiscal_period
+from surveyloom.operators.dimensions import (
+    banner_prep,
+    checked_broadcast,
+    left_join_sparse,
+    with_fiscal_period,
+)
 from surveyloom.operators.merging import replace_by_key, replace_by_text_key
 from surveyloom.settings import Settings
 from surveyloom.sources.tables import Sources
@@ -60,10 +65,12 @@ def surveys_with_header(invitations: DataFrame, sources: Sources) -> DataFrame:
     headers = sources.read("transaction_headers").select(
         "txnheader_h_hid", "distribution_channel", "sales_organization", "site_h_hid", "receipt_h_hid"
     )
-    banners = banner_prep(
-        sources.read("dim_distribution_channel_country"),
-        sources.read("dim_country"),
-        sources.read("dim_brand_type"),
+    banners = checked_broadcast(
+        banner_prep(
+            sources.read("dim_distribution_channel_country"),
+            sources.read("dim_country"),
+            sources.read("dim_brand_type"),
+        )
     )
     sites = sources.read("sites").select("site_h_hid", "site_name")
     joined = left_join_sparse(invitations, headers, "txnheader_h_hid", "survey_h_hid")
@@ -95,8 +102,8 @@ def promoter_scorecard(
     strict: bool = False,
 ) -> DataFrame:
     """Counts and scores per day, dimensions and product view."""
-    counts = P.promoter_counts(scored_surveys(sources, settings, as_of, months, strict))
-    rollup = P.product_rollup(counts, settings.exam_cutover)
+    marks = P.survey_marks(scored_surveys(sources, settings, as_of, months, strict))
+    rollup = P.product_rollup(marks, settings.exam_cutover)
     in_scope = rollup.filter(~F.col("distribution_channel").isin(*settings.excluded_channels))
     return P.with_promoter_scores(in_scope).select(*OUTPUT)
 
