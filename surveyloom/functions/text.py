@@ -32,7 +32,7 @@ def prefix_label(col: Column, rules: Sequence[tuple[str, str]]) -> Column:
 
 
 def clean_token(col: Column) -> Column:
-    """Delete the punctuation marks that the word list strips; other symbols stay."""
+    """Delete the punctuation marks that word rows strip; other symbols stay."""
     return F.translate(col, TOKEN_SYMBOLS, "")
 
 
@@ -43,8 +43,8 @@ def words_of(col: Column) -> Column:
 
 def token_set(col: Column, min_length: int = MIN_TOKEN_LENGTH) -> Column:
     """Distinct cleaned, lower-cased words of a text, as an array."""
-    cleaned = F.transform(words_of(col), lambda w: F.lower(clean_token(w)))
-    return F.array_distinct(F.filter(cleaned, lambda w: F.length(w) >= min_length))
+    words = words_of(F.lower(clean_token(col)))
+    return F.array_distinct(F.filter(words, lambda w: F.length(w) >= min_length))
 
 
 def keyword_hits(tokens: Column, lang: Column, keywords: dict[str, Iterable[str]]) -> Column:

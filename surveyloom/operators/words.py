@@ -16,11 +16,11 @@ def explode_words(
 ) -> DataFrame:
     """One row per occurrence of a word: cleaned, long enough, lower case.
 
-    The length is taken after the symbols are stripped. A null text gives no rows.
+    The symbols are stripped from the whole text before it is cut, which gives the same
+    words; the length is taken after that. A null text gives no rows.
     """
-    tokens = df.select(*keep, F.explode(words_of(F.col(text_col))).alias("_token"))
-    cleaned = tokens.withColumn("word", clean_token(F.col("_token"))).drop("_token")
-    return cleaned.filter(F.length("word") >= min_length).withColumn("word", F.lower("word"))
+    words = df.select(*keep, F.explode(words_of(clean_token(F.col(text_col)))).alias("word"))
+    return words.filter(F.length("word") >= min_length).withColumn("word", F.lower("word"))
 
 
 def remove_stopwords(df: DataFrame, stopwords: Iterable[str] | DataFrame, word_col: str = "word") -> DataFrame:

@@ -124,8 +124,8 @@ class Routing:
 class Similarity:
     """Banding and threshold of the similarity links."""
 
-    bands: int = 10
-    rows_per_band: int = 3
+    bands: int = 16
+    rows_per_band: int = 4
     threshold: float = 0.6
 
     @property
