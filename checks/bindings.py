@@ -37,7 +37,9 @@ def c(name: str):
 
 
 def two_digits(name: str):
-    return F.lpad(c(name).cast("string"), 2, "0")
+    """The number as text with at least two digits."""
+    text = c(name).cast("string")
+    return F.when(F.length(text) < 2, F.lpad(text, 2, "0")).otherwise(text)
 
 
 class Tables:
@@ -227,7 +229,7 @@ class Tables:
         tail = F.when(c("n_chars") % 2 == 1, " extra").otherwise("")
         return self.raw("documents").select(
             c("doc_id").cast("string").alias("survey_h_hid"),
-            F.lpad(c("doc_id").cast("string"), 2, "0").alias("survey_id"),
+            two_digits("doc_id").alias("survey_id"),
             F.date_add(F.lit(dt.date(2024, 1, 1)), (c("doc_id") % 30).cast("int")).cast("timestamp").alias("invitation_date"),
             c("source").alias("brand_id"),
             F.when(lang == "en", text).alias("opt_ltr_followup_comment"),
@@ -255,7 +257,7 @@ class Tables:
             return (
                 F.when(style == 0, body(key))
                 .when(style == 1, F.concat(F.lit(" ```json "), body(key), F.lit(" ``` ")))
-                .when(style == 2, F.concat(F.lit("```json\n"), body(key), F.lit("\n```")))
+                .when(style == 2, F.concat(F.lit('```json\n{\n"' + key + '": "'), payload, F.lit('"\n}\n```')))
                 .when(style == 3, F.concat(F.lit("I would say "), payload))
                 .otherwise(F.concat(F.lit('{"' + key + '": {"x": "'), payload, F.lit('"}}')))
             )
@@ -281,7 +283,7 @@ class Tables:
     def events(self) -> DataFrame:
         return self.raw("events").select(
             "event_id",
-            F.lpad(c("event_id").cast("string"), 2, "0").alias("survey_id"),
+            two_digits("event_id").alias("survey_id"),
             c("ts").cast("timestamp").alias("ts"),
             "user_id",
             c("event_type").alias("category"),

@@ -101,9 +101,10 @@ def _digest(text: str) -> int:
     return int(hashlib.md5(text.encode("utf-8")).hexdigest()[:7], 16)
 
 
-def _fence(body: str, style: int) -> str:
-    """Bare, fenced on one line, or fenced over three lines."""
-    return (body, f"```json {body} ```", f"```json\n{body}\n```")[style]
+def _reply(key: str, value: str, style: int) -> str:
+    """A JSON object: bare, fenced on one line, or fenced and spread over lines."""
+    member = f"{json.dumps(key)}: {json.dumps(value, ensure_ascii=False)}"
+    return (f"{{{member}}}", f"```json {{{member}}} ```", f"```json\n{{\n{member}\n}}\n```")[style]
 
 
 def offline_translator(instruction: str = TRANSLATE_PROMPT) -> ClientFactory:
@@ -112,10 +113,7 @@ def offline_translator(instruction: str = TRANSLATE_PROMPT) -> ClientFactory:
     def build() -> Client:
         def call(prompts: Sequence[str], options: ModelOptions) -> list[str]:
             texts = [p.removeprefix(instruction) for p in prompts]
-            return [
-                _fence(json.dumps({"translation": f"[en] {t}"}, ensure_ascii=False), _digest(t) % 3)
-                for t in texts
-            ]
+            return [_reply("translation", f"[en] {t}", _digest(t) % 3) for t in texts]
 
         return call
 
@@ -129,9 +127,7 @@ def offline_categoriser(labels: Sequence[str] = CATEGORY_LABELS, instruction: st
     def build() -> Client:
         def call(prompts: Sequence[str], options: ModelOptions) -> list[str]:
             digests = [_digest(p.removeprefix(head)) for p in prompts]
-            return [
-                _fence(json.dumps({"Comment Category": labels[d % len(labels)]}), d % 3) for d in digests
-            ]
+            return [_reply("Comment Category", labels[d % len(labels)], d % 3) for d in digests]
 
         return call
 
