@@ -14,6 +14,7 @@ from surveyloom.functions import codes, dates, replies
 from surveyloom.operators import buckets, dimensions, merging, model, promoters, quality, similarity, triage, words
 from surveyloom.plans import comments as jobs
 from surveyloom.plans import marts, scorecard
+from surveyloom.plans import triage as job
 from surveyloom.session import materialise, new_folder
 from surveyloom.sources import tables as io
 from surveyloom.streaming import deadlines
@@ -425,62 +426,62 @@ def critical_signals(t):
     return _signalled(t).select("survey_id", "hits", "is_critical")
 
 
+def _sketched(t):
+    sets = materialise(similarity.word_sets(t.classified()), "words")
+    return sets, materialise(similarity.sketches(sets), "sketches")
+
+
 @query
 def similar_links(t):
-    links = similarity.similar_links(t.classified())
+    links = similarity.similar_links(*_sketched(t))
     return links.select("survey_id", "leader", F.round("similarity", 6).alias("similarity"))
 
 
-_MEMBERS: dict[tuple[str, str], DataFrame] = {}
+@query
+def cluster_assign(t):
+    return similarity.cluster_members(t.classified(), similarity.similar_links(*_sketched(t)))
 
 
-def _members(t):
-    """The membership table, written once per session and folder, as the triage job does."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _MEMBERS:
-        surveys = t.classified()
-        links = materialise(similarity.similar_links(surveys), "links")
-        _MEMBERS[key] = materialise(similarity.cluster_members(surveys, links), "members")
-    return _MEMBERS[key]
+_TRIAGE: dict[tuple[str, str], job.Triage] = {}
 
 
-@query
-def cluster_assign(t):
-    surveys = t.classified()
-    return similarity.cluster_members(surveys, similarity.similar_links(surveys))
+def _triage(t):
+    """The triage job, run once per session and folder; what follows reads its tables.
+
+    Surveys that arrived in the first half of the month are the known patterns.
+    """
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _TRIAGE:
+        surveys = t.classified()
+        past = surveys.filter(c("arrived") < F.lit(QA_CUT)).select("survey_id")
+        known = lambda bands: bands.join(past, "survey_id", "left_semi")
+        _TRIAGE[key] = job.run(surveys, known, SETTINGS)
+    return _TRIAGE[key]
 
 
 @query
 def cluster_members(t):
     """Cluster sizes, with the surveys that were lost on the way (none)."""
-    members, surveys = _members(t), t.classified()
+    members, surveys = _triage(t).members, t.classified()
     lost = similarity.lost_surveys(surveys, members).withColumn("cluster_id", F.lit(None).cast("bigint"))
     return members.unionByName(lost).groupBy("cluster_id").agg(F.count("*").alias("surveys"))
 
 
-def _profiles(t):
-    return triage.cluster_profile(_members(t), _signalled(t))
-
-
-def _novel(t):
-    sets = similarity.word_sets(t.classified())
-    known = similarity.word_sets(t.classified().filter(c("arrived") < F.lit(QA_CUT)))
-    buckets_of = lambda s: similarity.band_buckets(similarity.sketches(s))
-    return triage.with_novelty(_profiles(t), _members(t), buckets_of(sets), buckets_of(known))
-
-
 @query
 def novelty_flag(t):
-    return _novel(t).select("cluster_id", "is_new")
+    run = _triage(t)
+    profiles = triage.cluster_profile(run.members, _signalled(t))
+    known = run.bands.join(t.classified().filter(c("arrived") < F.lit(QA_CUT)), "survey_id", "left_semi")
+    return triage.with_novelty(profiles, run.members, run.bands, known).select("cluster_id", "is_new")
 
 
 @query
 def cluster_score(t):
-    return triage.with_score(_novel(t)).drop("category")
+    return _triage(t).routed.drop("category", "route", "reason", "rules_version")
 
 
 def _routed(t):
-    return triage.route_clusters(triage.with_score(_novel(t)))
+    return _triage(t).routed
 
 
 @query
@@ -527,7 +528,7 @@ def apply_decisions(t):
 
 
 def _tickets(t):
-    return triage.ticket_rows(_decided(t), _members(t), max_size=3)
+    return triage.ticket_rows(_decided(t), _triage(t).members, max_size=3)
 
 
 @query

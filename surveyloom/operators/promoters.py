@@ -179,19 +179,22 @@ def product_rollup(counts: DataFrame, cutover: dt.date = S.EXAM_CUTOVER) -> Data
     exam_rule = dated_rule(
         F.col("fiscal_date"), cutover, F.col("survey_type") == S.EXAM_FAMILY, F.lit(True)
     )
-    views = F.array_compact(
-        F.array(
-            F.lit("OVERALL"),
-            F.when(flag("optical_flag"), "OPTICAL"),
-            F.when(flag("plano_flag"), "PLANO SUN"),
-            F.when(flag("contact_lens_flag"), "CONTACTS"),
-            F.when(flag("accessory_flag"), "ACCESSORY"),
-            F.when(flag("reader_flag"), "READER"),
-            F.when(flag("dr_service_exams_flag") & exam_rule, "DR EXAM"),
-        )
+    views = F.array(
+        F.lit("OVERALL"),
+        F.when(flag("optical_flag"), "OPTICAL"),
+        F.when(flag("plano_flag"), "PLANO SUN"),
+        F.when(flag("contact_lens_flag"), "CONTACTS"),
+        F.when(flag("accessory_flag"), "ACCESSORY"),
+        F.when(flag("reader_flag"), "READER"),
+        F.when(flag("dr_service_exams_flag") & exam_rule, "DR EXAM"),
     )
+    # Nulls go right after the explode: dropping them inside the array leaves generated code.
     viewed = counts.select(*SURVEY_DIMENSIONS, F.explode(views).alias("product"), *MEASURES)
-    return viewed.groupBy(*SURVEY_DIMENSIONS, "product").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    return (
+        viewed.filter(F.col("product").isNotNull())
+        .groupBy(*SURVEY_DIMENSIONS, "product")
+        .agg(*[F.sum(m).alias(m) for m in MEASURES])
+    )
 
 
 def with_promoter_scores(rollup: DataFrame) -> DataFrame:

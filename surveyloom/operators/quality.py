@@ -112,11 +112,14 @@ def window_volume(rows: DataFrame, ts: str = "ts", width: str = "1 hour") -> Dat
     )
 
 
-def metric(df: DataFrame, family: str, name: str, value: Column) -> DataFrame:
-    """One row (family, metric, value)."""
-    return df.agg(F.round(value, 6).cast("double").alias("value")).select(
-        F.lit(family).alias("family"), F.lit(name).alias("metric"), "value"
-    )
+def metrics(df: DataFrame, values: dict[tuple[str, str], Column]) -> DataFrame:
+    """One row (family, metric, value) per named aggregate, out of one pass."""
+    sums = [F.round(v, 6).cast("double").alias(f"_{i}") for i, v in enumerate(values.values())]
+    rows = [
+        F.struct(F.lit(family).alias("family"), F.lit(name).alias("metric"), F.col(f"_{i}").alias("value"))
+        for i, (family, name) in enumerate(values)
+    ]
+    return df.agg(*sums).select(F.explode(F.array(*rows)).alias("m")).select("m.*")
 
 
 def process_kpis(decided: DataFrame, reviews: DataFrame, tickets: DataFrame, cases: DataFrame) -> DataFrame:
@@ -125,24 +128,34 @@ def process_kpis(decided: DataFrame, reviews: DataFrame, tickets: DataFrame, cas
     `decided` are clusters with route, action, outcome and times; `reviews` the quality
     sample; `tickets` have `status`; `cases` come from `sla_state`.
     """
+    c = F.col
     share = lambda part, whole: F.sum(part) / F.nullif(F.sum(whole), F.lit(0))
     one = lambda test: F.when(test, 1).otherwise(0)
-    c = F.col
-    by_hand = F.when(c("route") == "review", c("volume")).otherwise(0)
-    reviewed = one(c("action").isNotNull())
-    opened = c("decided_at").cast("timestamp").cast("double") - c("first_day").cast("timestamp").cast("double")
-    to_ticket = F.avg(F.when(c("outcome") == "ticket", opened / 3600))
+    by_hand = share(F.when(c("route") == "review", c("volume")).otherwise(0), c("volume"))
+    seconds = c("decided_at").cast("timestamp").cast("double") - c("first_day").cast("timestamp").cast("double")
     critical = c("band") == "high"
-    rows = [
-        metric(decided, "efficiency", "share to handle", share(by_hand, c("volume"))),
-        metric(decided, "efficiency", "share without a human", 1 - share(by_hand, c("volume"))),
-        metric(decided, "efficiency", "hours from cluster to ticket", to_ticket),
-        metric(decided, "quality", "correction rate", share(one(c("action") == "correct"), reviewed)),
-        metric(reviews, "quality", "sampled error rate", F.avg(c("is_wrong").cast("int"))),
-        metric(tickets, "quality", "share of tickets worked", share(one(c("status") == "worked"), F.lit(1))),
-        metric(cases, "coverage", "critical within deadline", share(one(critical & ~c("breached")), one(critical))),
+    parts = [
+        metrics(
+            decided,
+            {
+                ("efficiency", "share to handle"): by_hand,
+                ("efficiency", "share without a human"): 1 - by_hand,
+                ("efficiency", "hours from cluster to ticket"): F.avg(
+                    F.when(c("outcome") == "ticket", seconds / 3600)
+                ),
+                ("quality", "correction rate"): share(
+                    one(c("action") == "correct"), one(c("action").isNotNull())
+                ),
+            },
+        ),
+        metrics(reviews, {("quality", "sampled error rate"): F.avg(c("is_wrong").cast("int"))}),
+        metrics(tickets, {("quality", "share of tickets worked"): F.avg(one(c("status") == "worked"))}),
+        metrics(
+            cases,
+            {("coverage", "critical within deadline"): share(one(critical & ~c("breached")), one(critical))},
+        ),
     ]
-    return reduce(DataFrame.unionByName, rows)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def management_summary(rows: DataFrame, ts: str = "ts", category: str = "category") -> DataFrame:
