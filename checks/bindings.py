@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.session import spread
 from surveyloom.settings import Settings
 from surveyloom.sources.tables import Sources
 
@@ -55,6 +56,9 @@ class Tables:
             SCHEMAS[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
+    def documents(self) -> DataFrame:
+        return spread(self.raw("documents"))
+
     def buyers(self) -> DataFrame:
         return self.raw("orders").join(self.raw("customer"), c("o_custkey") == c("c_custkey"))
 
@@ -227,7 +231,7 @@ class Tables:
         """Survey answers whose comments are the documents."""
         lang, text = c("lang"), c("text")
         tail = F.when(c("n_chars") % 2 == 1, " extra").otherwise("")
-        return self.raw("documents").select(
+        return self.documents().select(
             c("doc_id").cast("string").alias("survey_h_hid"),
             two_digits("doc_id").alias("survey_id"),
             F.date_add(F.lit(dt.date(2024, 1, 1)), (c("doc_id") % 30).cast("int")).cast("timestamp").alias("invitation_date"),
@@ -268,7 +272,7 @@ class Tables:
 
     def classified(self) -> DataFrame:
         """Surveys with category, confidence, severity and text, as the triage reads them."""
-        docs, labels = self.raw("documents"), self.raw("labels").select("doc_id", "toxic")
+        docs, labels = self.documents(), self.raw("labels").select("doc_id", "toxic")
         joined = docs.join(labels, "doc_id", "left")
         return joined.select(
             c("doc_id").alias("survey_id"),

@@ -9,10 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "") -> Column:
-    """Equality on all keys where null equals null."""
-    tests = [left[k].eqNullSafe(right[prefix + k]) for k in keys]
-    return reduce(lambda a, b: a & b, tests)
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys where null equals null; for semi and anti joins.
+
+    The right keys are renamed first, so both sides may come from one table.
+    """
+    other = right.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    tests = [left[k].eqNullSafe(other[f"_{k}"]) for k in keys]
+    return left.join(other, reduce(lambda a, b: a & b, tests), how)
 
 
 def upsert(
@@ -37,7 +41,8 @@ def upsert(
         raise ValueError(f"unknown policy {on_duplicate!r}")
     # Grouped first: a key that fills a large share of the source meets the target once.
     counts = source.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("*").alias("_n"))
-    seen = target.join(counts, null_safe(target, counts, keys, "_"), "left")
+    same = reduce(lambda a, b: a & b, [target[k].eqNullSafe(counts[f"_{k}"]) for k in keys])
+    seen = target.join(counts, same, "left")
     failed = F.raise_error(F.lit("upsert: several source rows match one target row"))
     kept = seen.filter(F.when(F.col("_n") > 1, failed.cast("boolean")).otherwise(F.col("_n").isNull()))
     return kept.select(*[target[c] for c in target.columns]).unionByName(source)
@@ -61,7 +66,7 @@ def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     Columns are compared one by one and null equals null, so a re-run changes nothing.
     """
     present = batch.select(*keys).distinct()
-    return target.join(present, null_safe(target, present, keys), "left_anti").unionByName(batch)
+    return join_null_safe(target, present, keys, "left_anti").unionByName(batch)
 
 
 def replace_by_text_key(

@@ -17,7 +17,7 @@ from surveyloom.operators.dimensions import (
     left_join_sparse,
     with_fiscal_period,
 )
-from surveyloom.operators.merging import replace_by_key, replace_by_text_key
+from surveyloom.operators.merging import join_null_safe, replace_by_key, replace_by_text_key
 from surveyloom.settings import Settings
 from surveyloom.sources.tables import Sources
 
@@ -133,11 +133,6 @@ def uncovered_days(target: DataFrame, batch: DataFrame, keys: Sequence[str] = KE
     Runs cover calendar months, the replaced key is a fiscal month. Where the two differ,
     earlier days of a fiscal month vanish; this lists them before the write.
     """
-    from surveyloom.operators.merging import null_safe
-
-    touched = batch.select(*keys).distinct()
-    days = batch.select(*keys, "fiscal_date").distinct()
-    old = target.select(*keys, "fiscal_date").distinct()
-    replaced = old.join(touched, null_safe(old, touched, keys), "left_semi")
     columns = (*keys, "fiscal_date")
-    return replaced.join(days, null_safe(replaced, days, columns), "left_anti")
+    replaced = join_null_safe(target.select(*columns).distinct(), batch, keys, "left_semi")
+    return join_null_safe(replaced, batch, columns, "left_anti")

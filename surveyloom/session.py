@@ -56,3 +56,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a frame that reads fewer splits than there are cores.
+
+    For text-heavy work on a few files of one row group each; a table of many splits is
+    left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
