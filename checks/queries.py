@@ -263,6 +263,16 @@ def replaced_periods(t):
     return t.spark.read.schema(old.schema).parquet(path).select(*old.columns)
 
 
+@query
+def upserted_periods(t):
+    """Upsert in a table partitioned by year, rewriting the batch's years only."""
+    path = new_folder(t.spark, "years")
+    dated = lambda version, *status: _keyed_orders(t, version, *status).withColumn("year", F.year("day"))
+    io.replace_table(dated("old", "F", "O"), path, ["year"])
+    io.upsert_periods(t.spark, path, dated("new", "O", "P"), ["k", "day", "year"], ["year"])
+    return t.spark.read.parquet(path).select("k", "day", "version", "price")
+
+
 @query
 def partitioned_table(t):
     """Events written by bucket; one bucket read back as one directory."""

@@ -52,32 +52,32 @@ def generate_text(
     batch_size: int = 64,
     retries: int = 2,
     pause: float = 0.5,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Pass all columns through and add the model's reply and a status.
 
-    Equal prompts are sent once. Calls that keep failing give a null reply and the error
-    in the status; the row stays. Spark may run a task again, so write or checkpoint the
-    result before using it twice.
+    Equal prompts are sent once; replies come back by the prompt's digest, so the prompts
+    themselves are not shuffled again. Calls are slow and small, which is why the number
+    of tasks that make them is fixed (one per core by default) and not left to the size
+    of the data. Calls that keep failing give a null reply and the error in the status;
+    the row stays. Spark may run a task again, so write or checkpoint the result before
+    using it twice.
     """
-    unique = df.select(F.col(prompt_col).alias("_prompt")).filter("_prompt IS NOT NULL").distinct()
+    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
+    keyed = df.withColumn("_key", F.sha2(F.col(prompt_col), 256))
+    prompts = keyed.select("_key", F.col(prompt_col).alias("_prompt")).filter("_key IS NOT NULL")
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = client()
         for pdf in batches:
             for start in range(0, len(pdf), batch_size):
-                prompts = pdf["_prompt"].iloc[start : start + batch_size].tolist()
-                replies, status = _call(call, prompts, options, retries, pause)
-                yield pd.DataFrame({"_prompt": prompts, RESULT: replies, STATUS: status})
-
-    schema = T.StructType(
-        [
-            T.StructField("_prompt", T.StringType()),
-            T.StructField(RESULT, T.StringType()),
-            T.StructField(STATUS, T.StringType()),
-        ]
-    )
-    answered = unique.mapInPandas(ask, schema)
-    return df.join(answered, df[prompt_col] == answered["_prompt"], "left").drop("_prompt")
+                part = pdf.iloc[start : start + batch_size]
+                replies, status = _call(call, part["_prompt"].tolist(), options, retries, pause)
+                yield pd.DataFrame({"_asked": part["_key"].tolist(), RESULT: replies, STATUS: status})
+
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("_asked", RESULT, STATUS)])
+    answered = prompts.distinct().repartition(tasks, "_key").mapInPandas(ask, schema)
+    return keyed.join(answered, F.col("_key") == F.col("_asked"), "left").drop("_key", "_asked")
 
 
 def _call(call: Client, prompts: list[str], options: ModelOptions, retries: int, pause: float):

@@ -20,7 +20,7 @@ def ranked(
     id_col: str,
     seed: str = "",
     rank: str = "rank",
-    digits: int = 2,
+    digits: int = 3,
 ) -> DataFrame:
     """Number the rows of each group 1, 2, .. in `shuffle_order`.
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveyloom.operators.merging import replace_by_key, upsert
-from surveyloom.session import new_folder
+from surveyloom.operators.merging import join_null_safe, replace_by_key, upsert
+from surveyloom.session import materialise, new_folder
 
 TRANSLATIONS = T.StructType(
     [
@@ -68,8 +70,10 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Create or replace a table. `df` must not read from `path`; see `rewrite_table`."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        write_partitioned(df, path, *partition_by)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def rewrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -85,14 +89,21 @@ def rewrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        gathered(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("append").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, column: str) -> None:
-    """One directory per value. Rows of a value may lie in several files: a value that
-    holds a large share of the rows is written by many tasks."""
-    df.write.mode("overwrite").partitionBy(column).parquet(path)
+def gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Bring equal values together before a partitioned write, so that not every task opens
+    a file for every value. Adaptive execution splits a value that holds too many rows."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
+def write_partitioned(df: DataFrame, path: str, *columns: str) -> None:
+    """One directory per value."""
+    gathered(df, columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
 def write_clustered(df: DataFrame, path: str, *columns: str) -> None:
@@ -101,50 +112,79 @@ def write_clustered(df: DataFrame, path: str, *columns: str) -> None:
     The clustering columns have few values; the rest of the sort key is a hash of the row,
     which lets a value that holds a large share of the rows spread over many files.
     """
-    from pyspark.sql import functions as F
-
     spread = F.xxhash64(*df.columns)
     ranged = df.repartitionByRange(*columns, spread)
     ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], **policy) -> None:
-    """Keyed upsert into a parquet table that may not exist yet."""
-    if not _exists(spark, path):
-        rewrite_table(upsert(spark.createDataFrame([], source.schema), source, keys, **policy), path)
-        return
-    rewrite_table(upsert(spark.read.parquet(path), source, keys, **policy), path)
+    """Keyed upsert into a parquet table that may not exist yet; rewrites the table.
 
+    For large tables partition by a column of the key and use `upsert_periods`.
+    """
+    target = spark.read.parquet(path) if _exists(spark, path) else spark.createDataFrame([], source.schema)
+    rewrite_table(upsert(target, source, keys, **policy), path)
 
-def replace_periods(
+
+def _in_periods(target: DataFrame, batch: DataFrame, period: Sequence[str], most: int = 1000) -> DataFrame:
+    """Target rows in the periods of the batch.
+
+    Up to `most` periods become a filter on the partition columns, so only their
+    directories are read; beyond that they are joined.
+    """
+    found = batch.select(*period).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        return join_null_safe(target, batch.select(*period).distinct(), period, "left_semi")
+    same = lambda row: reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(row[p])) for p in period])
+    return target.filter(reduce(lambda a, b: a | b, [same(row) for row in found], F.lit(False)))
+
+
+def _rewrite_periods(
     spark: SparkSession,
     path: str,
     batch: DataFrame,
     keys: Sequence[str],
     period: Sequence[str],
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> None:
-    """Replace-by-key in a table partitioned by `period`, touching only the batch's periods.
+    """Merge a batch into a table partitioned by `period`, reading and writing only the
+    batch's partitions.
 
-    `period` must be part of `keys`. The rows to keep are read from the same partitions
-    that are written back, which a dynamic partition overwrite allows: old files go away
-    only when the new ones are complete.
+    The batch is written out first, as it is read several times. A dynamic partition
+    overwrite drops the old files only when the new ones are complete.
     """
     if not set(period) <= set(keys):
         raise ValueError("the period columns must be part of the key")
+    batch = materialise(batch, "batch")
     content = batch
     if _exists(spark, path):
-        target = spark.read.schema(batch.schema).parquet(path)
-        periods = batch.select(*period).distinct()
-        touched = target.join(periods, list(period), "left_semi").select(*batch.columns)
-        content = replace_by_key(touched, batch, keys)
+        target = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
+        content = merge(_in_periods(target, batch, period), batch)
     (
-        content.write.mode("overwrite")
+        gathered(content, period)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*period)
         .parquet(path)
     )
 
 
+def upsert_periods(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], period: Sequence[str], **policy
+) -> None:
+    """Keyed upsert in a table partitioned by `period`, which is part of `keys`."""
+    merge = lambda target, batch: upsert(target, batch, keys, **policy)
+    _rewrite_periods(spark, path, source, keys, period, merge)
+
+
+def replace_periods(
+    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], period: Sequence[str]
+) -> None:
+    """Replace-by-key in a table partitioned by `period`, which is part of `keys`."""
+    merge = lambda target, batch: replace_by_key(target, batch, keys)
+    _rewrite_periods(spark, path, batch, keys, period, merge)
+
+
 def drop_scratch(spark: SparkSession, table: str, if_exists: bool = False) -> None:
     """Drop a scratch table of the catalog; a missing table is an error unless asked."""
     spark.sql(f"DROP TABLE {'IF EXISTS ' if if_exists else ''}{table}")
