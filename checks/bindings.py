@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.session import spread
+from surveyloom.session import ship_package, spread
 from surveyloom.settings import Settings
 from surveyloom.sources.tables import Sources
 
@@ -47,6 +47,7 @@ class Tables:
     """The given tables below one folder, and the survey tables derived from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        ship_package(spark)
         self.spark, self.folder = spark, folder
 
     def raw(self, name: str) -> DataFrame:

@@ -608,10 +608,10 @@ oracle(
     """SELECT user_id, ts, cast(event_id AS varchar) AS survey_h_hid, category FROM (SELECT *, row_number() OVER (PARTITION BY user_id
   ORDER BY ts DESC, cast(event_id AS varchar) DESC) AS n FROM d_event) WHERE n = 1""",
 )
-VIEWS["d_case"] = """SELECT cast(event_id AS varchar) AS case_id, ts + INTERVAL 1 DAY AS deadline, ts,
-  CASE WHEN category <> 'error' THEN ts + INTERVAL 1 HOUR * cast(floor(value) AS int) END AS handled FROM d_event"""
+VIEWS["d_case"] = """SELECT cast(event_id AS varchar) AS case_id, band, deadline, handled_at, opened_at,
+  CASE band WHEN 'high' THEN 'duty manager' WHEN 'medium' THEN 'team lead' ELSE 'pipeline owner' END AS escalate_to FROM d_sla"""
 oracle(
     "stream_deadlines",
-    """SELECT case_id, date_trunc('second', deadline) AS deadline FROM d_case WHERE handled > deadline OR (handled IS NULL
-  AND deadline < (SELECT greatest(max(ts), max(handled)) - INTERVAL 1 HOUR FROM d_case))""",
+    """SELECT case_id, band, deadline, escalate_to FROM d_case WHERE (handled_at IS NULL OR handled_at > deadline)
+  AND deadline < (SELECT least(max(opened_at), max(handled_at)) - INTERVAL 1 HOUR FROM d_case)""",
 )

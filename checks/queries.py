@@ -682,17 +682,14 @@ def stream_upsert(t):
 
 @query
 def stream_deadlines(t):
-    """Cases that missed a deadline of one day, as the watermark passes it."""
-    handled = F.when(c("category") != "error", c("ts") + F.make_dt_interval(hours=F.floor("value").cast("int")))
-    moments = F.array_compact(
-        F.array(
-            F.struct(F.lit("opened").alias("kind"), c("ts").alias("ts")),
-            F.when(handled.isNotNull(), F.struct(F.lit("handled").alias("kind"), handled.alias("ts"))),
-        )
+    """Cases that the watermark leaves unhandled beyond their deadline."""
+    opened = _event_stream(t).select(
+        c("survey_h_hid").alias("case_id"), "ts", F.least(c("value") / 100, F.lit(1.0)).alias("severity")
     )
-    due = c("ts") + F.expr("INTERVAL 1 DAY")
-    rows = _event_stream(t).select(c("survey_h_hid").alias("case_id"), due.alias("deadline"), F.explode(moments).alias("m"))
-    cases = rows.select("case_id", "m.kind", "m.ts", "deadline")
+    handled = _event_stream(t).filter("category <> 'error'").select(
+        c("survey_h_hid").alias("case_id"), (c("ts") + F.make_dt_interval(hours=F.floor("value").cast("int"))).alias("ts")
+    )
+    missed = deadlines.missed_deadlines(opened, handled, SETTINGS.sla)
     path = new_folder(t.spark, "missed")
-    streams.start_table(deadlines.missed_deadlines(cases), path, new_folder(t.spark, "progress")).awaitTermination()
-    return t.spark.read.parquet(path).select("case_id", F.date_trunc("second", "deadline").alias("deadline"))
+    streams.start_table(missed, path, new_folder(t.spark, "progress")).awaitTermination()
+    return t.spark.read.parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -66,3 +68,19 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once.
+
+    Needed where it is not installed on them and was not given by `--py-files`.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        target = os.path.join(tempfile.mkdtemp(prefix="surveyloom-"), "surveyloom")
+        context.addPyFile(shutil.make_archive(target, "zip", root, "surveyloom"))
+        _SHIPPED.add(context.applicationId)

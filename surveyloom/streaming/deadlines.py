@@ -1,66 +1,48 @@
-"""A timer per case: reports a case once its deadline passes unhandled."""
+"""Cases that are not handled within the time their severity allows, as a stream."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-OUTPUT = "case_id string, deadline timestamp, handled_at timestamp"
-STATE = "deadline_ms long"
+from surveyloom.settings import SlaRule
 
 
-def _watch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Keep the deadline of an open case; emit the case if it is missed."""
+def missed_deadlines(
+    opened: DataFrame, handled: DataFrame, rules: Sequence[SlaRule], delay: str = "1 hour"
+) -> DataFrame:
+    """`case_id`, `band`, `deadline` and `escalate_to` of each case that runs out of time.
 
-    def missed(deadline: int, handled: int | None) -> pd.DataFrame:
-        at = pd.to_datetime([deadline, handled], unit="ms")
-        return pd.DataFrame({"case_id": [key[0]], "deadline": [at[0]], "handled_at": [at[1]]})
-
-    if state.hasTimedOut:
-        (deadline,) = state.get
-        state.remove()
-        yield missed(deadline, None)
-        return
-    deadline = state.get[0] if state.exists else None
-    handled = None
-    for pdf in batches:
-        opened = pdf.loc[pdf["kind"] == "opened", "deadline_ms"]
-        closed = pdf.loc[pdf["kind"] == "handled", "ts_ms"]
-        if len(opened):
-            deadline = int(opened.min()) if deadline is None else min(deadline, int(opened.min()))
-        if len(closed):
-            handled = int(closed.min()) if handled is None else min(handled, int(closed.min()))
-    if deadline is None:
-        return
-    if handled is not None:
-        if state.exists:
-            state.remove()
-        if handled > deadline:
-            yield missed(deadline, handled)
-    elif deadline <= state.getCurrentWatermarkMs():
-        if state.exists:
-            state.remove()
-        yield missed(deadline, None)
-    else:
-        state.update((deadline,))
-        state.setTimeoutTimestamp(deadline)
-
-
-def missed_deadlines(cases: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Cases not handled in time, out of a stream of `case_id`, `kind`, `ts`, `deadline`.
-
-    `kind` is `opened` or `handled`; a case has a few rows, whatever the number of its
-    surveys. A late handling is reported when it arrives, an open case when the
-    watermark passes its deadline.
+    `opened` has case_id, ts and severity, `handled` has case_id and ts. For each rule an
+    outer join of the two streams looks for a handling within the rule's hours; Spark
+    keeps an open case in its state until the watermark passes the deadline, and then
+    gives it out unmatched. A case handled later is reported too.
     """
-    ms = lambda name: F.unix_millis(F.col(name))
-    keyed = cases.withWatermark("ts", delay).select(
-        F.col("case_id").cast("string").alias("case_id"), "kind", "ts", ms("ts").alias("ts_ms"), ms("deadline").alias("deadline_ms")
-    )
-    return keyed.groupBy("case_id").applyInPandasWithState(
-        _watch, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    closed = handled.select(F.col("case_id").alias("_case"), F.col("ts").alias("_handled"))
+    closed = closed.withWatermark("_handled", delay)
+    cases = opened.select("case_id", "ts", "severity").withWatermark("ts", delay)
+    ordered = sorted(rules, key=lambda r: r.min_severity)
+    parts = []
+    for rule, above in zip(ordered, [*ordered[1:], None]):
+        span = F.expr(f"INTERVAL {rule.hours} HOURS")
+        mine = F.col("severity") >= rule.min_severity
+        if above is not None:
+            mine = mine & (F.col("severity") < above.min_severity)
+        in_time = (
+            (F.col("case_id") == F.col("_case"))
+            & (F.col("_handled") >= F.col("ts"))
+            & (F.col("_handled") <= F.col("ts") + span)
+        )
+        open_still = cases.filter(mine).join(closed, in_time, "leftOuter").filter(F.col("_case").isNull())
+        parts.append(
+            open_still.select(
+                "case_id",
+                F.lit(rule.band).alias("band"),
+                (F.col("ts") + span).alias("deadline"),
+                F.lit(rule.second_owner).alias("escalate_to"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)

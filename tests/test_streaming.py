@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveyloom.operators.quality import window_volume
+from surveyloom.settings import SlaRule
 from surveyloom.streaming import deadlines, jobs
 
 T0 = dt.datetime(2025, 1, 1)
@@ -72,17 +73,17 @@ def test_upsert_keeps_the_latest(spark, tmp_path):
 
 
 def test_deadlines(spark, tmp_path):
-    due = at(10)
-    opened = lambda case: (case, "opened", at(0), due)
-    handled = lambda case, h: (case, "handled", at(h), due)
-    files = [
-        [opened("in time"), opened("late"), opened("never"), opened("same batch late"), handled("same batch late", 11)],
-        [handled("in time", 9), handled("tick", 9.5)],
-        [handled("late", 12)],
-        [("tick", "opened", at(100), at(200))],
+    rules = (SlaRule("high", 0.8, 4, "boss"), SlaRule("low", 0.0, 10, "lead"))
+    opened = [
+        [("quick", at(0), 0.9), ("slow", at(0), 0.9), ("never", at(0), 0.1), ("low in time", at(0), 0.1)],
+        [("tick high", at(50), 0.9), ("tick low", at(50), 0.1)],
+        [("tick high 2", at(51), 0.9), ("tick low 2", at(51), 0.1)],
     ]
-    stream = feed(spark, tmp_path, *files, schema="case_id string, kind string, ts timestamp, deadline timestamp")
-    run(jobs.start_table(deadlines.missed_deadlines(stream), str(tmp_path / "out"), str(tmp_path / "cp")))
-    out = {r.case_id: (r.deadline, r.handled_at) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert set(out) == {"late", "never", "same batch late"}
-    assert out["never"] == (due, None) and out["same batch late"] == (due, at(11))
+    handled = [[("quick", at(4)), ("slow", at(5)), ("low in time", at(9))], [("other", at(50))], [("other", at(51))]]
+    streams = [
+        feed(spark, tmp_path / "opened", *opened, schema="case_id string, ts timestamp, severity double"),
+        feed(spark, tmp_path / "handled", *handled, schema="case_id string, ts timestamp"),
+    ]
+    missed = deadlines.missed_deadlines(*streams, rules)
+    run(jobs.start_table(missed, str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("never", "low", at(10), "lead"), ("slow", "high", at(4), "boss")]
