@@ -235,7 +235,7 @@ class Tables:
         return self.documents().select(
             c("doc_id").cast("string").alias("survey_h_hid"),
             two_digits("doc_id").alias("survey_id"),
-            F.date_add(F.lit(dt.date(2024, 1, 1)), (c("doc_id") % 30).cast("int")).cast("timestamp").alias("invitation_date"),
+            F.date_add(F.lit(dt.date(2024, 1, 1)), (c("doc_id") % 30).cast("int")).cast("timestamp_ntz").alias("invitation_date"),
             c("source").alias("brand_id"),
             F.when(lang == "en", text).alias("opt_ltr_followup_comment"),
             F.when(lang == "fr", text).alias("sun_ltr_followup_comment"),
@@ -289,7 +289,7 @@ class Tables:
         return self.raw("events").select(
             "event_id",
             two_digits("event_id").alias("survey_id"),
-            c("ts").cast("timestamp").alias("ts"),
+            "ts",
             "user_id",
             c("event_type").alias("category"),
             "value",
@@ -309,7 +309,7 @@ class Tables:
             "sites",
             "survey_ctl",
         )
-        return Sources(self.spark, {n: getattr(self, n)() for n in names})
+        return Sources(self.spark, {n: getattr(self, n) for n in names})
 
     def second_region(self) -> Sources:
         """The other region's copy of the tables: the same, for customers in Europe."""
@@ -322,6 +322,6 @@ class Tables:
         inside = lambda df: df.join(europe, F.right(df["brand_id"], F.lit(2)) == europe["_code"], "left_semi")
         base = self.sources()
         tables = dict(base.tables)
-        tables["survey_url"] = inside(base.read("survey_url"))
-        tables["survey_results"] = inside(base.read("survey_results"))
+        tables["survey_url"] = lambda: inside(self.survey_url())
+        tables["survey_results"] = lambda: inside(self.survey_results())
         return Sources(self.spark, tables)

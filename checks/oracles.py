@@ -406,6 +406,7 @@ def json_text(expr: str, key: str) -> str:
   THEN json_extract_string({expr}, '$."{key}"') END END"""
 
 
+# The fence patterns, in the syntax of the other engine.
 ONE_LINE = r"'^\s*```json\s*(.+?)\s*```\s*$'"
 ANY_FENCE = r"'```json\s*(\{[\s\S]*?\})\s*```'"
 VIEWS["d_unfenced"] = f"""SELECT doc_id, tr, cat, CASE WHEN regexp_matches(tr, {ONE_LINE}) THEN regexp_extract(tr, {ONE_LINE}, 1) ELSE tr END AS one_line,

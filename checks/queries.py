@@ -507,7 +507,7 @@ def review_queue(t):
 def _decisions(t):
     """Decisions on the labelled clusters; harmful ones are decided twice."""
     labels = t.raw("labels")
-    at = F.lit(dt.datetime(2024, 2, 1)) + F.make_dt_interval(hours=(c("doc_id") % 100).cast("int"))
+    at = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=(c("doc_id") % 100).cast("int"))
     action = F.when(c("quality") == 0, "discard").when(c("toxic") == 1, "correct").otherwise("approve")
     first = labels.select(
         c("doc_id").alias("cluster_id"),
@@ -628,6 +628,12 @@ def process_kpis(t):
 # --- streams: each takes what is there, then stops, and the result is read as a table ---
 
 
+def _without_zone(df):
+    """Times as the given tables hold them, without a zone."""
+    times = [f.name for f in df.schema if f.dataType.typeName() == "timestamp"]
+    return df.withColumns({n: c(n).cast("timestamp_ntz") for n in times})
+
+
 def _event_stream(t):
     schema = t.raw("events").schema
     raw = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
@@ -645,16 +651,16 @@ def stream_arrivals(t):
     """Every event arrives twice; one of each stays."""
     doubled = _event_stream(t).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
     path = new_folder(t.spark, "arrivals")
-    streams.start_table(streams.arrivals(doubled), path, new_folder(t.spark, "progress")).awaitTermination()
-    return t.spark.read.parquet(path).select("survey_h_hid", "ts", "category")
+    streams.start_table(streams.arrivals(doubled), path, new_folder(t.spark, "progress"), 8).awaitTermination()
+    return _without_zone(t.spark.read.parquet(path)).select("survey_h_hid", "ts", "category")
 
 
 @query
 def stream_window_volume(t):
     """Hourly volumes of the windows that the watermark has closed."""
     path = new_folder(t.spark, "volume")
-    streams.start_table(streams.stream_volume(_event_stream(t)), path, new_folder(t.spark, "progress")).awaitTermination()
-    return t.spark.read.parquet(path)
+    streams.start_table(streams.stream_volume(_event_stream(t)), path, new_folder(t.spark, "progress"), 8).awaitTermination()
+    return _without_zone(t.spark.read.parquet(path))
 
 
 @query
@@ -668,7 +674,7 @@ def stream_cluster_deltas(t):
     )
     path = new_folder(t.spark, "deltas")
     streams.start_deltas(rows, streams.fold_clusters, path, new_folder(t.spark, "progress")).awaitTermination()
-    return streams.current_clusters(t.spark, path)
+    return _without_zone(streams.current_clusters(t.spark, path))
 
 
 @query
@@ -677,7 +683,7 @@ def stream_upsert(t):
     rows = _event_stream(t).select("user_id", "ts", "survey_h_hid", "category")
     path = new_folder(t.spark, "latest")
     streams.start_upsert(rows, ["user_id"], "ts", path, new_folder(t.spark, "progress")).awaitTermination()
-    return t.spark.read.parquet(path)
+    return _without_zone(t.spark.read.parquet(path))
 
 
 @query
@@ -691,5 +697,5 @@ def stream_deadlines(t):
     )
     missed = deadlines.missed_deadlines(opened, handled, SETTINGS.sla)
     path = new_folder(t.spark, "missed")
-    streams.start_table(missed, path, new_folder(t.spark, "progress")).awaitTermination()
-    return t.spark.read.parquet(path)
+    streams.start_table(missed, path, new_folder(t.spark, "progress"), 8).awaitTermination()
+    return _without_zone(t.spark.read.parquet(path))

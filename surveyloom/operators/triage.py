@@ -160,9 +160,11 @@ def sla_state(
     """Add band, deadline, `breached` and `escalate_to` to cases.
 
     Cases have `severity`, `opened_at` and `handled_at`, null while open. An open case is
-    breached once `as_of` is past its deadline. Rules go from the most severe down.
+    breached once `as_of` (in the session's time zone, unless it names its own) is past its
+    deadline. The rule with the highest bar that a case reaches counts.
     """
-    now = F.current_timestamp() if as_of is None else F.lit(as_of)
+    moment = cases.schema["opened_at"].dataType
+    now = (F.current_timestamp() if as_of is None else F.lit(as_of.isoformat(" "))).cast(moment)
     band, hours, owner = F.lit(None), F.lit(None).cast("int"), F.lit(None)
     for rule in sorted(rules, key=lambda r: r.min_severity):
         here = F.col("severity") >= rule.min_severity

@@ -34,9 +34,12 @@ CATEGORIES = T.StructType(
 
 
 class Sources:
-    """Named inputs: a parquet path, a catalog table (`table:name`) or a DataFrame."""
+    """Named inputs: a parquet path, a catalog table (`table:name`), a DataFrame, or a
+    function that makes one when it is asked for."""
 
-    def __init__(self, spark: SparkSession, tables: Mapping[str, str | DataFrame]):
+    def __init__(
+        self, spark: SparkSession, tables: Mapping[str, str | DataFrame | Callable[[], DataFrame]]
+    ):
         self.spark = spark
         self.tables = dict(tables)
 
@@ -47,6 +50,8 @@ class Sources:
             raise KeyError(f"no source named {name!r}; known: {sorted(self.tables)}") from None
         if isinstance(source, DataFrame):
             return source
+        if callable(source):
+            return source()
         if source.startswith("table:"):
             return self.spark.table(source.removeprefix("table:"))
         return self.spark.read.parquet(source)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,23 @@ from pyspark.sql.streaming import StreamingQuery
 from surveyloom.operators.quality import window_volume
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """Start streams with this number of state partitions.
+
+    A stream keeps the number it was first started with, whatever the session says later,
+    and each partition costs a state store per operator; so it is chosen per stream.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if number is not None:
+        spark.conf.set(key, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def arrivals(
     stream: DataFrame, keys: Sequence[str] = ("survey_h_hid",), ts: str = "ts", delay: str = "1 day"
 ) -> DataFrame:
@@ -23,15 +41,18 @@ def stream_volume(stream: DataFrame, ts: str = "ts", width: str = "1 hour", dela
     return window_volume(stream.withWatermark(ts, delay), ts, width)
 
 
-def start_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
+def start_table(
+    stream: DataFrame, path: str, checkpoint: str, partitions: int | None = None
+) -> StreamingQuery:
     """Append a stream to a parquet table, taking what is there and stopping."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    with state_partitions(stream.sparkSession, partitions):
+        return (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(path)
+        )
 
 
 def start_deltas(
