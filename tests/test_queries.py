@@ -36,12 +36,12 @@ def plain(value):
     return f"{type(value).__name__}{value}"
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = entry.QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     got = sorted(tuple(plain(row[c]) for c in columns) for row in df.collect())
-    result = duck.execute(entry.oracle_sql()[name])
+    result = duck.execute(entry.ORACLES[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
@@ -50,7 +50,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.ORACLES) == set(entry.QUERIES)
 
 
 def test_flagship(spark):
