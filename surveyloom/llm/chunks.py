@@ -107,13 +107,13 @@ def _chunk_row(number: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], SCHEMA.replace(",", "").split()[::2])
 
 
-def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunk_rows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     held, size, rows, number = [], 0, 0, 0
-    for part in arrays.parts(batches, "text", CHUNK_BYTES // 4):
+    for part in arrays.parts(batches, "text", limit // 4):
         for at in range(0, part.num_rows, CHUNK_DOCUMENTS // 4):
             piece = part.slice(at, CHUNK_DOCUMENTS // 4)
             n = len(arrays.text_bytes(piece.column("text"))[0])
-            if held and (size + n > CHUNK_BYTES or rows + piece.num_rows > CHUNK_DOCUMENTS):
+            if held and (size + n > limit or rows + piece.num_rows > CHUNK_DOCUMENTS):
                 yield _chunk_row(number, held)
                 held, size, rows, number = [], 0, 0, number + 1
             held, size, rows = [*held, piece], size + n, rows + piece.num_rows
@@ -121,11 +121,11 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _chunk_row(number, held)
 
 
-def store(docs: DataFrame) -> DataFrame:
-    """The documents' ids and texts as a bucketed table of chunks."""
+def store(docs: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
+    """The documents' ids and texts as a bucketed table of chunks of some `size` bytes of text."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return bucketed(rows.mapInArrow(_chunk_rows, SCHEMA), "chunks", "chunk_id")
+    return bucketed(rows.mapInArrow(lambda batches: _chunk_rows(batches, size), SCHEMA), "chunks", "chunk_id")
 
 
 def chunk_of(row: dict) -> Chunk:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.llm.mixing import mix_report
 from surveyloom.llm.recompression import recompression_dedup
 from surveyloom.llm.suffix_dedup import suffix_dedup
+from surveyloom.llm.token_files import read_tokens, write_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +53,55 @@ def op10_recompression_dedup(spark: SparkSession, folder: str) -> DataFrame:
         _removed().alias("n_removed"),
         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query
+def op5_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents mixed to source weights 5, 2, 1 in turn, 150% of all words, at most two epochs."""
+    return mix_report(table(spark, folder, "documents"), weights=(5, 2, 1), share=1.5, most=2)
+
+
+@query
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded, written as flat files, and read back."""
+    return read_tokens(write_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+ORACLES["op5_mix_sources"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         length(translate(text, '|#*%&$!<>{}[]^~=_\', '')) / length(text) AS share
+  FROM documents
+), keyed AS (
+  SELECT doc_id, source, size,
+         -ln((('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0)
+           / greatest(0.01, CASE WHEN share IS NULL OR isnan(share) THEN 0.0 ELSE share * share END) AS k
+  FROM sized
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w
+  FROM sized GROUP BY source
+), filled AS (
+  SELECT *, 2 * source_size AS cap, sum(source_size) OVER () * 1.5::DOUBLE AS budget, sum(w) OVER () AS ws,
+         coalesce(sum(2 * source_size) OVER before, 0) AS caps, coalesce(sum(w) OVER before, 0) AS gone
+  FROM sources
+  WINDOW before AS (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), stopped AS (
+  SELECT *, (budget - caps) * w >= cap * (ws - gone) AS stops FROM filled
+), aims AS (
+  SELECT source, source_size,
+         CASE WHEN stops THEN cap::DOUBLE
+              ELSE (budget - coalesce(sum(CASE WHEN stops THEN cap END) OVER (), 0))::DOUBLE
+                   / sum(CASE WHEN NOT stops THEN w END) OVER () * w END AS target
+  FROM stopped
+), rests AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM aims
+), ordered AS (
+  SELECT doc_id, size, r.source_size, r.target, r.epochs, r.target - r.epochs * r.source_size AS rest,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS past
+  FROM keyed d JOIN rests r ON d.source IS NOT DISTINCT FROM r.source
+), picked AS (
+  SELECT *, epochs + CASE WHEN rest > 0 AND past + size / 2 <= rest THEN 1 ELSE 0 END AS n FROM ordered
+)
+SELECT doc_id, size, source_size, target, (n * size)::BIGINT AS taken, n::INTEGER AS times FROM picked
+"""

@@ -55,6 +55,7 @@ class Method:
     fingerprint: Callable[[Units, np.ndarray], tuple[np.ndarray, np.ndarray | None]]  # at ascending window starts
     keep: Callable[[Units, np.ndarray], list[bytes]]  # what is left of each document, by a mask of removed units
     kept_type: str  # "binary" or "string"
+    chunk_bytes: int = chunks.CHUNK_BYTES
 
 
 def _live(row: dict) -> np.ndarray:
@@ -87,7 +88,7 @@ def removed(docs: DataFrame, method: Method) -> DataFrame:
     each other's units. Other columns are ignored. No rows give no rows.
     """
     spark = docs.sparkSession
-    table = chunks.store(docs)
+    table = chunks.store(docs, method.chunk_bytes)
     base = table.join(chunks.copies(table), "chunk_id")
     bits = chunks.name_bits(table.agg(F.sum("n_bytes")).first()[0] or 1)
 

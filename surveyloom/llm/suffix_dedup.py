@@ -21,6 +21,7 @@ from surveyloom.llm.repeats import Method, Samples, Units, removed
 #: Perfect difference sets by period.
 COVERS = {1: (0,), 3: (0, 1), 7: (1, 2, 4), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
 SHORTEST_SAMPLE = 16
+CHUNK_BYTES = 4 << 20  # a task holds some 30 bytes for each byte of a chunk
 
 
 def cover_for(width: int) -> tuple[int, tuple[int, ...]]:
@@ -67,4 +68,4 @@ def suffix_dedup(docs: DataFrame, width: int = 50) -> DataFrame:
         bounds = units.bounds.tolist()
         return [units.values[a:b][~gone[a:b]].tobytes() for a, b in zip(bounds, bounds[1:])]
 
-    return removed(docs, Method(width, load, sample, fingerprint, keep, "binary"))
+    return removed(docs, Method(width, load, sample, fingerprint, keep, "binary", CHUNK_BYTES))
