@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.llm.hashed import fold
 from surveyloom.llm.mixing import mix_report
+from surveyloom.llm.quality import fit_quality, quality_scores
 from surveyloom.llm.recompression import recompression_dedup
 from surveyloom.llm.suffix_dedup import suffix_dedup
 from surveyloom.llm.token_files import read_tokens, write_tokens
+from surveyloom.llm.topk import exact_topk
+from surveyloom.llm.toxicity import fit_toxicity, toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +109,43 @@ WITH sized AS (
 )
 SELECT doc_id, size, source_size, target, (n * size)::BIGINT AS taken, n::INTEGER AS times FROM picked
 """
+
+
+@query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learned on four of five folds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, folder, "labels"), fold(F.col("doc_id"), 5) != 0)
+    return _scored(toxicity_scores(docs, model), F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)), 0.5)
+
+
+@query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all documents, learned on three of four folds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, folder, "labels"), fold(F.col("doc_id"), 4) != 2)
+    return _scored(quality_scores(docs, model), F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)), 0.7)
+
+
+def _scored(scores: DataFrame, held_out, threshold: float) -> DataFrame:
+    predicted = (F.col("_score") >= threshold).cast("int").alias("predicted")
+    return scores.select("doc_id", held_out.alias("held_out"), F.col("_score").alias("score"), predicted)
+
+
+@query
+def op4_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector with all others."""
+    return exact_topk(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+ORACLES["op4_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings WHERE vec_id IS NOT NULL
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
