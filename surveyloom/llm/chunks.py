@@ -291,14 +291,14 @@ def copies(chunks: DataFrame) -> DataFrame:
     def ask(row):
         ids = arrays.unpack_ascending(row["ids"])
         digests = np.frombuffer(row["digests"], arrays.U64).reshape(-1, 2)
-        first, _ = _first_of(digests)
+        first, _ = first_of(digests)
         return Asked(digests[first, 0], ids[first], digests[first, 1])
 
     def mark(batches):
         for row in rows_of(batches):
             ids = arrays.unpack_ascending(row["ids"])
             digests = np.frombuffer(row["digests"], arrays.U64).reshape(-1, 2)
-            first, group = _first_of(digests)
+            first, group = first_of(digests)
             below = answer(row["replies"], "below").astype(bool)
             copied = below[group] | (ids > ids[first][group]) if len(ids) else np.empty(0, bool)
             yield pa.RecordBatch.from_arrays(
@@ -310,7 +310,7 @@ def copies(chunks: DataFrame) -> DataFrame:
     return written(meta.join(replies, "chunk_id", "left").mapInArrow(mark, "chunk_id long, copied binary"), "copies")
 
 
-def _first_of(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def first_of(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first document of each distinct digest, by ascending digest, and the number of each document's digest."""
     order = np.lexsort((np.arange(len(digests)), digests[:, 1], digests[:, 0]))
     ranked = digests[order]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.llm.hashed import fold
+from surveyloom.llm.jaccard_join import jaccard_join
 from surveyloom.llm.mixing import mix_report
 from surveyloom.llm.quality import fit_quality, quality_scores
 from surveyloom.llm.recompression import recompression_dedup
@@ -149,3 +150,35 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents that share three quarters of their five-word shingles."""
+    return jaccard_join(table(spark, folder, "documents"), 5, 75)
+
+
+ORACLES["op1_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) >= 5 THEN list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.root AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) c ON c.node = d.doc_id
+"""
