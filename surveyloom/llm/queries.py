@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.llm.decontaminate import contamination
 from surveyloom.llm.hashed import fold
+from surveyloom.llm.html_text import extract_text, fit_labeller
 from surveyloom.llm.jaccard_join import jaccard_join
 from surveyloom.llm.mixing import mix_report
 from surveyloom.llm.quality import fit_quality, quality_scores
@@ -182,3 +184,16 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.root AS component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) c ON c.node = d.doc_id
 """
+
+
+@query
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the item and its edit distance in words."""
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of all pages."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return extract_text(pages, fit_labeller(pages)).withColumn("n_chars", F.length("text").cast("long"))
