@@ -5,19 +5,20 @@
 2. How many classes hold each n-gram is counted over all documents. One that a single class holds is in no
    intersection, so a class of n with fewer than threshold * n shared ones has no partner and drops out.
 3. Similar classes are partitioned into groups: rounds of leaders in min-hash buckets, on the first pass inside each task.
-   A member is linked to its leader, so a group is connected already. Groups are stored in blocks of some dozens of members, each with
-   the union of its tokens.
-4. The token-group matrix has a row for each block and token among the members' rarest, those of which partners must share one. A class
-   meets the blocks of other groups that share such a token with it. If its overlap with the block's union is
-   below threshold * n, no member can be a partner and the block stays closed; else it is opened and the members compared.
-5. Groups with a link between them are merged by connected components.
-
-Only links between groups are searched, and a pair of groups needs one, so the work doesn't grow with the square of a
-group of near copies.
+   A member is linked to its leader or to a member before it, so a cluster is connected already and only links between
+   clusters are still searched.
+4. The classes are partitioned into blocks of similar ones, by another min-hash. The token-group matrix has a row for each block and
+   token among its members' rarest, those that may be the first common token of partners, with the sizes of the
+   members and of the partners that it may have. Blocks that share such a token of different clusters meet. A class whose
+   overlap with the other block's union is below threshold * n has no partner there; for the others the block is opened
+   and all overlaps are counted at once, as a product of 0/1 matrices.
+5. Clusters with a link between them are merged by connected components.
 """
 
 from __future__ import annotations
 
+import itertools
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +35,9 @@ from surveyloom.llm.components import components
 WIDTH = 5
 PERCENT = 75
 ROUNDS = 3
-LEADERS = 32  # of a bucket that a class is compared with; others are met in the matrix
-BLOCK = 64
+LEADERS = 32  # of a bucket, and as many of its last classes, that a class is compared with; others are met in the matrix
+BLOCK = 256
+BLOCK_BYTES = 4 << 20
 
 
 def _sets(chunk: chunks.Chunk, width: int) -> list[np.ndarray]:
@@ -53,7 +55,8 @@ SETS = "chunk_id long, ids binary, sizes binary, digests binary"
 CLASSES = "chunk_id long, ids binary, sizes binary, reps binary, alone binary"
 ROWS = "rep long, n int, tokens binary"
 LED = "rep long, n int, tokens binary, parent long"
-BLOCKS = "block long, cluster long, least int, most int, members binary, tokens binary, grams binary"
+BLOCKS = "block long, shape binary, tokens binary, rare binary"
+MATRIX = "token long, block long, low long, high long, least long, reach long"
 
 
 def _class_tables(table: DataFrame, width: int) -> DataFrame:
@@ -143,9 +146,9 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _lead(rows: DataFrame, seed: int, percent: int, shuffle: bool) -> DataFrame:
-    """Each class with its parent: a similar leader out of its min-hash bucket, or itself.
+    """Each class with its parent: the leader of a similar class in its min-hash bucket, or itself.
 
-    A task keeps some leaders of each bucket; with `shuffle` a bucket's classes meet in one task, sorted.
+    A task keeps some leaders and the last classes of each bucket; with `shuffle` a bucket's classes meet in one task, sorted.
     """
 
     def key(tokens: np.ndarray) -> int:
@@ -158,7 +161,7 @@ def _lead(rows: DataFrame, seed: int, percent: int, shuffle: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "bucket"])
 
     def lead(batches):
-        leaders: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+        leaders: dict[int, tuple[list, deque]] = {}
         held = 0
         for batch in batches:
             out = [], [], [], []
@@ -166,17 +169,16 @@ def _lead(rows: DataFrame, seed: int, percent: int, shuffle: bool) -> DataFrame:
                 grams = np.sort(np.frombuffer(row["tokens"], U64))
                 if row["bucket"] not in leaders and (shuffle or held > 64 << 20):
                     leaders, held = {}, 0  # another bucket has begun, or enough is held
-                known = leaders.setdefault(row["bucket"], [])
+                first, last = leaders.setdefault(row["bucket"], ([], deque(maxlen=LEADERS)))
                 parent = row["rep"]
-                for rep, n, other in known:
+                for leader, n, other in itertools.chain(first, reversed(last)):
                     low, high = sorted((n, row["n"]))
                     if 100 * low >= percent * high and _similar(_common(grams, other), n, row["n"], percent):
-                        parent = rep
+                        parent = leader
                         break
-                else:
-                    if len(known) < LEADERS:
-                        known.append((row["rep"], row["n"], grams))
-                        held += grams.nbytes
+                known = first if parent == row["rep"] and len(first) < LEADERS else last
+                known.append((parent, row["n"], grams))
+                held += grams.nbytes
                 for column, value in zip(out, (row["rep"], row["n"], row["tokens"] if parent == row["rep"] else None, parent)):
                     column.append(value)
             yield _batch(LED, *out)
@@ -201,92 +203,131 @@ def _groups(rows: DataFrame, percent: int) -> DataFrame:
     return written(out.distinct(), "groups")
 
 
-def _prefix(n: int, tokens: np.ndarray, percent: int) -> np.ndarray:
-    """The rarest tokens, of which every partner shares one. Those that no other class has count as the first."""
-    need = -(-percent * n // 100)
-    return tokens[: len(tokens) - need + 1]
+def _reach(n: int, shared: int, percent: int) -> np.ndarray:
+    """For the place of each rarest token, the largest partner whose first common token may stand there.
+
+    Partners of n and s tokens share at least percent / (100 + percent) * (n + s). If the first of them has place i
+    among a set's shared tokens, it shares shared - i at most. The places after which no size is left are left out.
+    """
+    most = np.minimum((shared - np.arange(shared)) * (100 + percent) // percent - n, 100 * n // percent)
+    return most[: int((100 * most >= percent * n).sum())]
 
 
 def _blocks(grouped: DataFrame, percent: int) -> DataFrame:
-    """Members of one group each: the token union (`grams`, ascending) and the members' sets one after another."""
+    """Blocks of similar classes, those of one min-hash: their shape (cluster, n, shared tokens) and sets, and the rows of
+    the matrix: rare tokens of the union with the clusters, sizes and reach of the members that have them."""
+
+    def keyed(batches):
+        for batch in batches:
+            sets = [np.frombuffer(x, U64) for x in batch.column("tokens").to_pylist()]
+            keys = [int(arrays.mix(x ^ U64(0xB10C)).min() >> U64(1)) if len(x) else 0 for x in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, "bucket"])
 
     def block(batches):
-        held, number = [], 0
+        held, size, number = [], 0, 0
 
         def row():
             sets = [np.frombuffer(x["tokens"], U64) for x in held]
-            sizes = [x["n"] for x in held]
-            shape = np.array([(x["n"], len(s)) for x, s in zip(held, sets)], np.int64)
-            rare = np.unique(np.concatenate([_prefix(n, s, percent) for n, s in zip(sizes, sets)]))
-            union = np.unique(np.concatenate(sets))
+            shape = np.array([(x["cluster"], x["n"], len(s)) for x, s in zip(held, sets)], np.int64)
+            reach = [_reach(x["n"], len(s), percent) for x, s in zip(held, sets)]
+            tokens = np.concatenate([s[: len(r)] for s, r in zip(sets, reach)])
+            order = np.argsort(tokens, kind="stable")
+            first = np.flatnonzero(np.diff(tokens[order], prepend=~tokens[order[:1]]) != 0)
+            cluster, n = (np.repeat(shape[:, k], [len(r) for r in reach])[order] for k in (0, 1))
+            folds = ((np.minimum, cluster), (np.maximum, cluster), (np.minimum, n), (np.maximum, np.concatenate(reach)[order]))
+            rare = np.stack([tokens[order][first].view(np.int64), *(f.reduceat(x, first) for f, x in folds)], axis=1)
             name = TaskContext.get().partitionId() * (1 << 32) + number
-            packed = np.concatenate([[len(rare)], rare, union]).astype(U64)
-            return _batch(BLOCKS, [name], [held[0]["cluster"]], [min(sizes)], [max(sizes)], [shape.tobytes()], [b"".join(x["tokens"] for x in held)], [packed.tobytes()])
+            return _batch(BLOCKS, [name], [shape.tobytes()], [b"".join(x["tokens"] for x in held)], [rare.astype(np.int64).tobytes()])
 
         for x in rows_of(batches):
-            if held and (len(held) == BLOCK or held[0]["cluster"] != x["cluster"]):
+            if held and (len(held) == BLOCK or size > BLOCK_BYTES or held[0]["bucket"] != x["bucket"]):
                 yield row()
-                held, number = [], number + 1
+                held, size, number = [], 0, number + 1
             held.append(x)
+            size += len(x["tokens"])
         if held:
             yield row()
 
-    ranged = grouped.repartitionByRange(partitions(grouped.sparkSession), "cluster", "rep").sortWithinPartitions("cluster", "rep")
+    keys = grouped.select("rep", "n", "tokens", "cluster").mapInArrow(keyed, f"{ROWS}, cluster long, bucket long")
+    ranged = keys.repartitionByRange(partitions(grouped.sparkSession), "bucket", "cluster", "rep").sortWithinPartitions("bucket", "cluster", "rep")
     return written(ranged.mapInArrow(block, BLOCKS), "blocks")
 
 
-def _matrix(blocks: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """Pairs (rep, block) of different groups that share a rare token, the smaller group's member asking."""
+def _matrix(blocks: DataFrame) -> DataFrame:
+    """Pairs of blocks (a, b), a <= b, that share a rare token of members of different groups and fitting sizes."""
 
-    def of_blocks(batches):
+    def rows(batches):
         for x in rows_of(batches):
-            packed = np.frombuffer(x["grams"], U64)
-            rare = packed[1 : 1 + int(packed[0])].view(np.int64)
-            yield _batch("token long, block long, other long", rare, np.full(len(rare), x["block"]), np.full(len(rare), x["cluster"]))
-
-    def of_classes(batches):
-        for batch in batches:
-            for x in batch.to_pylist():
-                rare = _prefix(x["n"], np.frombuffer(x["tokens"], U64), percent).view(np.int64)
-                yield _batch("token long, rep long, cluster long", rare, np.full(len(rare), x["rep"]), np.full(len(rare), x["cluster"]))
-
-    matrix = written(blocks.select("block", "cluster", "grams").mapInArrow(of_blocks, "token long, block long, other long"), "matrix")
-    several = matrix.groupBy("token").agg(F.min("other").alias("low"), F.max("other").alias("high")).where("low < high").select("token", "high")
-    several = written(several, "tokens")
-    asking = grouped.mapInArrow(of_classes, "token long, rep long, cluster long").join(several, "token").where("cluster < high").drop("high")
-    asked = matrix.join(several.select("token"), "token")
-    return written(asking.join(asked, "token").where("cluster < other").select("rep", "block").distinct(), "candidates")
-
-
-def _opened(blocks: DataFrame, grouped: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
-    """Links between groups (a, b). Blocks and asking classes meet sorted, the block first."""
-    asking = candidates.join(grouped, "rep").select(
-        "block", F.lit(1).alias("kind"), "cluster", F.col("n").alias("least"), F.lit(0).alias("most"), "tokens", *[F.lit(None).cast("binary").alias(x) for x in ("members", "grams")]
-    )
-    there = blocks.join(candidates.select("block").distinct(), "block", "left_semi").select("block", F.lit(0).alias("kind"), "cluster", "least", "most", "tokens", "members", "grams")
-    dealt = there.unionByName(asking).repartition(partitions(blocks.sparkSession), "block").sortWithinPartitions("block", "kind")
+            rare = np.frombuffer(x["rare"], np.int64).reshape(-1, 5).T
+            yield _batch(MATRIX, rare[0], np.full(rare.shape[1], x["block"]), *rare[1:])
+
+    matrix = written(blocks.select("block", "rare").mapInArrow(rows, MATRIX), "matrix")
+    several = matrix.groupBy("token").agg(F.min("low").alias("lowest"), F.max("high").alias("highest")).where("lowest < highest")
+    asked = written(matrix.join(several.select("token"), "token"), "asked")
+    a, b = asked.alias("a"), asked.alias("b")
+    apart = "a.block <= b.block AND (a.low < b.high OR b.low < a.high) AND a.least <= b.reach AND b.least <= a.reach"
+    return written(a.join(b, "token").where(apart).select(F.col("a.block").alias("a"), F.col("b.block").alias("b")).distinct(), "pairs")
+
+
+def _overlaps(a: np.ndarray, a_of: np.ndarray, b: np.ndarray, b_of: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """The sizes of all intersections between sets of two blocks, by products of their 0/1 matrices over common tokens."""
+    common = np.intersect1d(a, b)
+    out = np.zeros(shape, np.float32)
+    if not len(common):
+        return out
+
+    def places(tokens, owner):
+        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+        has = common[at] == tokens
+        return at[has], owner[has]
+
+    at_a, own_a = places(a, a_of)
+    at_b, own_b = places(b, b_of)
+    step = 2048
+    for low in range(0, len(common), step):
+        sides = []
+        for at, own, n in ((at_a, own_a, shape[0]), (at_b, own_b, shape[1])):
+            here = (at >= low) & (at < low + step)
+            side = np.zeros((n, step), np.float32)
+            side[own[here], at[here] - low] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _opened(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Links between groups (a, b). The blocks of a pair meet sorted, the one that is asked first."""
+    sets = blocks.select("block", "shape", "tokens")
+    asking = pairs.join(sets, pairs["a"] == sets["block"]).select(F.col("b").alias("block"), F.lit(1).alias("kind"), "shape", "tokens")
+    asked = sets.join(pairs.select(F.col("b").alias("block")).distinct(), "block").select("block", F.lit(0).alias("kind"), "shape", "tokens")
+    dealt = asked.unionByName(asking).repartition(partitions(blocks.sparkSession), "block").sortWithinPartitions("block", "kind")
+
+    def read(x):
+        shape = np.frombuffer(x["shape"], np.int64).reshape(-1, 3)
+        return shape, np.frombuffer(x["tokens"], U64), np.repeat(np.arange(len(shape)), shape[:, 2])
 
     def search(batches):
-        block = None
+        shape = tokens = owner = union = None
         for x in rows_of(batches):
             if x["kind"] == 0:
-                packed = np.frombuffer(x["grams"], U64)
-                shape = np.frombuffer(x["members"], np.int64).reshape(-1, 2)
-                block, union, done = x, packed[1 + int(packed[0]) :], set()
-                sizes, firsts = shape[:, 0], np.concatenate(([0], np.cumsum(shape[:, 1])[:-1]))
-                tokens = np.frombuffer(x["tokens"], U64)
+                shape, tokens, owner = read(x)
+                union = np.unique(tokens)
                 continue
-            n, grams = x["least"], np.sort(np.frombuffer(x["tokens"], U64))
-            if x["cluster"] in done or 100 * block["most"] < percent * n or 100 * n < percent * block["least"]:
+            own, grams, of = read(x)
+            at = np.minimum(np.searchsorted(union, grams), len(union) - 1)
+            bound = np.bincount(of, union[at] == grams, minlength=len(own))
+            use = np.flatnonzero(100 * bound >= percent * own[:, 1])  # no member shares enough with the others
+            if not len(use):
                 continue
-            if 100 * _common(grams, union) < percent * n:
-                continue  # the bound: no member shares enough
-            at = np.searchsorted(grams, tokens)
-            at[at == len(grams)] = 0
-            common = np.add.reduceat((grams[at] == tokens).astype(np.int64), firsts)
-            if (100 * common >= percent * (sizes + n - common)).any():
-                done.add(x["cluster"])
-                yield _batch("a long, b long", [x["cluster"]], [block["cluster"]])
+            place = np.full(len(own), -1)
+            place[use] = np.arange(len(use))
+            some = place[of] >= 0
+            common = _overlaps(grams[some], place[of[some]], tokens, owner, (len(use), len(shape))).astype(np.int64)
+            linked = 100 * common >= percent * (own[use, 1][:, None] + shape[:, 1] - common)
+            linked &= own[use, 0][:, None] != shape[:, 0]
+            left, right = np.nonzero(linked)
+            found = np.unique(np.stack([own[use, 0][left], shape[right, 0]], axis=1), axis=0)
+            yield _batch("a long, b long", found[:, 0], found[:, 1])
 
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
@@ -306,8 +347,7 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     groups = _groups(rows, percent)
     grouped = written(rows.join(groups, "rep"), "grouped")
     blocks = _blocks(grouped, percent)
-    candidates = _matrix(blocks, grouped, percent)
-    links = components(_opened(blocks, grouped, candidates, percent))
+    links = components(_opened(blocks, _matrix(blocks), percent))
     rooted = groups.join(links, groups["cluster"] == links["node"], "left").select("rep", F.coalesce("root", "cluster").alias("root"))
     rooted = written(rooted, "rooted")
     least = written(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "least")
