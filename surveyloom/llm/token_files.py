@@ -9,6 +9,7 @@ name of its own and reports it; a lost or repeated attempt leaves files that no
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import uuid
 import zlib
@@ -29,14 +30,54 @@ from surveyloom.session import new_folder, ship_package
 
 END_ID = 1
 NO_ID = np.iinfo(np.int64).max
-CACHED_WORDS = 300_000
+CACHED_UNITS = 400_000
+
+
+#: What a byte can be: part of a letter, ASCII punctuation, or anything else.
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[x for x in range(0x21, 0x7F) if not chr(x).isalnum()]] = True
+
+
+def _units(text: np.ndarray, starts: np.ndarray, stops: np.ndarray, special: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words cut where a letter meets ASCII punctuation: the bytes, n + 1 places, and the word of each unit.
+
+    Letters are A-Z, a-z and U+00C0-U+00FF without the two signs; they come out in lower case. Words with any other byte,
+    or with the beginning of a special token, stay whole and unchanged. A tokenizer that takes runs of letters, single digits and runs of punctuation apart, and
+    lowers the case, reads the units as it reads the words.
+    """
+    flat = text[~arrays.SPACE[text]]
+    places = np.concatenate(([0], np.cumsum(stops - starts))).astype(np.int64)
+    after = np.zeros(len(flat), bool)  # the second byte of a letter with an accent
+    after[1:] = (flat[:-1] == 0xC3) & (flat[1:] >= 0x80) & (flat[1:] <= 0xBF) & (flat[1:] != 0x97) & (flat[1:] != 0xB7)
+    lead = np.zeros(len(flat), bool)
+    lead[:-1] = after[1:]
+    letter = _LETTER[flat] | after | lead
+    odd = ~(letter | _MARK[flat])
+    plain = np.ones(len(starts), bool)
+    for begin in {x[:2] for x in special}:
+        at = flat == begin[0]
+        if len(begin) > 1:
+            at[:-1] &= flat[1:] == begin[1]
+        odd |= at
+    plain[np.searchsorted(places, np.flatnonzero(odd), "right") - 1] = False
+    byte_plain = np.repeat(plain, stops - starts)
+    upper = byte_plain & (_LETTER[flat] & (flat < 0x61) | after & (flat <= 0x9E))
+    flat = flat + (upper * np.uint8(0x20))
+    cut = np.zeros(len(flat), bool)
+    cut[1:] = letter[:-1] & ~letter[1:] & byte_plain[1:]
+    cut[places[:-1]] = True
+    begins = np.flatnonzero(cut)
+    word = np.searchsorted(places, begins, "right") - 1
+    return flat, np.append(begins, len(flat)).astype(np.int64), word
 
 
 class Encoder:
-    """A tokenizer whose tokens never span ASCII white space, applied to each distinct word once.
+    """A tokenizer whose tokens never span ASCII white space, applied to each distinct unit of a word once.
 
     Splitting at 0x20 and 0x09-0x0D is exact for it: white space is dropped, no pattern crosses it, and neither
-    composition nor lower case reaches over it.
+    composition nor lower case reaches over it. For the cuts inside words see `_units`.
     """
 
     def __init__(self, path: str):
@@ -45,32 +86,31 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, np.ndarray] = {}
+        self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, list[int]] = {}
 
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known, new = {}, words
-        for word, encoding in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[word] = np.array(encoding.ids, self.dtype)
-        return [self.known[w] for w in words]
+    def _ids(self, units: list[str]) -> list[list[int]]:
+        new = [x for x in units if x not in self.known]
+        if len(self.known) + len(new) > CACHED_UNITS:
+            self.known, new = {}, units
+        self.known.update(zip(new, [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]))
+        return [self.known[x] for x in units]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by `end_id`, and their numbers."""
         text, offsets = arrays.text_bytes(texts)
         starts, stops, bounds = arrays.word_spans(text, offsets)
         if len(starts):
-            # words one after another, as a column whose values are told apart by Arrow
-            flat = text[~arrays.SPACE[text]]
-            places = np.concatenate(([0], np.cumsum(stops - starts))).astype(np.int64)
-            column = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(flat))
+            flat, places, word = _units(text, starts, stops, self.special)
+            column = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places), pa.py_buffer(flat))
             coded = column.dictionary_encode()
-            distinct = self._words(coded.dictionary.to_pylist())
+            distinct = self._ids(coded.dictionary.to_pylist())
             sizes = np.array([len(x) for x in distinct], np.int64)
-            first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            word = coded.indices.to_numpy()
-            tokens = np.concatenate(distinct)[arrays.expand(first[word], first[word] + sizes[word])]
-            before = np.concatenate(([0], np.cumsum(sizes[word])))[bounds]
+            ids = np.fromiter(itertools.chain.from_iterable(distinct), self.dtype, int(sizes.sum()))
+            first = np.cumsum(sizes) - sizes
+            unit = coded.indices.to_numpy()
+            tokens = ids[arrays.expand(first[unit], first[unit] + sizes[unit])]
+            before = np.concatenate(([0], np.cumsum(sizes[unit])))[np.searchsorted(word, bounds)]
         else:
             tokens, before = np.empty(0, self.dtype), np.zeros(len(texts) + 1, np.int64)
         counts = np.diff(before)
