@@ -117,14 +117,16 @@ def _linkable(table: DataFrame, classes: DataFrame, width: int, percent: int) ->
             chunk, use, found = own(row)
             cut, _ = names(found)
             held = answer(row["replies"], "count")
+            cut, held = cut[held >= 2], held[held >= 2]
+            flat = np.concatenate(found) if found else np.empty(0, U64)
+            sizes = np.array([len(x) for x in found], np.int64)
+            at = np.flatnonzero(chunks.members(flat, cut, bits))  # the shared n-grams
+            ends = np.searchsorted(at, np.cumsum(sizes))
             out = [], [], []
-            for doc, grams in zip(use, found):
-                counts = held[np.searchsorted(cut, grams >> U64(64 - bits))]
-                shared = counts >= 2
-                if 100 * int(shared.sum()) < percent * len(grams):
-                    continue
-                order = np.argsort(counts[shared], kind="stable")  # then by hash, as `grams` ascend
-                for column, value in zip(out, (int(chunk.ids[doc]), len(grams), grams[shared][order].tobytes())):
+            for i in np.flatnonzero(100 * np.diff(ends, prepend=0) >= percent * sizes).tolist():
+                grams = flat[at[ends[i - 1] if i else 0 : ends[i]]]
+                order = np.argsort(held[np.searchsorted(cut, grams >> U64(64 - bits))], kind="stable")  # then by hash, as `grams` ascend
+                for column, value in zip(out, (int(chunk.ids[use[i]]), int(sizes[i]), grams[order].tobytes())):
                     column.append(value)
             yield _batch(ROWS, *out)
 
