@@ -37,6 +37,7 @@ PERCENT = 75
 ROUNDS = 3
 LEADERS = 32  # of a bucket, and as many of its last classes, that a class is compared with; others are met in the matrix
 BLOCK = 256
+CHUNK_BYTES = 4 << 20  # a task holds some 40 bytes for each byte of a chunk
 BLOCK_BYTES = 4 << 20
 
 
@@ -343,7 +344,7 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     nothing; a row without a doc_id links with nothing and has no component. Rows that repeat a doc_id each get a row. No rows
     give no rows.
     """
-    table = chunks.store(docs)
+    table = chunks.store(docs, CHUNK_BYTES)
     classes = _class_tables(table, width)
     rows = _linkable(table, classes, width, percent)
     groups = _groups(rows, percent)
