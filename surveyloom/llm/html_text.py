@@ -436,8 +436,9 @@ def train(pages: list[str], made: int = MADE_PAGES) -> Labeller:
 
 def fit_labeller(pages: DataFrame, most: int = FIT_PAGES) -> Labeller:
     """Train on at most `most` whole pages of at most FIT_CHARS characters, those whose ids have the smallest digests."""
-    rows = pages.where(F.length("html") <= FIT_CHARS).select("page_id", "html")
-    found = rows.orderBy(F.xxhash64("page_id"), "page_id").limit(most).collect()
+    chosen = pages.where(F.length("html") <= FIT_CHARS).select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(most)
+    rows = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").where(F.length("html") <= FIT_CHARS)
+    found = rows.orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(most).collect()
     return train([r["html"] for r in found])
 
 

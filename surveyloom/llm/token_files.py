@@ -87,14 +87,27 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
-
-    def _ids(self, units: list[str]) -> list[list[int]]:
-        new = [x for x in units if x not in self.known]
-        if len(self.known) + len(new) > CACHED_UNITS:
-            self.known, new = {}, units
-        self.known.update(zip(new, [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]))
-        return [self.known[x] for x in units]
+        self._forget()
+
+    def _forget(self):
+        self.known: dict[str, int] = {}
+        self.sizes = np.empty(0, np.int64)  # of known units, in the order of their numbers
+        self.ids = np.empty(0, self.dtype)
+
+    def _numbers(self, units: list[str]) -> np.ndarray:
+        """The units' numbers; new ones are encoded."""
+        if len(self.known) > CACHED_UNITS:
+            self._forget()
+        out = np.fromiter(map(self.known.get, units, itertools.repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            found = [x.ids for x in self.tokenizer.encode_batch_fast([units[i] for i in new], add_special_tokens=False)]
+            out[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self.known.update(zip([units[i] for i in new], out[new].tolist()))
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(found), self.dtype, int(sizes.sum()))])
+        return out
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by `end_id`, and their numbers."""
@@ -104,13 +117,10 @@ class Encoder:
             flat, places, word = _units(text, starts, stops, self.special)
             column = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places), pa.py_buffer(flat))
             coded = column.dictionary_encode()
-            distinct = self._ids(coded.dictionary.to_pylist())
-            sizes = np.array([len(x) for x in distinct], np.int64)
-            ids = np.fromiter(itertools.chain.from_iterable(distinct), self.dtype, int(sizes.sum()))
-            first = np.cumsum(sizes) - sizes
-            unit = coded.indices.to_numpy()
-            tokens = ids[arrays.expand(first[unit], first[unit] + sizes[unit])]
-            before = np.concatenate(([0], np.cumsum(sizes[unit])))[np.searchsorted(word, bounds)]
+            unit = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            sizes, first = self.sizes[unit], (np.cumsum(self.sizes) - self.sizes)[unit]
+            tokens = self.ids[arrays.expand(first, first + sizes)]
+            before = np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(word, bounds)]
         else:
             tokens, before = np.empty(0, self.dtype), np.zeros(len(texts) + 1, np.int64)
         counts = np.diff(before)
@@ -147,7 +157,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder:
         encoder = _encoder(tokenizer)
         counts, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         with files.open_output_stream(f"{stem}.tokens") as sink:
-            for piece in arrays.parts(batches, "text"):
+            for piece in arrays.parts(batches, "text", 8 << 20):
                 tokens, sizes = encoder.encode(piece.column("text"), end_id)
                 sink.write(tokens.tobytes())
                 counts.append(sizes)
