@@ -6,6 +6,7 @@ polynomial sums over bytes or words, finished by a mixer; they depend on nothing
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Callable, Iterator
 
@@ -207,6 +208,14 @@ def unsigned_to_signed(values: np.ndarray) -> np.ndarray:
     return (values ^ U64(1 << 63)).view(np.int64)
 
 
+def release() -> None:
+    """Give freed memory back at the end of a task, as Python workers live on for the next stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def parts(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold some `limit` bytes of the text column each, or one row."""
     for batch in batches:

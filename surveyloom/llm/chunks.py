@@ -119,6 +119,7 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Re
             held, size, rows = [*held, piece], size + n, rows + piece.num_rows
     if held:
         yield _chunk_row(number, held)
+    arrays.release()
 
 
 def store(docs: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:

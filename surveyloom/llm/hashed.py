@@ -15,6 +15,9 @@ from surveyloom.llm.arrays import U64
 from surveyloom.session import ship_package
 
 
+PART = 2 << 20  # bytes of text whose terms are in memory at a time
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n
@@ -49,10 +52,11 @@ def score_texts(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.nd
     schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in arrays.parts(batches, "text"):
+        for part in arrays.parts(batches, "text", PART):
             text, offsets = arrays.text_bytes(part.column("text"))
             values = pa.array(score(text, offsets), pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns, values], [*part.schema.names, "_score"])
+        arrays.release()
 
     return docs.mapInArrow(run, schema)
 

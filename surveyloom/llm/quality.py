@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.llm import arrays
 from surveyloom.llm.arrays import U64
-from surveyloom.llm.hashed import bins, by_document, labelled_sample, score_texts, sigmoid
+from surveyloom.llm.hashed import PART, bins, by_document, labelled_sample, score_texts, sigmoid
 from surveyloom.session import ship_package
 
 SIZE = 1 << 18
@@ -107,12 +107,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, keep: Column | None = None,
     ship_package(docs.sparkSession)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in arrays.parts(batches, "text"):
+        for part in arrays.parts(batches, "text", PART):
             docs_, terms, values = features(*arrays.text_bytes(part.column("text")))
             cuts = np.searchsorted(docs_, np.arange(part.num_rows + 1))
             blobs = [[x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for x in (terms.astype(np.int32), values.astype(np.float32))]
             columns = [part.column("doc_id"), part.column("y"), *(pa.array(x, pa.binary()) for x in blobs)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "y", "terms", "vals"])
+        arrays.release()
 
     sample = labelled_sample(docs, labels, "quality", keep, most)
     rows = sample.select("doc_id", "y", "text").mapInArrow(extract, "doc_id long, y int, terms binary, vals binary")

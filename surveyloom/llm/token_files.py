@@ -30,7 +30,7 @@ from surveyloom.session import new_folder, ship_package
 
 END_ID = 1
 NO_ID = np.iinfo(np.int64).max
-CACHED_UNITS = 400_000
+CACHED_UNITS = 250_000
 
 
 #: What a byte can be: part of a letter, ASCII punctuation, or anything else.
@@ -157,7 +157,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder:
         encoder = _encoder(tokenizer)
         counts, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         with files.open_output_stream(f"{stem}.tokens") as sink:
-            for piece in arrays.parts(batches, "text", 8 << 20):
+            for piece in arrays.parts(batches, "text"):
                 tokens, sizes = encoder.encode(piece.column("text"), end_id)
                 sink.write(tokens.tobytes())
                 counts.append(sizes)
@@ -167,6 +167,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder:
         for name, values in (("offsets", offsets), ("doc_ids", ids)):
             with files.open_output_stream(f"{stem}.{name}") as sink:
                 sink.write(values.astype("<i8").tobytes())
+        arrays.release()
         if len(ids):
             yield pa.RecordBatch.from_pylist(
                 [
