@@ -27,7 +27,7 @@ def n_words(text: Column) -> Column:
 
 def quality_weight(text: Column) -> Column:
     """From 0.01 to 1: the square of the share of characters that aren't marks. Empty texts weigh 0.01."""
-    share = F.length(F.translate(text, MARKS, "")) / F.length(text)
+    share = F.try_divide(F.length(F.translate(text, MARKS, "")), F.length(text))
     return F.greatest(F.lit(0.01), F.coalesce(share * share, F.lit(0.0)))
 
 
