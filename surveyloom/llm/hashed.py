@@ -47,8 +47,9 @@ def by_document(docs: np.ndarray, terms: np.ndarray, size: int) -> tuple[np.ndar
 
 
 def score_texts(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """The columns of `docs` and `_score`, by a function of text bytes and document offsets."""
+    """The columns of `docs` and `_score`, by a function of text bytes and document offsets. An earlier `_score` is replaced."""
     ship_package(docs.sparkSession)
+    docs = docs.drop("_score")
     schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.llm.chunks import written
+from surveyloom.llm.extras import carried
 from surveyloom.llm.prefix import running
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -114,8 +115,12 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
-    """The mixed documents, each as often as it is taken, with the columns of `docs`."""
+    """The mixed documents, each as often as it is taken, with the columns of `docs`, whatever their names."""
     _, aims = plan(docs, seed=seed, **options)
-    columns = docs.columns
-    joined = docs.select("*", *_keyed(docs, seed)).join(aims.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-    return joined.withColumn("_times", _times("_source")).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*columns)
+    aims = aims.withColumnRenamed("source", "_source")
+
+    def repeated(slim: DataFrame) -> DataFrame:
+        joined = slim.select("*", *_keyed(slim, seed)).join(aims, F.col("source").eqNullSafe(F.col("_source")))
+        return joined.withColumn("_times", _times("_source")).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+
+    return carried(docs, ("doc_id", "text", "source"), repeated)
