@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from surveyloom.llm.decontaminate import decontaminated
+from surveyloom.llm.extras import carried
 from surveyloom.llm.jaccard_join import jaccard_join
 from surveyloom.llm.mixing import mix
 from surveyloom.llm.quality import fit_quality, quality_scores
@@ -21,7 +22,7 @@ ORACLE_SQL = None
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose quality scores at least 0.7."""
     model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_scores(docs, model).where(F.col("_score") >= QUALITY).select(*docs.columns)
+    return carried(docs, ("doc_id", "text"), lambda slim: quality_scores(slim, model).where(F.col("_score") >= QUALITY))
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +32,13 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     joined = jaccard_join(docs)
     first = joined.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, docs["doc_id"].cast("long") == first["doc_id"], "left_semi")
     one = W.partitionBy("doc_id").orderBy("doc_id")
-    kept = kept.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+
+    def firsts(slim: DataFrame) -> DataFrame:
+        kept = slim.join(first, slim["doc_id"].cast("long") == first["doc_id"], "left_semi")
+        return kept.withColumn("_n", F.row_number().over(one)).where("_n = 1")
+
+    return carried(docs, ("doc_id", "text"), firsts).unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
