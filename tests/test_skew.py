@@ -47,9 +47,20 @@ def test_hot_header(small_sizes):
 def test_hot_bucket(small_sizes):
     buckets = small_sizes.range(300_000).select(
         F.col("id").alias("survey_id"),
-        F.lit("c").alias("category"),
-        F.lit(0).alias("band"),
+        F.element_at(F.array(F.lit("c"), F.lit("d")), (F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 2) + 1).cast("int")).alias("category"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 16).cast("int").alias("band"),
         hot((F.col("id") / 2).cast("long")).alias("bucket"),
     )
     led = similarity._with_leader(buckets.repartition(8))
     assert splits(led) and led.filter("bucket = 'hot'").count() == 99_999
+
+
+def test_hot_star_centre(small_sizes):
+    """Both steps over a component whose centre a third of the edges share."""
+    edges = small_sizes.range(1, 300_001).select(
+        F.col("id").alias("node"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") - 1).alias("root")
+    )
+    large = similarity._large_star(edges.repartition(8))
+    assert splits(large)
+    small = similarity._small_star(edges.select(F.col("root").alias("node"), (-F.col("node")).alias("root")).repartition(8))
+    assert splits(small)
