@@ -30,14 +30,15 @@ def upsert(
 
     Keys match null with null. Two source rows on one target row are an error, raised
     when the plan runs; unmatched duplicates are all inserted. With
-    `on_duplicate="latest"` the source is first reduced to the row with the greatest
-    `order_by` per key.
+    `on_duplicate="latest"` target and source together are reduced to the row with the
+    greatest `order_by` per key, so late and repeated batches change nothing that is newer;
+    a null `order_by` is older than any value.
     """
     if on_duplicate == "latest":
         if order_by is None:
             raise ValueError("on_duplicate='latest' needs order_by")
-        source = latest_per_key(source, keys, order_by)
-    elif on_duplicate != "error":
+        return latest_per_key(target.unionByName(source), keys, order_by)
+    if on_duplicate != "error":
         raise ValueError(f"unknown policy {on_duplicate!r}")
     # Grouped first: a key that fills a large share of the source meets the target once.
     counts = source.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("*").alias("_n"))

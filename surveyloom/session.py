@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +62,23 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what it holds; nothing happens if it isn't there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """`materialise` for the length of a block; the files go at its end, also after an error."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal out a frame that reads fewer splits than there are cores.
 

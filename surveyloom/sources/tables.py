@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveyloom.operators.merging import join_null_safe, replace_by_key, upsert
-from surveyloom.session import materialise, new_folder
+from surveyloom.operators.merging import replace_by_key, upsert
+from surveyloom.session import new_folder, remove_folder, scratch
 
 TRANSLATIONS = T.StructType(
     [
@@ -84,13 +83,14 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def rewrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table by a frame that reads the table itself.
 
-    The new content is written out in the shared folder before the old is touched, so a
-    failure on the way leaves a whole copy.
+    The new content is written out in the shared folder before the old is touched. The
+    copy goes when the table is complete; a failure while the table is written leaves it.
     """
     spark = df.sparkSession
     staged = new_folder(spark, "staged")
     df.write.parquet(staged)
     replace_table(spark.read.schema(df.schema).parquet(staged), path, partition_by)
+    remove_folder(spark, staged)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -125,23 +125,24 @@ def write_clustered(df: DataFrame, path: str, *columns: str) -> None:
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], **policy) -> None:
     """Keyed upsert into a parquet table that may not exist yet; rewrites the table.
 
-    For large tables partition by a column of the key and use `upsert_periods`.
+    For large tables partition by a column of the key and use `upsert_periods`. The source
+    is computed once, as it may hold model calls.
     """
-    target = spark.read.parquet(path) if _exists(spark, path) else spark.createDataFrame([], source.schema)
-    rewrite_table(upsert(target, source, keys, **policy), path)
+    with scratch(source, "source") as rows:
+        target = spark.read.parquet(path) if _exists(spark, path) else spark.createDataFrame([], rows.schema)
+        rewrite_table(upsert(target, rows, keys, **policy), path)
 
 
-def _in_periods(target: DataFrame, batch: DataFrame, period: Sequence[str], most: int = 1000) -> DataFrame:
-    """Target rows in the periods of the batch.
+def _in_periods(target: DataFrame, batch: DataFrame, period: Sequence[str]) -> DataFrame:
+    """Target rows in the periods of the batch, null equal to null.
 
-    Up to `most` periods become a filter on the partition columns, so only their
-    directories are read; beyond that they are joined.
+    The periods are a subquery's one array, no longer than the list of directories the
+    planner holds anyway. The test reads partition columns only, so it picks the
+    directories to read, with one plan for any number of periods.
     """
-    found = batch.select(*period).distinct().limit(most + 1).collect()
-    if len(found) > most:
-        return join_null_safe(target, batch.select(*period).distinct(), period, "left_semi")
-    same = lambda row: reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(row[p])) for p in period])
-    return target.filter(reduce(lambda a, b: a | b, [same(row) for row in found], F.lit(False)))
+    one = F.struct(*period)
+    periods = batch.select(one.alias("p")).groupBy().agg(F.collect_set("p").alias("p"))
+    return target.filter(F.array_contains(periods.scalar(), one))
 
 
 def _rewrite_periods(
@@ -156,22 +157,26 @@ def _rewrite_periods(
     batch's partitions.
 
     The batch is written out first, as it is read several times. A dynamic partition
-    overwrite drops the old files only when the new ones are complete.
+    overwrite drops the old files only when the new ones are complete. A batch whose columns
+    aren't the table's is refused, as the rewritten periods would lose the others.
     """
     if not set(period) <= set(keys):
         raise ValueError("the period columns must be part of the key")
-    batch = materialise(batch, "batch")
-    content = batch
-    if _exists(spark, path):
-        target = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
-        content = merge(_in_periods(target, batch, period), batch)
-    (
-        gathered(content, period)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*period)
-        .parquet(path)
-    )
+    with scratch(batch, "batch") as rows:
+        content = rows
+        if _exists(spark, path):
+            columns = spark.read.parquet(path).columns
+            if set(columns) != set(rows.columns):
+                raise ValueError(f"the table has the columns {sorted(columns)}, the batch {sorted(rows.columns)}")
+            target = spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+            content = merge(_in_periods(target, rows, period), rows)
+        (
+            gathered(content, period)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*period)
+            .parquet(path)
+        )
 
 
 def upsert_periods(

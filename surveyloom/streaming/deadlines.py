@@ -19,7 +19,8 @@ def missed_deadlines(
     `opened` has case_id, ts and severity, `handled` has case_id and ts. For each rule an
     outer join of the two streams looks for a handling within the rule's hours; Spark
     keeps an open case in its state until the watermark passes the deadline, and then
-    gives it out unmatched. A case handled later is reported too.
+    gives it out unmatched. A case handled later is reported too. A case of unknown severity
+    falls under the strictest rule.
     """
     closed = handled.select(F.col("case_id").alias("_case"), F.col("ts").alias("_handled"))
     closed = closed.withWatermark("_handled", delay)
@@ -31,6 +32,8 @@ def missed_deadlines(
         mine = F.col("severity") >= rule.min_severity
         if above is not None:
             mine = mine & (F.col("severity") < above.min_severity)
+        else:
+            mine = mine | F.col("severity").isNull()
         in_time = (
             (F.col("case_id") == F.col("_case"))
             & (F.col("_handled") >= F.col("ts"))

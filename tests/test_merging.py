@@ -1,10 +1,12 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from surveyloom.operators import merging
 from surveyloom.plans import scorecard
+from surveyloom.session import shared_folder
 from surveyloom.sources import tables as io
 
 SCHEMA = "k string, d date, v string"
@@ -42,6 +44,14 @@ def test_two_source_rows_on_one_target_row_fail(spark):
     assert rows(latest) == [("a", DAY, "y")]
 
 
+def test_a_late_batch_replaces_nothing_newer(spark):
+    schema = "k string, ts int, v string"
+    target = spark.createDataFrame([("a", 10, "newer"), ("b", 1, "older"), (None, None, "unknown")], schema)
+    late = spark.createDataFrame([("a", 5, "late"), ("b", 5, "new"), (None, 1, "known")], schema)
+    out = merging.upsert(target, late, ["k"], on_duplicate="latest", order_by="ts")
+    assert rows(out) == sorted([("a", 10, "newer"), ("b", 5, "new"), (None, 1, "known")], key=str)
+
+
 CARD = "fiscal_year string, fiscal_month string, banner string, country string, v string"
 
 
@@ -89,6 +99,38 @@ def test_replace_periods_touches_only_the_batch(spark, tmp_path):
     )
 
 
+@pytest.mark.parametrize("n", [3, 990, 5000])
+def test_any_number_of_periods_is_one_partition_filter(spark, tmp_path, n):
+    path = str(tmp_path / "t")
+    spark.range(300).selectExpr("if(id % 100 = 7, null, cast(id % 100 AS int)) AS p", "id AS v").coalesce(1).write.partitionBy("p").parquet(path)
+    batch = spark.range(n).selectExpr("if(id = 1, null, cast(id AS int)) AS p", "id AS v")
+    found = io._in_periods(spark.read.schema("p int, v long").parquet(path), batch, ["p"])
+    wanted = {None if i == 1 else i for i in range(n)}
+    stored = [None if i % 100 == 7 else i % 100 for i in range(300)]
+    assert found.count() == sum(p in wanted for p in stored)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [array_contains(" in plan.replace("Subquery subquery", "").replace("scalar-subquery", "")
+
+
+def test_a_batch_with_other_columns_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql("SELECT 'a' AS k, 1 AS v, 'kept' AS extra, 2025 AS y").write.partitionBy("y").parquet(path)
+    batch = spark.sql("SELECT 'a' AS k, 2 AS v, 2025 AS y")
+    with pytest.raises(ValueError, match="extra"):
+        io.upsert_periods(spark, path, batch, ["k", "y"], ["y"])
+    assert spark.read.parquet(path).first().extra == "kept"
+
+
+def test_upserts_leave_no_copies(spark, tmp_path):
+    path = str(tmp_path / "t")
+    shared = lambda: set(os.listdir(shared_folder(spark).removeprefix("file:")))
+    before = shared()
+    for i in range(3):
+        io.upsert_table(spark, path, spark.createDataFrame([("a", i)], "k string, v int"), ["k"])
+        io.replace_periods(spark, path + "p", spark.createDataFrame([("a", i)], "k string, v int"), ["k"], ["k"])
+    assert shared() == before and spark.read.parquet(path).first().v == 2
+
+
 def test_tables_on_disk(spark, tmp_path):
     path = str(tmp_path / "t")
     io.ensure_table(spark, path, io.CATEGORIES)

@@ -72,10 +72,17 @@ def test_upsert_keeps_the_latest(spark, tmp_path):
     assert rows(out) == [("a", at(3), "d", 2.0), ("b", at(5), "e", 9.0)]
 
 
+def test_upsert_ignores_late_files(spark, tmp_path):
+    stream = feed(spark, tmp_path, [("a", at(9), "c", 1.0)], [("a", at(3), "d", 2.0), ("b", at(4), "c", 1.0)], [("b", at(2), "e", 9.0)])
+    run(jobs.start_upsert(stream, ["survey_h_hid"], "ts", str(tmp_path / "out"), str(tmp_path / "cp")))
+    out = spark.read.parquet(str(tmp_path / "out")).select("survey_h_hid", "ts")
+    assert rows(out) == [("a", at(9)), ("b", at(4))]
+
+
 def test_deadlines(spark, tmp_path):
     rules = (SlaRule("high", 0.8, 4, "boss"), SlaRule("low", 0.0, 10, "lead"))
     opened = [
-        [("quick", at(0), 0.9), ("slow", at(0), 0.9), ("never", at(0), 0.1), ("low in time", at(0), 0.1)],
+        [("quick", at(0), 0.9), ("slow", at(0), 0.9), ("unknown", at(0), None), ("never", at(0), 0.1), ("low in time", at(0), 0.1)],
         [("tick high", at(50), 0.9), ("tick low", at(50), 0.1)],
         [("tick high 2", at(51), 0.9), ("tick low 2", at(51), 0.1)],
     ]
@@ -86,4 +93,4 @@ def test_deadlines(spark, tmp_path):
     ]
     missed = deadlines.missed_deadlines(*streams, rules)
     run(jobs.start_table(missed, str(tmp_path / "out"), str(tmp_path / "cp")))
-    assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("never", "low", at(10), "lead"), ("slow", "high", at(4), "boss")]
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("never", "low", at(10), "lead"), ("slow", "high", at(4), "boss"), ("unknown", "high", at(4), "boss")]
