@@ -16,19 +16,27 @@ def extract_or_null(col: Column, pattern: str) -> Column:
     return F.when(col.rlike(pattern), F.regexp_extract(col, pattern, 1))
 
 
+def _closed(col: Column) -> Column:
+    """The text as the first of two elements of a JSON array, null unless it is one JSON value.
+
+    Spark's readers stop at the end of the first value and accept what follows. Here the
+    second element is the text's digest: more values, or a bracket in between, displace it.
+    """
+    pair = F.concat(F.lit("["), col, F.lit(',"'), F.md5(col), F.lit('"]'))
+    second = F.try_variant_get(F.try_parse_json(pair), "$[1]", "string")
+    return F.when(second == F.md5(col), pair)
+
+
 def json_scalar(col: Column, key: str) -> Column:
     """Text of a scalar member of a JSON object.
 
-    Null for a missing key, a JSON null, an object or array value, and malformed text.
-    Spark's readers accept text after the object, hence the test of the last character.
+    Null for a missing key, a JSON null, an object or array value, malformed text, and
+    an object with more text after it.
     """
-    whole = F.when(col.rlike(rf"\}}{BLANKS}$"), col)
-    kind = F.schema_of_variant(
-        F.try_variant_get(F.try_parse_json(whole), f"$['{key}']", "variant")
-    )
-    value = F.get_json_object(whole, f"$['{key}']")
+    pair, path = _closed(col), f"$[0]['{key}']"
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(pair), path, "variant"))
     nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(kind.isNotNull() & ~nested, value)
+    return F.when(kind.isNotNull() & ~nested, F.get_json_object(pair, path))
 
 
 def parse_translation(reply: Column, multiline: bool = False) -> Column:
@@ -52,4 +60,5 @@ def parse_category(reply: Column) -> Column:
 def parse_classification(reply: Column) -> Column:
     """Struct of category, confidence, severity and readable text; null fields if unreadable."""
     schema = "category string, confidence double, severity double, translation string"
-    return F.from_json(F.coalesce(extract_or_null(reply, ANY_FENCE), reply), schema)
+    body = F.coalesce(extract_or_null(reply, ANY_FENCE), reply)
+    return F.from_json(F.when(_closed(body).isNotNull(), body).otherwise(F.lit("{}")), schema)

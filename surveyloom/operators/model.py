@@ -59,8 +59,8 @@ def generate_text(
     Equal prompts are sent once; replies come back by the prompt's digest, so the prompts
     themselves are not shuffled again. Calls are slow and small, which is why the number
     of tasks that make them is fixed (one per core by default) and not left to the size
-    of the data. Calls that keep failing give a null reply and the error in the status;
-    the row stays. Spark may run a task again, so write or checkpoint the result before
+    of the data. Prompts that keep failing give a null reply and the error in the status;
+    the rows stay, and the other prompts of their batch get their replies. Spark may run a task again, so write or checkpoint the result before
     using it twice.
     """
     tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
@@ -81,7 +81,16 @@ def generate_text(
 
 
 def _call(call: Client, prompts: list[str], options: ModelOptions, retries: int, pause: float):
-    """Replies and statuses for one batch, with a bounded number of tries."""
+    """Replies and statuses for one batch, with a bounded number of tries.
+
+    A batch that keeps failing is halved, down to single prompts, so that a refused prompt
+    costs the others no reply. Only the whole batch and single prompts are tried again.
+    """
+    return _tried(call, prompts, options, retries, pause) or _halved(call, prompts, options, retries, pause)
+
+
+def _tried(call: Client, prompts: list[str], options: ModelOptions, retries: int, pause: float):
+    """Replies and statuses, or None for several prompts that fail together."""
     for attempt in range(retries + 1):
         try:
             replies = list(call(prompts, options))
@@ -90,10 +99,20 @@ def _call(call: Client, prompts: list[str], options: ModelOptions, retries: int,
             return replies, ["" if r is not None else "no reply" for r in replies]
         except Exception as error:
             if attempt == retries:
-                return [None] * len(prompts), [f"{type(error).__name__}: {error}"] * len(prompts)
+                return ([None], [f"{type(error).__name__}: {error}"]) if len(prompts) == 1 else None
             time.sleep(pause * 2**attempt)
 
 
+def _halved(call: Client, prompts: list[str], options: ModelOptions, retries: int, pause: float):
+    middle, replies, status = len(prompts) // 2, [], []
+    for half in (prompts[:middle], prompts[middle:]):
+        tries = retries if len(half) == 1 else 0
+        found = _tried(call, half, options, tries, pause) or _halved(call, half, options, retries, pause)
+        replies += found[0]
+        status += found[1]
+    return replies, status
+
+
 # --- an offline client for tests: a pure function of the prompt's text ---
 
 

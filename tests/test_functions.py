@@ -138,6 +138,10 @@ REPLIES = {
     "lines": '```json\n{\n"translation": "a b",\n"Comment Category": "Pricing"\n}\n```',
     "prose": "I would say a b",
     "trailing": '{"translation": "a b", "Comment Category": "Pricing"} as asked',
+    "second object": '{"translation": "a b", "Comment Category": "Pricing"} {"note": "y"}',
+    "second after a comma": '{"translation": "a b", "Comment Category": "Pricing"}, {"note": "y"}',
+    "brackets between": '{"translation": "a b", "Comment Category": "Pricing"}] [{"note": "y"}',
+    "prose with a brace": '{"translation": "a b", "Comment Category": "Pricing"} that is all }',
     "object": '{"translation": {"x": 1}, "Comment Category": ["Pricing"]}',
     "null": '{"translation": null, "Comment Category": null}',
     "number": '{"translation": 5, "Comment Category": 5}',
@@ -154,6 +158,10 @@ REPLIES = {
         ("lines", None, "a b", "Pricing"),
         ("prose", None, None, None),
         ("trailing", None, None, None),
+        ("second object", None, None, None),
+        ("second after a comma", None, None, None),
+        ("brackets between", None, None, None),
+        ("prose with a brace", None, None, None),
         ("object", None, None, None),
         ("null", None, None, None),
         ("number", "5", "5", "5"),
@@ -174,6 +182,7 @@ def test_classification_reply(one):
         "category": "Other", "confidence": 0.5, "severity": 1.0, "translation": "t"
     }
     assert one(replies.parse_classification(c("x")), "x string", "sorry").category is None
+    assert one(replies.parse_classification(c("x")), "x string", '{"category": "Other"} {"note": "y"}').category is None
 
 
 def test_settings_from_file(tmp_path):

@@ -92,6 +92,29 @@ def test_retries_then_gives_up_with_a_status(spark, tmp_path):
     assert lost[model.RESULT] is None and "busy" in lost[model.STATUS]
 
 
+def refusing_client(path, refused):
+    """Fails every batch that holds the refused prompt."""
+
+    def build():
+        def call(prompts, options):
+            with open(path, "a") as fh:
+                fh.write("".join(f"{p}\n" for p in prompts))
+            if any(refused in p for p in prompts):
+                raise RuntimeError("refused")
+            return ['{"translation": "good"}'] * len(prompts)
+
+        return call
+
+    return build
+
+
+def test_a_refused_prompt_costs_the_others_nothing(spark, tmp_path):
+    df = spark.range(40).select("id", F.concat(F.lit("p"), F.format_string("%02d", "id")).alias("prompt"))
+    rows = model.generate_text(df, refusing_client(str(tmp_path / "log"), "p17"), retries=1, pause=0, tasks=1).collect()
+    assert [r.id for r in rows if r[model.RESULT] is None] == [17]
+    assert {r.id: r[model.STATUS] for r in rows}[17] == "RuntimeError: refused"
+
+
 ANSWER = "survey_h_hid string, invitation_date timestamp, brand_id string, opt_ltr_followup_comment string, sun_ltr_followup_comment string, product_ltr_followup_comment string, verbatim string"
 NOW = dt.datetime(2025, 1, 1)
 SETTINGS = Settings(brand_prefixes=(("AA", "Alpha"),))
@@ -134,3 +157,15 @@ def test_cloud_takes_originals_of_untranslated_banners_only(spark):
 def test_prompt_of_an_empty_comment_is_null(spark):
     df = spark.createDataFrame([("",), ("x",)], "comment string")
     assert [r.prompt for r in model.with_prompt(df, "Do: ").collect()] == [None, "Do: x"]
+
+
+def test_daily_translation_asks_once_and_keeps_what_a_failed_call_would_replace(spark, tmp_path):
+    rows = [(str(i), NOW, "AA1", f"text {i}", None, None, None, f"{i:02d}") for i in range(12)]
+    results = spark.createDataFrame(rows, ANSWER + ", survey_id string")
+    path, day = str(tmp_path / "out"), dt.date(2025, 1, 2)
+    jobs.translate_day(spark, path, results, refusing_client(str(tmp_path / "log"), "no such"), SETTINGS, day)
+    assert len((tmp_path / "log").read_text().split("\n")) - 1 == 12
+    jobs.translate_day(spark, path, results, refusing_client(str(tmp_path / "again"), "text 7"), SETTINGS, day)
+    stored = spark.read.parquet(path).collect()
+    assert sorted(r.survey_h_hid for r in stored) == sorted(str(i) for i in range(12))
+    assert {r.translated_comment for r in stored} == {"good"}
