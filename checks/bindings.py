@@ -253,8 +253,8 @@ class Tables:
         return self.raw("documents").select(c("source").alias("brand_id"), label.alias("banner")).distinct()
 
     def replies(self) -> DataFrame:
-        """Model replies in five shapes; the payload is the language and the length."""
-        style = c("doc_id") % 5
+        """Model replies in seven shapes; the payload is the language and the length."""
+        style = c("doc_id") % 7
         payload = F.concat(c("lang"), F.lit(" "), c("n_chars").cast("string"))
         body = lambda key: F.concat(F.lit('{"' + key + '": "'), payload, F.lit('"}'))
 
@@ -264,6 +264,8 @@ class Tables:
                 .when(style == 1, F.concat(F.lit(" ```json "), body(key), F.lit(" ``` ")))
                 .when(style == 2, F.concat(F.lit('```json\n{\n"' + key + '": "'), payload, F.lit('"\n}\n```')))
                 .when(style == 3, F.concat(F.lit("I would say "), payload))
+                .when(style == 4, F.concat(body(key), F.lit(' {"note": "y"}')))
+                .when(style == 5, F.concat(body(key), F.lit(" that is all }")))
                 .otherwise(F.concat(F.lit('{"' + key + '": {"x": "'), payload, F.lit('"}}')))
             )
 

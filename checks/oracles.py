@@ -387,14 +387,21 @@ oracle(
     "categorised_comments",
     f"SELECT survey_h_hid, invitation_date, comment, {LABEL} AS comment_category, true AS known_category FROM d_digest",
 )
+oracle("translated_table", "SELECT * FROM d_translated WHERE cast(invitation_date AS date) = DATE '2024-01-15'")
+oracle(
+    "categorised_table",
+    f"""SELECT survey_h_hid, invitation_date, comment, {LABEL} AS comment_category FROM d_digest
+  WHERE cast(invitation_date AS date) = DATE '2024-01-15' AND floor(cast(right(survey_id, 2) AS bigint) / 5.0) IN (2, 8)""",
+)
 
 
 def reply(key: str) -> str:
     body = f"""'{{"{key}": "' || payload || '"}}'"""
     spread = f"""'{{' || chr(10) || '"{key}": "' || payload || '"' || chr(10) || '}}'"""
     nested = f"""'{{"{key}": {{"x": "' || payload || '"}}}}'"""
-    return f"""CASE doc_id % 5 WHEN 0 THEN {body} WHEN 1 THEN ' ```json ' || {body} || ' ``` '
-  WHEN 2 THEN '```json' || chr(10) || {spread} || chr(10) || '```' WHEN 3 THEN 'I would say ' || payload ELSE {nested} END"""
+    return f"""CASE doc_id % 7 WHEN 0 THEN {body} WHEN 1 THEN ' ```json ' || {body} || ' ``` '
+  WHEN 2 THEN '```json' || chr(10) || {spread} || chr(10) || '```' WHEN 3 THEN 'I would say ' || payload
+  WHEN 4 THEN {body} || ' {{"note": "y"}}' WHEN 5 THEN {body} || ' that is all }}' ELSE {nested} END"""
 
 
 VIEWS["d_reply"] = f"""SELECT doc_id, {reply('translation')} AS tr, {reply('Comment Category')} AS cat
@@ -514,11 +521,13 @@ VIEWS["d_first_decision"] = """SELECT doc_id AS cluster_id, 'r' || (doc_id % 3)
   CASE WHEN quality <> 0 AND toxic = 1 THEN 'reviewed' END AS new_category, toxic FROM labels"""
 VIEWS["d_decision"] = """SELECT cluster_id, reviewer, decided_at, action, new_category FROM d_first_decision UNION ALL
   SELECT cluster_id, reviewer, decided_at + INTERVAL 1 DAY, 'approve', NULL FROM d_first_decision WHERE toxic = 1"""
-VIEWS["d_last"] = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY decided_at DESC) AS n FROM d_decision) WHERE n = 1"""
-VIEWS["d_decided"] = """SELECT r.*, action, reviewer, decided_at, coalesce(new_category, category) AS final_category,
+VIEWS["d_last"] = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY decided_at DESC) AS n,
+  arg_max(new_category, decided_at) FILTER (new_category IS NOT NULL) OVER (PARTITION BY cluster_id) AS set_category,
+  bool_or(action = 'correct') OVER (PARTITION BY cluster_id) AS corrected FROM d_decision) WHERE n = 1"""
+VIEWS["d_decided"] = """SELECT r.*, action, reviewer, decided_at, coalesce(set_category, category) AS final_category, coalesce(corrected, false) AS corrected,
   CASE WHEN action = 'discard' THEN 'discarded' WHEN action IN ('approve', 'correct') OR route = 'auto_ticket' THEN 'ticket'
   WHEN route = 'archive' THEN 'archived' ELSE 'waiting' END AS outcome FROM d_routed r LEFT JOIN d_last l ON r.cluster_id = l.cluster_id"""
-oracle("apply_decisions", "SELECT cluster_id, route, action, reviewer, decided_at, final_category, outcome FROM d_decided")
+oracle("apply_decisions", "SELECT cluster_id, route, action, reviewer, decided_at, final_category, corrected, outcome FROM d_decided")
 VIEWS["d_ticket"] = """SELECT cluster_id, part, min(final_category) AS category, count(*) AS survey_count,
   string_agg(cast(survey_id AS varchar), ',' ORDER BY survey_id) AS survey_ids, cluster_id || '-' || part AS ticket_id
   FROM (SELECT cluster_id, survey_id, final_category, cast(floor((row_number() OVER (PARTITION BY cluster_id
@@ -582,7 +591,7 @@ METRICS = {
     ("efficiency", "share to handle"): "SELECT sum(CASE WHEN route = 'review' THEN volume ELSE 0 END) / sum(volume)::double FROM d_decided",
     ("efficiency", "share without a human"): "SELECT 1 - sum(CASE WHEN route = 'review' THEN volume ELSE 0 END) / sum(volume)::double FROM d_decided",
     ("efficiency", "hours from cluster to ticket"): "SELECT avg((epoch(decided_at) - epoch(first_day::timestamp)) / 3600) FROM d_decided WHERE outcome = 'ticket'",
-    ("quality", "correction rate"): "SELECT count(*) FILTER (action = 'correct') / count(action)::double FROM d_decided",
+    ("quality", "correction rate"): "SELECT count(*) FILTER (corrected) / count(action)::double FROM d_decided",
     ("quality", "sampled error rate"): "SELECT avg(is_wrong::int) FROM d_review",
     ("quality", "share of tickets worked"): "SELECT avg((length(ticket_id) % 2 = 0)::int) FROM d_ticket",
     ("coverage", "critical within deadline"): "SELECT avg((NOT breached)::int) FROM d_sla WHERE band = 'high'",

@@ -386,6 +386,24 @@ def categorised_comments(t):
     return jobs.categorise_comments(t.comments(), model.offline_categoriser(), SETTINGS, validate=True)
 
 
+@query
+def translated_table(t):
+    """The daily translation job, run twice: slice, translate, upsert."""
+    path = new_folder(t.spark, "translated")
+    for _ in range(2):
+        jobs.translate_day(t.spark, path, t.comments(), model.offline_translator(), SETTINGS, COMMENT_DAY)
+    return t.spark.read.parquet(path).drop("result")
+
+
+@query
+def categorised_table(t):
+    """The daily categorisation job for two buckets: slice, pick, categorise, append."""
+    path = new_folder(t.spark, "categorised")
+    for bucket in (2, 8):
+        jobs.categorise_bucket(t.spark, path, t.comments(), bucket, model.offline_categoriser(), SETTINGS, COMMENT_DAY)
+    return t.spark.read.parquet(path)
+
+
 # --- words ---
 
 
@@ -534,7 +552,7 @@ def _decided(t):
 
 @query
 def apply_decisions(t):
-    return _decided(t).select("cluster_id", "route", "action", "reviewer", "decided_at", "final_category", "outcome")
+    return _decided(t).select("cluster_id", "route", "action", "reviewer", "decided_at", "final_category", "corrected", "outcome")
 
 
 def _tickets(t):

@@ -122,18 +122,26 @@ def metrics(df: DataFrame, values: dict[tuple[str, str], Column]) -> DataFrame:
     return df.agg(*sums).select(F.explode(F.array(*rows)).alias("m")).select("m.*")
 
 
-def process_kpis(decided: DataFrame, reviews: DataFrame, tickets: DataFrame, cases: DataFrame) -> DataFrame:
+def process_kpis(
+    decided: DataFrame,
+    reviews: DataFrame,
+    tickets: DataFrame,
+    cases: DataFrame,
+    critical_bands: Sequence[str] = ("high",),
+) -> DataFrame:
     """The process figures as rows (family, metric, value).
 
-    `decided` are clusters with route, action, outcome and times; `reviews` the quality
-    sample; `tickets` have `status`; `cases` come from `sla_state`.
+    `decided` are clusters as `apply_decisions` leaves them; `reviews` the quality sample;
+    `tickets` have `status`; `cases` come from `sla_state`, and `critical_bands` are the
+    bands of its rules that count as critical. The correction rate counts clusters that any
+    decision corrected, whatever came after.
     """
     c = F.col
     share = lambda part, whole: F.sum(part) / F.nullif(F.sum(whole), F.lit(0))
     one = lambda test: F.when(test, 1).otherwise(0)
     by_hand = share(F.when(c("route") == "review", c("volume")).otherwise(0), c("volume"))
     seconds = c("decided_at").cast("timestamp").cast("double") - c("first_day").cast("timestamp").cast("double")
-    critical = c("band") == "high"
+    critical = c("band").isin(*critical_bands)
     parts = [
         metrics(
             decided,
@@ -144,7 +152,7 @@ def process_kpis(decided: DataFrame, reviews: DataFrame, tickets: DataFrame, cas
                     F.when(c("outcome") == "ticket", seconds / 3600)
                 ),
                 ("quality", "correction rate"): share(
-                    one(c("action") == "correct"), one(c("action").isNotNull())
+                    one(c("corrected")), one(c("action").isNotNull())
                 ),
             },
         ),

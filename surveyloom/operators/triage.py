@@ -105,14 +105,23 @@ def review_queue(routed: DataFrame, surveys: DataFrame) -> DataFrame:
 
 
 def apply_decisions(routed: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Add the latest decision on each cluster and the category that holds after it.
+    """Add the latest decision on each cluster and what holds after all of them.
 
-    `decisions` is append-only: cluster_id, reviewer, decided_at, action, new_category.
-    `outcome` is `ticket` for clusters routed or approved to a ticket, `discarded`,
+    `decisions` is append-only: cluster_id, reviewer, decided_at, action, new_category, and
+    optionally new_priority. The latest action counts, and the latest category and priority
+    that any decision set: an approval keeps an earlier correction. `corrected` is true if
+    any decision was a correction. `outcome` is `ticket` for clusters routed or approved to a ticket, `discarded`,
     `archived`, or `waiting` for review.
     """
     row = F.struct("decided_at", "reviewer", "action", "new_category")
-    last = decisions.groupBy("cluster_id").agg(F.max(row).alias("_d"))
+    last_set = lambda name: F.max(F.when(F.col(name).isNotNull(), F.struct("decided_at", "reviewer", name)))[name]
+    priority = last_set("new_priority") if "new_priority" in decisions.columns else F.max(F.lit(None).cast("string"))
+    last = decisions.groupBy("cluster_id").agg(
+        F.max(row).alias("_d"),
+        last_set("new_category").alias("_category"),
+        priority.alias("_priority"),
+        F.bool_or(F.col("action") == "correct").alias("_corrected"),
+    )
     joined = routed.join(last, "cluster_id", "left")
     action = F.col("_d.action")
     outcome = (
@@ -127,7 +136,9 @@ def apply_decisions(routed: DataFrame, decisions: DataFrame) -> DataFrame:
         action.alias("action"),
         F.col("_d.reviewer").alias("reviewer"),
         F.col("_d.decided_at").alias("decided_at"),
-        F.coalesce(F.col("_d.new_category"), F.col("category")).alias("final_category"),
+        F.coalesce(F.col("_category"), F.col("category")).alias("final_category"),
+        F.col("_priority").alias("priority"),
+        F.coalesce(F.col("_corrected"), F.lit(False)).alias("corrected"),
         outcome.alias("outcome"),
     )
 
@@ -161,13 +172,14 @@ def sla_state(
 
     Cases have `severity`, `opened_at` and `handled_at`, null while open. An open case is
     breached once `as_of` (in the session's time zone, unless it names its own) is past its
-    deadline. The rule with the highest bar that a case reaches counts.
+    deadline. The rule with the highest bar that a case reaches counts; a case of unknown
+    severity falls under the strictest, so that it can't be forgotten.
     """
     moment = cases.schema["opened_at"].dataType
     now = (F.current_timestamp() if as_of is None else F.lit(as_of.isoformat(" "))).cast(moment)
     band, hours, owner = F.lit(None), F.lit(None).cast("int"), F.lit(None)
     for rule in sorted(rules, key=lambda r: r.min_severity):
-        here = F.col("severity") >= rule.min_severity
+        here = F.coalesce(F.col("severity") >= rule.min_severity, F.lit(True))
         band = F.when(here, rule.band).otherwise(band)
         hours = F.when(here, rule.hours).otherwise(hours)
         owner = F.when(here, rule.second_owner).otherwise(owner)

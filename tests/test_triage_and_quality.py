@@ -94,6 +94,15 @@ def test_decisions_and_tickets(spark):
     assert listed == sorted(i for i in range(35) if i % 5 in (0, 3))
 
 
+def test_an_approval_keeps_the_correction(spark):
+    routed = spark.createDataFrame([(0, "c", 7, 0.9, 0.2, False, False, DAY, 0, 0.5)], CLUSTER).withColumn("route", F.lit("review"))
+    at = lambda h: dt.datetime(2025, 1, 1, h)
+    schema = "cluster_id long, reviewer string, decided_at timestamp, action string, new_category string, new_priority string"
+    rows = [(0, "ann", at(1), "correct", "d", None), (0, "bob", at(2), "approve", None, "urgent"), (0, "eve", at(3), "approve", None, None)]
+    row = triage.apply_decisions(routed, spark.createDataFrame(rows, schema)).first()
+    assert (row.final_category, row.priority, row.corrected, row.action, row.reviewer) == ("d", "urgent", True, "approve", "eve")
+
+
 def surveys(spark, n=40):
     words = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
     rows = [(i, DAY + dt.timedelta(i % 4), "en", "c", 0.9, 0.1, " ".join(words[i % 3 :][:3]) + (" safety" if i % 10 == 0 else "")) for i in range(n)]
@@ -158,7 +167,7 @@ def test_sla(spark):
         "id int, severity double, opened_at timestamp, handled_at timestamp",
     )
     got = {r.id: (r.band, r.breached, r.escalate_to) for r in triage.sla_state(df, rules, t(2025, 1, 2)).collect()}
-    assert got == {1: ("high", True, "boss"), 2: ("high", False, None), 3: ("low", False, None), 4: ("low", True, "lead"), 5: (None, False, None)}
+    assert got == {1: ("high", True, "boss"), 2: ("high", False, None), 3: ("low", False, None), 4: ("low", True, "lead"), 5: ("high", True, "boss")}
 
 
 def test_settings_reach_the_job(spark):
