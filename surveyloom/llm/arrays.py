@@ -208,14 +208,39 @@ def unsigned_to_signed(values: np.ndarray) -> np.ndarray:
     return (values ^ U64(1 << 63)).view(np.int64)
 
 
-def release() -> None:
-    """Give freed memory back at the end of a task, as Python workers live on for the next stage."""
+_CACHES: list[Callable] = []
+
+
+def stage_cache(make: Callable) -> Callable:
+    """`make` with its last value kept in the worker for later tasks of its stage; a task of another stage drops it."""
+    _CACHES.append(functools.lru_cache(1)(make))
+    return _CACHES[-1]
+
+
+def release(kept: Callable | None = None) -> None:
+    """Give freed memory back, and what other stages than that of the cache `kept` have left, as Python workers live on."""
+    for cache in _CACHES:
+        if cache is not kept:
+            cache.cache_clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim:
         trim(0)
 
 
+def released(task: Callable) -> Callable:
+    """A function of batches, for `mapInArrow`, that gives memory back before and after its task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    return run
+
+
 def parts(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold some `limit` bytes of the text column each, or one row."""
     for batch in batches:

@@ -119,14 +119,13 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Re
             held, size, rows = [*held, piece], size + n, rows + piece.num_rows
     if held:
         yield _chunk_row(number, held)
-    arrays.release()
 
 
 def store(docs: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
     """The documents' ids and texts as a bucketed table of chunks of some `size` bytes of text."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return bucketed(rows.mapInArrow(lambda batches: _chunk_rows(batches, size), SCHEMA), "chunks", "chunk_id")
+    return bucketed(rows.mapInArrow(arrays.released(lambda batches: _chunk_rows(batches, size)), SCHEMA), "chunks", "chunk_id")
 
 
 def chunk_of(row: dict) -> Chunk:
@@ -206,7 +205,7 @@ def exchange(
         for bucket in sorted(held):
             yield _answers(bucket, held.pop(bucket), combine, reply)
 
-    replies = rows.mapInArrow(asking, ASK_SCHEMA).repartitionById(buckets, F.col("bucket")).mapInArrow(answering, REPLY_SCHEMA)
+    replies = rows.mapInArrow(arrays.released(asking), ASK_SCHEMA).repartitionById(buckets, F.col("bucket")).mapInArrow(arrays.released(answering), REPLY_SCHEMA)
     return replies.groupBy("chunk_id").agg(F.sort_array(F.collect_list(F.struct("bucket", "reply"))).alias("replies"))
 
 
@@ -308,7 +307,7 @@ def copies(chunks: DataFrame) -> DataFrame:
 
     meta = chunks.select("chunk_id", "ids", "digests")
     replies = exchange(meta, ask, 64, "min", "below")
-    return written(meta.join(replies, "chunk_id", "left").mapInArrow(mark, "chunk_id long, copied binary"), "copies")
+    return written(meta.join(replies, "chunk_id", "left").mapInArrow(arrays.released(mark), "chunk_id long, copied binary"), "copies")
 
 
 def first_of(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -208,7 +208,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
                 columns = [ids, items, pa.array([x[2] for x in found], pa.int32()), pa.array([x[3] for x in found], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "distance", "end_word"])
 
-        out = out.unionByName(rows.mapInArrow(search, schema))
+        out = out.unionByName(rows.mapInArrow(arrays.released(search), schema))
     return out
 
 
@@ -227,5 +227,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT
                 hit[[x[0] for x in matches(part.column("text"), index, repetitions)]] = True
                 yield part.filter(pa.array(~hit))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = docs.mapInArrow(arrays.released(clean), docs.schema)
     return docs

@@ -57,9 +57,8 @@ def score_texts(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], np.nd
             text, offsets = arrays.text_bytes(part.column("text"))
             values = pa.array(score(text, offsets), pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns, values], [*part.schema.names, "_score"])
-        arrays.release()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(arrays.released(run), schema)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

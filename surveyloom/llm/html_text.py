@@ -466,4 +466,4 @@ def extract_text(pages: DataFrame, model: Labeller) -> DataFrame:
             texts = main_text([x or "" for x in part.column("html").to_pylist()], model)
             yield pa.RecordBatch.from_arrays([*(part.column(x) for x in rest), pa.array(texts, pa.string())], [*rest, "text"])
 
-    return pages.select(*rest, "html").mapInArrow(run, schema)
+    return pages.select(*rest, "html").mapInArrow(arrays.released(run), schema)

@@ -90,9 +90,9 @@ def _class_tables(table: DataFrame, width: int) -> DataFrame:
             stands[use[first]] = reps[use[first]] == ids[use[first]]
             yield _batch(CLASSES, [row["chunk_id"]], [row["ids"]], [row["sizes"]], [arrays.pack(reps)], [stands.tobytes()])
 
-    rows = written(table.mapInArrow(sets, SETS), "sets")
+    rows = written(table.mapInArrow(arrays.released(sets), SETS), "sets")
     replies = exchange(rows, ask, 64, "min", "value")
-    return written(rows.join(replies, "chunk_id", "left").mapInArrow(settle, CLASSES), "classes")
+    return written(rows.join(replies, "chunk_id", "left").mapInArrow(arrays.released(settle), CLASSES), "classes")
 
 
 def _linkable(table: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -132,7 +132,7 @@ def _linkable(table: DataFrame, classes: DataFrame, width: int, percent: int) ->
             yield _batch(ROWS, *out)
 
     replies = exchange(base, ask, bits, "sum", "count")
-    return written(base.join(replies, "chunk_id", "left").mapInArrow(pick, ROWS), "linkable")
+    return written(base.join(replies, "chunk_id", "left").mapInArrow(arrays.released(pick), ROWS), "linkable")
 
 
 def _similar(common: int, n: int, m: int, percent: int) -> bool:
@@ -186,10 +186,10 @@ def _lead(rows: DataFrame, seed: int, percent: int, shuffle: bool) -> DataFrame:
                     column.append(value)
             yield _batch(LED, *out)
 
-    found = rows.select("rep", "n", "tokens").mapInArrow(keyed, f"{ROWS}, bucket long")
+    found = rows.select("rep", "n", "tokens").mapInArrow(arrays.released(keyed), f"{ROWS}, bucket long")
     if shuffle:
         found = found.repartition(partitions(rows.sparkSession), "bucket").sortWithinPartitions("bucket", "rep")
-    return written(found.mapInArrow(lead, LED), "led")
+    return written(found.mapInArrow(arrays.released(lead), LED), "led")
 
 
 def _groups(rows: DataFrame, percent: int) -> DataFrame:
@@ -251,9 +251,9 @@ def _blocks(grouped: DataFrame, percent: int) -> DataFrame:
         if held:
             yield row()
 
-    keys = grouped.select("rep", "n", "tokens", "cluster").mapInArrow(keyed, f"{ROWS}, cluster long, bucket long")
+    keys = grouped.select("rep", "n", "tokens", "cluster").mapInArrow(arrays.released(keyed), f"{ROWS}, cluster long, bucket long")
     ranged = keys.repartitionByRange(partitions(grouped.sparkSession), "bucket", "cluster", "rep").sortWithinPartitions("bucket", "cluster", "rep")
-    return written(ranged.mapInArrow(block, BLOCKS), "blocks")
+    return written(ranged.mapInArrow(arrays.released(block), BLOCKS), "blocks")
 
 
 def _matrix(blocks: DataFrame) -> DataFrame:
@@ -264,7 +264,7 @@ def _matrix(blocks: DataFrame) -> DataFrame:
             rare = np.frombuffer(x["rare"], np.int64).reshape(-1, 5).T
             yield _batch(MATRIX, rare[0], np.full(rare.shape[1], x["block"]), *rare[1:])
 
-    matrix = written(blocks.select("block", "rare").mapInArrow(rows, MATRIX), "matrix")
+    matrix = written(blocks.select("block", "rare").mapInArrow(arrays.released(rows), MATRIX), "matrix")
     several = matrix.groupBy("token").agg(F.min("low").alias("lowest"), F.max("high").alias("highest")).where("lowest < highest")
     asked = written(matrix.join(several.select("token"), "token"), "asked")
     a, b = asked.alias("a"), asked.alias("b")
@@ -332,7 +332,7 @@ def _opened(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             found = np.unique(np.stack([own[use, 0][left], shape[right, 0]], axis=1), axis=0)
             yield _batch("a long, b long", found[:, 0], found[:, 1])
 
-    return dealt.mapInArrow(search, "a long, b long").distinct()
+    return dealt.mapInArrow(arrays.released(search), "a long, b long").distinct()
 
 
 def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -361,7 +361,7 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
             ids, reps = (arrays.unsigned_to_signed(y) for y in (arrays.unpack_ascending(x["ids"]), arrays.unpack(x["reps"])))
             yield _batch("doc_id long, n_shingles long, rep long", ids, arrays.unpack(x["sizes"]).astype(np.int64), reps)
 
-    out = written(classes.select("ids", "sizes", "reps").mapInArrow(members, "doc_id long, n_shingles long, rep long"), "members")
+    out = written(classes.select("ids", "sizes", "reps").mapInArrow(arrays.released(members), "doc_id long, n_shingles long, rep long"), "members")
     out = out.join(labels, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "rep").alias("component_id"))
     missing = F.lit(chunks.NO_ID)
     return out.select(

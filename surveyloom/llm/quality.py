@@ -113,10 +113,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, keep: Column | None = None,
             blobs = [[x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for x in (terms.astype(np.int32), values.astype(np.float32))]
             columns = [part.column("doc_id"), part.column("y"), *(pa.array(x, pa.binary()) for x in blobs)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "y", "terms", "vals"])
-        arrays.release()
 
     sample = labelled_sample(docs, labels, "quality", keep, most)
-    rows = sample.select("doc_id", "y", "text").mapInArrow(extract, "doc_id long, y int, terms binary, vals binary")
+    rows = sample.select("doc_id", "y", "text").mapInArrow(arrays.released(extract), "doc_id long, y int, terms binary, vals binary")
     found = rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     return train([(np.frombuffer(r["terms"], np.int32), np.frombuffer(r["vals"], np.float32).astype(float), r["y"]) for r in found])
 

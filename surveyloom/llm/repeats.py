@@ -133,11 +133,11 @@ def removed(docs: DataFrame, method: Method) -> DataFrame:
             yield from _results(units, gone, method)
 
     replies = chunks.exchange(base, ask_samples, bits, "sum", "count")
-    zone_rows = base.join(replies, "chunk_id", "left").mapInArrow(zones, "chunk_id long, zone_starts binary, zone_stops binary")
+    zone_rows = base.join(replies, "chunk_id", "left").mapInArrow(arrays.released(zones), "chunk_id long, zone_starts binary, zone_stops binary")
     base = base.join(chunks.written(zone_rows, "zones"), "chunk_id")
     replies = chunks.exchange(base, ask_windows, 64, "min", "below")
     schema = f"doc_id long, n_units long, spans array<struct<start:long,stop:long>>, kept {method.kept_type}"
-    out = base.join(replies, "chunk_id", "left").mapInArrow(cut, schema)
+    out = base.join(replies, "chunk_id", "left").mapInArrow(arrays.released(cut), schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(chunks.NO_ID), F.col("doc_id")))
 
 

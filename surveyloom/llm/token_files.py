@@ -8,7 +8,6 @@ name of its own and reports it; a lost or repeated attempt leaves files that no
 
 from __future__ import annotations
 
-import functools
 import itertools
 import os
 import uuid
@@ -129,7 +128,7 @@ class Encoder:
         return out, counts + 1
 
 
-@functools.cache
+@arrays.stage_cache
 def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
@@ -167,7 +166,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder:
         for name, values in (("offsets", offsets), ("doc_ids", ids)):
             with files.open_output_stream(f"{stem}.{name}") as sink:
                 sink.write(values.astype("<i8").tobytes())
-        arrays.release()
+        arrays.release(_encoder)
         if len(ids):
             yield pa.RecordBatch.from_pylist(
                 [
@@ -218,4 +217,4 @@ def read_tokens(shards: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     dealt = shards.repartitionById(partitions(shards.sparkSession), F.col("part"))
-    return dealt.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return dealt.mapInArrow(arrays.released(read), "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from surveyloom.llm import arrays
 from surveyloom.llm.chunks import partitions, rows_of, written
 from surveyloom.session import ship_package
 
@@ -48,7 +49,7 @@ def quantised(vectors: DataFrame, scale: float = 256.0) -> DataFrame:
             out[np.arange(width) < sizes[:, None]] = np.floor(scale * lists.flatten().to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array([x.tobytes() for x in out], pa.binary())], ["vec_id", "v"])
 
-    return rows.mapInArrow(pack, "vec_id long, v binary").groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.mapInArrow(arrays.released(pack), "vec_id long, v binary").groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def _matrix(blobs: list[bytes]) -> np.ndarray:
@@ -105,7 +106,7 @@ def distinct(vectors: DataFrame, most_ids: int) -> DataFrame:
                 [pa.array(list(best), pa.binary()), pa.array(list(best.values()), pa.list_(pa.int64()))], ["v", "ids"]
             )
 
-    folded = vectors.mapInArrow(fold, "v binary, ids array<long>")
+    folded = vectors.mapInArrow(arrays.released(fold), "v binary, ids array<long>")
     return folded.groupBy("v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, most_ids).alias("ids"))
 
 
@@ -151,9 +152,9 @@ def build_index(rows: DataFrame, pivots: np.ndarray, most: int, most_ids: int) -
         if held:
             yield row()
 
-    keyed = rows.mapInArrow(key, "pivot int, away double, v binary, ids array<long>")
+    keyed = rows.mapInArrow(arrays.released(key), "pivot int, away double, v binary, ids array<long>")
     ranged = keyed.repartitionByRange(partitions(rows.sparkSession), "pivot", "away").sortWithinPartitions("pivot", "away")
-    return written(ranged.mapInArrow(block, BLOCKS), "blocks")
+    return written(ranged.mapInArrow(arrays.released(block), BLOCKS), "blocks")
 
 
 def _search(blocks: DataFrame, visits: DataFrame, k: int) -> DataFrame:
@@ -203,7 +204,7 @@ def _search(blocks: DataFrame, visits: DataFrame, k: int) -> DataFrame:
         if waiting:
             yield best()
 
-    return dealt.mapInArrow(search, "query_id long, vec_id long, score long")
+    return dealt.mapInArrow(arrays.released(search), "query_id long, vec_id long, score long")
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
@@ -228,7 +229,7 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: float =
                 m = _matrix(batch.column("v").to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array([int((m * m).sum(axis=1).max(initial=0))], pa.int64())], ["square"])
 
-    most = rows.mapInArrow(squares, "square long").agg(F.max("square")).first()[0] or 0
+    most = rows.mapInArrow(arrays.released(squares), "square long").agg(F.max("square")).first()[0] or 0
     unique = written(distinct(rows, k + 1), "distinct")
     sample = [bytes(r["v"]) for r in unique.select("v").orderBy(F.xxhash64("v"), "v").limit(FIT_ROWS).collect()]
     if not sample:
@@ -248,7 +249,7 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: float =
             columns = [batch.column("query_id"), batch.column("q"), pa.array((q * q).sum(axis=1)), pa.array(list(away), pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, ["query_id", "q", "square", "away"])
 
-    seen = written(queries.mapInArrow(reach, "query_id long, q binary, square double, away array<double>"), "queries")
+    seen = written(queries.mapInArrow(arrays.released(reach), "query_id long, q binary, square double, away array<double>"), "queries")
     near = seen.select("query_id", "q", F.array_min("away").alias("d"), (F.array_position("away", F.array_min("away")) - 1).cast("int").alias("pivot"))
     gap = F.greatest(F.col("low") - F.col("d"), F.col("d") - F.col("high"), F.lit(0.0))
     order = W.partitionBy("query_id").orderBy(gap, "block")

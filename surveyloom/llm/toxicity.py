@@ -117,7 +117,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, keep: Column | None = None,
         columns = [pa.array(x, pa.int64()) for x in (some, all_[some], toxic[some])]
         yield pa.RecordBatch.from_arrays(columns, ["term", "n", "toxic"])
 
-    counts = sample.mapInArrow(count, "term long, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    counts = sample.mapInArrow(arrays.released(count), "term long, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     counts = counts.where("n >= 5").toPandas()  # one row a bin at most
     size, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     far = chosen_terms(counts["n"].to_numpy(), counts["toxic"].to_numpy(), size, toxic)
@@ -133,7 +133,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, keep: Column | None = None,
             blobs = pa.array([at[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), blobs], ["doc_id", "y", "terms"])
 
-    rows = sample.mapInArrow(extract, "doc_id long, y int, terms binary").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    rows = sample.mapInArrow(arrays.released(extract), "doc_id long, y int, terms binary").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     weights, vectors, bias = train([(np.frombuffer(r["terms"], np.int32), r["y"]) for r in rows], len(far) + 1)
     weights[0], vectors[0] = 0, 0
     return ToxicityModel(place, weights, vectors.astype(np.float64), bias)
