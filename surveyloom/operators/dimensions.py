@@ -3,7 +3,7 @@
 A dimension read from a table needs no hint: Spark broadcasts it when its files are below
 `spark.sql.autoBroadcastJoinThreshold`, and otherwise sorts and merges, where adaptive
 execution splits skewed keys. A dimension that is itself a join is over-estimated, and the
-fact would be shuffled for nothing; `checked_broadcast` counts it first.
+fact would be shuffled for nothing; written as a table first, it has its true size.
 """
 
 from __future__ import annotations
@@ -14,14 +14,6 @@ from pyspark.sql import functions as F
 NO_KEY = "\u0000"
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast if the frame has at most `max_rows` rows, else leave it alone.
-
-    The count stops after `max_rows` + 1 rows. Meant for frames built from dimensions.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def with_banner(fact: DataFrame, brands: DataFrame, how: str = "inner") -> DataFrame:
     """Add `banner` by `brand_id`."""
     return fact.join(brands.select("brand_id", "banner"), "brand_id", how)

@@ -11,13 +11,9 @@ from pyspark.sql import functions as F
 from surveyloom.functions.codes import channel_of, period_key
 from surveyloom.functions.dates import in_previous_months
 from surveyloom.operators import promoters as P
-from surveyloom.operators.dimensions import (
-    banner_prep,
-    checked_broadcast,
-    left_join_sparse,
-    with_fiscal_period,
-)
+from surveyloom.operators.dimensions import banner_prep, left_join_sparse, with_fiscal_period
 from surveyloom.operators.merging import join_null_safe, replace_by_key, replace_by_text_key
+from surveyloom.session import materialise
 from surveyloom.settings import Settings
 from surveyloom.sources.tables import Sources
 
@@ -65,12 +61,14 @@ def surveys_with_header(invitations: DataFrame, sources: Sources) -> DataFrame:
     headers = sources.read("transaction_headers").select(
         "txnheader_h_hid", "distribution_channel", "sales_organization", "site_h_hid", "receipt_h_hid"
     )
-    banners = checked_broadcast(
+    # A table, because a join's own size is over-estimated; Spark broadcasts it by its true one.
+    banners = materialise(
         banner_prep(
             sources.read("dim_distribution_channel_country"),
             sources.read("dim_country"),
             sources.read("dim_brand_type"),
-        )
+        ),
+        "banners",
     )
     sites = sources.read("sites").select("site_h_hid", "site_name")
     joined = left_join_sparse(invitations, headers, "txnheader_h_hid", "survey_h_hid")
