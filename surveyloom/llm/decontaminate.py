@@ -6,6 +6,10 @@ Hamming distance, and a few sampled coordinates agree with good probability. Her
 of a document starts a window as long as any item, and every word of an item a piece of it; a walk reads them alike, so one
 key for each repetition serves windows of all sizes. A key that an item's piece has too gives a place for
 the item; there the exact edit distance in words decides. Keys of the benchmark go to the tasks, documents never move.
+
+Walks miss some places: those of short items, whose walks soon leave the item, and of edits spread evenly. So each item is also
+cut into one run of words more than it may have edits. An edit touches one run, so a passage within the distance holds some run
+as it is, and no place is missed whatever the item's length and wherever its edits are.
 """
 
 from __future__ import annotations
@@ -58,7 +62,7 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, stops: np.ndarray, repetiti
 
 @dataclass
 class Index:
-    """A block of the benchmark: items' words, and the keys of their pieces, ascending, with item and offset."""
+    """A block of the benchmark: items' words, and the keys of their pieces and runs, ascending, with item and offset."""
 
     numbers: list  # item ids
     words: list[np.ndarray]
@@ -67,7 +71,7 @@ class Index:
     items: np.ndarray
     offsets: np.ndarray
     seen: np.ndarray
-    short: tuple[int, ...]
+    widths: tuple[int, ...]  # of the runs
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,18 +81,27 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def build_index(numbers: list, texts: list[str], percent: int = PERCENT, repetitions: int = REPETITIONS) -> Index:
+    if not 0 <= percent < 100:
+        raise ValueError(f"{percent} per cent of an item's words can't be edited")
     words, bounds = _words(pa.array(texts, pa.string()))
     items = [words[a:b] for a, b in zip(bounds, bounds[1:])]
-    keys, owners, offsets, short = [], [], [], set()
+    allowed = [percent * len(own) // 100 if len(own) >= WALK_WORDS else 0 for own in items]
+    keys, owners, offsets, widths = [], [], [], set()
     for item, own in enumerate(items):
         if len(own) < LEAST_WORDS:
             continue
         if len(own) < WALK_WORDS:
-            short.add(len(own))
+            widths.add(len(own))
             keys.append(_exact_keys(own, np.zeros(1, np.int64), len(own)))
             owners.append(np.full(1, item))
             offsets.append(np.zeros(1, np.int64))
             continue
+        cuts = np.arange(allowed[item] + 2) * len(own) // (allowed[item] + 1)
+        widths.update(np.diff(cuts).tolist())
+        for start, n in zip(cuts[:-1], np.diff(cuts).tolist()):
+            keys.append(_exact_keys(own, np.full(1, start), n))
+        owners.append(np.full(len(cuts) - 1, item))
+        offsets.append(cuts[:-1])
         starts = np.arange(len(own))
         for repetition in range(repetitions):
             found, whole = walk_keys(own, starts, np.full(len(own), len(own) - 1), repetition)
@@ -102,8 +115,7 @@ def build_index(numbers: list, texts: list[str], percent: int = PERCENT, repetit
     keys = keys[order].astype(U64)
     seen = np.zeros(1 << _TOP, bool)
     seen[keys >> U64(64 - _TOP)] = True
-    allowed = [percent * len(own) // 100 if len(own) >= WALK_WORDS else 0 for own in items]
-    return Index(numbers, items, allowed, keys, owners[order], offsets[order], seen, tuple(sorted(short)))
+    return Index(numbers, items, allowed, keys, owners[order], offsets[order], seen, tuple(sorted(widths)))
 
 
 def _exact_keys(words: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
@@ -128,11 +140,49 @@ def _places(words: np.ndarray, bounds: np.ndarray, index: Index, repetitions: in
     if len(index.keys) and len(words):
         for repetition in range(repetitions):
             look(walk_keys(padded, starts, starts, repetition)[0], starts)
-        for n in index.short:
+        for n in index.widths:
             at = starts[np.repeat(bounds[1:], np.diff(bounds)) - starts >= n]
             if len(at):
                 look(_exact_keys(words, at, n), at)
-    return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 3), np.int64)
+    return _distinct(np.concatenate(out)) if out else np.empty((0, 3), np.int64)
+
+
+def _distinct(rows: np.ndarray) -> np.ndarray:
+    """The distinct rows, ascending."""
+    rows = rows[np.lexsort(rows.T[::-1])]
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+    return rows[fresh]
+
+
+def _regions(words: np.ndarray, bounds: np.ndarray, index: Index, places: np.ndarray) -> list[list[int]]:
+    """Rows (document, item, first word, stop) where an item may be: around its places that hold enough of its words, joined where they overlap."""
+    doc, item, first = places.T
+    allowed, sizes = np.array(index.allowed, np.int64)[item], np.array([len(x) for x in index.words], np.int64)[item]
+    low = np.maximum(bounds[doc], first - allowed)
+    high = np.minimum(bounds[doc + 1], first + sizes + allowed)
+    order = np.argsort(item, kind="stable")
+    keep = np.zeros(len(places), bool)
+    for some in np.split(order, np.flatnonzero(np.diff(item[order])) + 1) if len(order) else ():
+        own, most = index.words[item[some[0]]], int(allowed[some[0]])
+        span = np.arange(len(own) + 2 * most)
+        distinct, times = np.unique(own, return_counts=True)
+        step = max(1, (1 << 20) // len(span))
+        for at in range(0, len(some), step):
+            rows = some[at : at + step]
+            inside = low[rows, None] + span
+            held = np.where(inside < high[rows, None], words[np.minimum(inside, len(words) - 1)], U64(0))
+            shared = np.zeros(len(rows), np.int64)
+            for word, n in zip(distinct, times):
+                shared += np.minimum((held == word).sum(axis=1), n)
+            keep[rows] = shared >= len(own) - most
+    doc, item, low, high = doc[keep], item[keep], low[keep], high[keep]
+    if not len(doc):
+        return []
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1])
+    begins = np.flatnonzero(fresh)
+    return np.stack([doc[begins], item[begins], low[begins], np.maximum.reduceat(high, begins)], axis=1).tolist()
 
 
 def edit_distance_within(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
@@ -152,20 +202,10 @@ def matches(texts: pa.Array, index: Index, repetitions: int = REPETITIONS) -> li
     """(document, item, distance, end), the best place of each item in each document."""
     words, bounds = _words(texts)
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    before = None
-    for doc, item, first in _places(words, bounds, index, repetitions).tolist():
-        own, allowed = index.words[item], index.allowed[item]
-        low = max(int(bounds[doc]), first - allowed)
-        high = min(int(bounds[doc + 1]), first + len(own) + allowed)
-        if before and before[:2] == (doc, item) and high <= before[2] and best.get((doc, item), (1,))[0] == 0:
-            continue
-        region = words[low:high]
-        if np.isin(own, region).sum() < len(own) - allowed:
-            continue
-        distance, end = edit_distance_within(own, region)
-        if distance <= allowed and (doc, item) not in best or distance < best.get((doc, item), (0,))[0]:
+    for doc, item, low, high in _regions(words, bounds, index, _places(words, bounds, index, repetitions)):
+        distance, end = edit_distance_within(index.words[item], words[low:high])
+        if distance <= index.allowed[item] and distance < best.get((doc, item), (distance + 1,))[0]:
             best[doc, item] = distance, low + end - int(bounds[doc])
-        before = doc, item, high
     return [(doc, item, *found) for (doc, item), found in sorted(best.items())]
 
 

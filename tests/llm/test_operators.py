@@ -97,6 +97,35 @@ def test_edited_items_are_found():
     assert [(doc, item, distance) for doc, item, distance, _ in found] == [(0, 0, 2)]
 
 
+def _edited(rng, item, edits, spread):
+    """The item with so many words changed, left out or added, evenly spread or anywhere."""
+    at = [int((k + 0.5) * len(item) / edits) for k in range(edits)] if spread else sorted(rng.choice(len(item), edits, replace=False).tolist())
+    out = list(item)
+    for i in reversed(at):
+        out[i : i + 1] = [["new"], [], [item[i], "new"]][0 if spread else int(rng.integers(3))]
+    return out
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_items_at_the_allowed_distance_are_found_at_every_length(spread):
+    """Equal to edit distances over whole documents, and none of the edited items is missed."""
+    rng = np.random.default_rng(7)
+    words = [f"v{i}" for i in range(400)]
+    for n in (8, 9, 10, 12, 15, 16, 20, 38):
+        items = [rng.choice(words, n).tolist() for _ in range(30)]
+        index = decontaminate.build_index(list(range(len(items))), [" ".join(x) for x in items])
+        texts = [" ".join([*rng.choice(words, 9), *_edited(rng, x, k * (n // 4), spread), *rng.choice(words, 9)]) for x in items for k in (0, 1)]
+        found = decontaminate.matches(pa.array(texts), index)
+        assert {(d, d // 2) for d in range(len(texts))} <= {(d, i) for d, i, _, _ in found}
+        held, bounds = decontaminate._words(pa.array(texts))
+        brute = []
+        for d in range(len(texts)):
+            for i, own in enumerate(index.words):
+                distance, end = decontaminate.edit_distance_within(own, held[bounds[d] : bounds[d + 1]])
+                brute += [(d, i, distance, end)] if distance <= n // 4 else []
+        assert found == brute
+
+
 def test_blocks_of_a_page():
     page = "<html><!-- x --><script>var a='</p>'</script><ul><li><a href='>'>A</a><li>B</ul><p>c&amp;d <b>e</b>f<br>g<p>h"
     assert [b.text for b in html_text.blocks(page)] == ["A", "B", "c&d ef", "g", "h"]
