@@ -30,8 +30,7 @@ PERCENT = 25  # words of an item that may be edited
 REPETITIONS = 3
 STEPS = 14
 SAMPLES = 7
-LEAST_WORDS = 5
-WALK_WORDS = 8  # shorter items are matched as they are
+WALK_WORDS = 8  # shorter items are found by their runs alone
 BLOCK_WORDS = 100_000  # of the benchmark in one pass: bounds what is sent to the tasks
 _TOP = 22
 
@@ -85,16 +84,10 @@ def build_index(numbers: list, texts: list[str], percent: int = PERCENT, repetit
         raise ValueError(f"{percent} per cent of an item's words can't be edited")
     words, bounds = _words(pa.array(texts, pa.string()))
     items = [words[a:b] for a, b in zip(bounds, bounds[1:])]
-    allowed = [percent * len(own) // 100 if len(own) >= WALK_WORDS else 0 for own in items]
+    allowed = [percent * len(own) // 100 for own in items]
     keys, owners, offsets, widths = [], [], [], set()
     for item, own in enumerate(items):
-        if len(own) < LEAST_WORDS:
-            continue
-        if len(own) < WALK_WORDS:
-            widths.add(len(own))
-            keys.append(_exact_keys(own, np.zeros(1, np.int64), len(own)))
-            owners.append(np.full(1, item))
-            offsets.append(np.zeros(1, np.int64))
+        if not len(own):
             continue
         cuts = np.arange(allowed[item] + 2) * len(own) // (allowed[item] + 1)
         widths.update(np.diff(cuts).tolist())
@@ -102,6 +95,8 @@ def build_index(numbers: list, texts: list[str], percent: int = PERCENT, repetit
             keys.append(_exact_keys(own, np.full(1, start), n))
         owners.append(np.full(len(cuts) - 1, item))
         offsets.append(cuts[:-1])
+        if len(own) < WALK_WORDS:
+            continue
         starts = np.arange(len(own))
         for repetition in range(repetitions):
             found, whole = walk_keys(own, starts, np.full(len(own), len(own) - 1), repetition)
@@ -227,8 +222,8 @@ def _indexes(benchmark: DataFrame, percent: int, repetitions: int) -> Iterator[I
 def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, repetitions: int = REPETITIONS) -> DataFrame:
     """One row for each document and benchmark item in it: doc_id, item_id, distance (word edits), end_word.
 
-    A document holds an item if some passage is within `percent` per cent of the item's words, rounded down, in word edits. Items of
-    fewer than 8 words must be there as they are; those of fewer than 5, or null, are too short to tell and never match. Null texts
+    A document holds an item if some passage is within `percent` per cent of the item's words, rounded down, in word edits. So at
+    25 per cent an item of fewer than 4 words must be there as it is. Items without words, or null, never match, and null texts
     hold nothing. Rows that repeat a doc_id or an item_id are each looked at.
     """
     spark = docs.sparkSession

@@ -126,6 +126,19 @@ def test_items_at_the_allowed_distance_are_found_at_every_length(spread):
         assert found == brute
 
 
+def test_short_items_are_found():
+    """At 25 per cent one edit in items of 4 to 7 words, none below; an item without words is nowhere."""
+    words = "zero one two three four five six".split()
+    items = [" ".join(words[:n]) for n in range(8)]
+    index = decontaminate.build_index(list(range(8)), items)
+    for n in range(1, 8):
+        edited = [*words[: n - 1], "new"]
+        found = decontaminate.matches(pa.array([" ".join(["x", *body, "y"]) for body in (words[:n], edited, [])]), index)
+        distances = {(doc, item): distance for doc, item, distance, _ in found}
+        assert distances[0, n] == 0 and distances.get((1, n)) == (1 if n >= 4 else None)
+        assert not any(item == 0 or doc == 2 for doc, item in distances)
+
+
 def test_blocks_of_a_page():
     page = "<html><!-- x --><script>var a='</p>'</script><ul><li><a href='>'>A</a><li>B</ul><p>c&amp;d <b>e</b>f<br>g<p>h"
     assert [b.text for b in html_text.blocks(page)] == ["A", "B", "c&d ef", "g", "h"]
