@@ -41,10 +41,15 @@ COUNTS = 7
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-RAW = "script style template svg noscript iframe object canvas math"
+#: May stand inside a sentence; the text within is a block of its own beside it. In math, elements are parts of the sentence.
+EMBEDDED = frozenset("canvas iframe noscript object svg template".split())
+FOREIGN = frozenset(("math", "svg"))
+#: Opening one of these ends open foreign elements, but for those that hold HTML again.
+BREAKOUT = frozenset("article blockquote body center dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
+HOLDS_HTML = frozenset(("annotation-xml", "foreignobject"))
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    rf"|<(?P<raw>{RAW.replace(' ', '|')})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|</?(?P<odd>[a-zA-Z][^\s/>]*)[^>]*>",
     re.S | re.I,
@@ -67,6 +72,8 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, str]] = []  # tag, and what the path says of it
     parts: list[str] = []
     linked, links, at = 0, 0, 0
+    held: list[tuple[list[str], int]] = []  # the text around each open embedded element
+    special: list[int] = []  # where embedded elements and math are on the stack
 
     def flush():
         nonlocal parts, linked
@@ -76,7 +83,16 @@ def blocks(page: str) -> list[Block]:
         parts, linked = [], 0
 
     def close(index: int):
-        nonlocal links
+        nonlocal links, parts, linked
+        while special and special[-1] >= index:
+            outer = special.pop()
+            if stack[outer][0] in EMBEDDED:
+                flush()
+                links -= sum(tag == "a" for tag, _ in stack[outer:])
+                del stack[outer:]
+                parts, linked = held.pop()
+                if any(tag not in INLINE for tag, _ in stack[index:]):
+                    flush()
         links -= sum(tag == "a" for tag, _ in stack[index:])
         del stack[index:]
 
@@ -91,29 +107,43 @@ def blocks(page: str) -> list[Block]:
             if token["odd"]:
                 flush()
             continue
-        if tag not in INLINE:
+        if special and not token["end"] and tag in BREAKOUT:
+            while special and stack[special[-1]][0] in FOREIGN and not any(x in HOLDS_HTML for x, _ in stack[special[-1] :]):
+                close(special[-1])
+        scope = special[-1] if special else -1  # what opens inside ends nothing outside
+        found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None) if token["end"] else None
+        inline = tag in INLINE or tag in EMBEDDED or tag == "math"
+        if scope >= 0 and stack[scope][0] == "math":
+            inline = inline or not token["end"] and tag not in BREAKOUT or bool(token["end"]) and (found is None or found > scope)
+        if not inline:
             flush()
         if token["end"]:
-            found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if found is not None:
                 close(found)
         elif tag not in VOID and not token["rest"].endswith("/"):
-            if tag not in INLINE:
-                open_p = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
+            if not inline:
+                open_p = next((i for i in range(len(stack) - 1, scope, -1) if stack[i][0] == "p"), None)
                 if open_p is not None:
                     close(open_p)
-            for i in range(len(stack) - 1, -1, -1) if tag in ENDS else ():
+            for i in range(len(stack) - 1, scope, -1) if tag in ENDS else ():
                 if stack[i][0] == tag:
                     close(i)
                     break
                 if stack[i][0] in ENDS[tag]:
                     break
             marks = [f"{a.lower()}={w}" for a, x, y, z in MARK.findall(token["rest"]) for w in (x or y or z).lower().split()] if token["rest"] else []
+            if tag in EMBEDDED:
+                held.append((parts, linked))
+                parts, linked = [], 0
+            if tag in EMBEDDED or tag == "math":
+                special.append(len(stack))
             stack.append((tag, " ".join([tag, *marks])))
             links += tag == "a"
     if at < len(page):
         parts.append(page[at:])
     flush()
+    close(0)
+    flush()
     return out
 
 

@@ -142,3 +142,22 @@ def test_short_items_are_found():
 def test_blocks_of_a_page():
     page = "<html><!-- x --><script>var a='</p>'</script><ul><li><a href='>'>A</a><li>B</ul><p>c&amp;d <b>e</b>f<br>g<p>h"
     assert [b.text for b in html_text.blocks(page)] == ["A", "B", "c&d ef", "g", "h"]
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ('<p>one <svg class="i"/> two</p><p>three</p>', ["one two", "three"]),
+        ("<p>a<math/>b</p><object data='x'/><p>c</p>", ["ab", "c"]),
+        ("<p>energy <math><mi>E</mi><mo>=</mo><mn>1</mn></math> holds<p>next", ["energy E=1 holds", "next"]),
+        ("<p>one <svg><title>icon</title><path d='M0'/></svg> two</p>", ["icon", "one two"]),
+        ("<object-card>kept</object-card><style-guide>too</style-guide><script>no</script><style>no</style>", ["kept", "too"]),
+        ("<p>one <svg> two</p><p>three</p>", ["two", "one", "three"]),
+        ("<div>one <math><mi>x</div><div>three</div>", ["one x", "three"]),
+        ("<svg><p>one</p><p>two</p>", ["one", "two"]),
+        ("<article>one <object><p>fallback</p></article><p>two", ["fallback", "one", "two"]),
+        ("<p>one <noscript>off</noscript><iframe src=x></iframe> two <canvas>old</canvas></p><template>t</template>", ["off", "old", "one two", "t"]),
+    ],
+)
+def test_embedded_elements_cut_nothing(page, expected):
+    assert [b.text for b in html_text.blocks(page)] == expected
