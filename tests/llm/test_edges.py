@@ -119,3 +119,15 @@ def test_stages_keep_clashing_columns(spark, odd):
     assert sorted(r["doc_id"] for r in groups.collect()) == [0, 1, 2, 3, 4, 6, 7, 8, 9]
     clean = corpus_pipeline.decontaminate(spark, docs, odd)
     assert sorted(r["doc_id"] for r in clean.collect()) == list(range(len(TEXTS)))
+
+
+def test_different_texts_of_one_id_stay(spark):
+    """Groups that link to either text of doc_id 5 stay apart, and each keeps its smallest doc_id."""
+    one, two = (" ".join(f"{x}{i}" for i in range(30)) for x in "pq")
+    other = " ".join(f"r{i}" for i in range(30))
+    rows = [(5, one), (5, two), (5, two), (5, other), (3, one + " end"), (9, two + " end"), (None, one), (7, None), (7, "")]
+    docs = spark.createDataFrame([(i, x, "en", "s", n) for n, (i, x) in enumerate(rows)], TABLES["documents"])
+    out = corpus_pipeline.join_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    found = sorted(((r["doc_id"], r["text"] or "") for r in out.collect()), key=str)
+    assert found == sorted([(3, one + " end"), (5, two), (5, other), (None, one), (7, "")], key=str)
