@@ -1,12 +1,14 @@
-"""Removal of repeated byte strings by difference-cover samples of all suffixes.
+"""Removal of repeated byte strings by a difference-cover filter and fingerprints.
 
 A difference cover D of period v holds, for any two positions i and j, some step below v that takes both into D. So two
 equal strings of `width` bytes hold an equal string of width - v + 1 bytes at sampled positions, wherever their
-documents begin. The sampled strings are sorted and named over all documents first. A name of its own ends there, as in
-the difference-cover suffix sort: its suffix is told from all others. Only suffixes beside a shared name go on to
-the next level, where names have the full width; beyond that no order matters, as only the common prefix of `width`
-bytes counts, so the recursion stops there. The sort of these names is the merge of sampled and unsampled
-suffixes, and neighbours with equal names are the suffixes with a common prefix of `width` bytes.
+documents begin. The sampled strings are named by fingerprints, and the names counted over all documents. A window beside no name
+that a second document has is unique. The others are named by fingerprints of their full width, and the
+smallest doc_id of each name decides.
+
+This is a filter and not a difference-cover suffix sort: no suffixes or triples are sorted, no ranks are recursed on, no sorted
+samples are merged, and no neighbours compared. Whether a window of fixed width occurs in an earlier document needs equality
+alone, no order, and names can be counted where they are dealt, without a global sort.
 """
 
 from __future__ import annotations
