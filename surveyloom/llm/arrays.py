@@ -1,13 +1,16 @@
 """Words, windows and packed integers as numpy arrays, for code inside tasks.
 
-All functions work on UTF-8 bytes. A word is a run of bytes other than 0x20 and 0x09-0x0D. Hashes are 64-bit
-polynomial sums over bytes or words, finished by a mixer; they depend on nothing but the content.
+All functions work on UTF-8 bytes. A word is a run of bytes other than 0x20 and 0x09-0x0D. Hashes are of 64 bits and
+depend on nothing but the content: polynomial sums over bytes or words, finished by a mixer. Such sums modulo a power of two fail on
+long self-similar sequences, so words of more than `LONG_WORD` bytes go through BLAKE2b, and windows of more than `LONG_WINDOW` units
+are hashed by doubling, with a mixer after each step. A `lane` gives a second, independent hash.
 """
 
 from __future__ import annotations
 
 import ctypes
 import functools
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +21,8 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be inverted
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _BLOCK = 1 << 17
+LONG_WORD = 32
+LONG_WINDOW = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -42,7 +47,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 BYTE_VALUES = seeded(1, 256)
-LOWER_VALUES = BYTE_VALUES[LOWER]
+LANE_VALUES = (BYTE_VALUES, seeded(2, 256))
 
 
 @functools.cache
@@ -76,14 +81,35 @@ def span_sums(values: Callable[[int, int], np.ndarray], starts: np.ndarray, ends
     return out
 
 
-def byte_windows(text: np.ndarray, positions: np.ndarray, width: int) -> np.ndarray:
+def _doubled(symbols: np.ndarray, width: int) -> np.ndarray:
+    """The hash of each run of `width` symbols: two runs of a power of two, which overlap, each of two halves."""
+    span, runs = 1, symbols
+    while 2 * span <= width:
+        runs = mix(runs[:-span] * U64(_BASE) + runs[span:] + U64(span))
+        span *= 2
+    return runs if span == width else mix(runs[: len(symbols) - width + 1] * U64(_BASE) + runs[width - span :] + U64(width))
+
+
+def _windows(values: Callable[[int, int], np.ndarray], positions: np.ndarray, width: int) -> np.ndarray:
+    if width <= LONG_WINDOW:
+        return mix(span_sums(values, positions, positions + width))
+    out, i = np.empty(len(positions), U64), 0
+    while i < len(positions):
+        j = max(i + 1, int(np.searchsorted(positions, positions[i] + max(_BLOCK, width))))
+        lo, hi = int(positions[i]), int(positions[j - 1]) + width
+        out[i:j] = _doubled(mix(values(lo, hi)), width)[positions[i:j] - lo]
+        i = j
+    return out
+
+
+def byte_windows(text: np.ndarray, positions: np.ndarray, width: int, lane: int = 0) -> np.ndarray:
     """Hashes of the byte strings of `width` at the ascending positions."""
-    return mix(span_sums(lambda lo, hi: BYTE_VALUES[text[lo:hi]], positions, positions + width))
+    return _windows(lambda lo, hi: LANE_VALUES[lane][text[lo:hi]], positions, width)
 
 
 def word_windows(words: np.ndarray, positions: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     """Hashes of the word sequences of `width` at the ascending positions."""
-    return mix(span_sums(lambda lo, hi: mix(words[lo:hi] ^ U64(seed)), positions, positions + width))
+    return _windows(lambda lo, hi: mix(words[lo:hi] ^ U64(seed)), positions, width)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -116,10 +142,15 @@ def word_spans(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, lane: int = 0) -> np.ndarray:
     """A hash of each word, of its A-Z in lower case if asked for."""
-    table = LOWER_VALUES if lower else BYTE_VALUES
-    return mix(span_sums(lambda lo, hi: table[text[lo:hi]], starts, ends))
+    table = LANE_VALUES[lane][LOWER] if lower else LANE_VALUES[lane]
+    out = mix(span_sums(lambda lo, hi: table[text[lo:hi]], starts, ends))
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        word = text[starts[i] : ends[i]]
+        digest = hashlib.blake2b(np.ascontiguousarray(LOWER[word] if lower else word), digest_size=8, salt=bytes([lane])).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
 
 
 def shingles(words: np.ndarray, bounds: np.ndarray, width: int) -> list[np.ndarray]:

@@ -6,7 +6,7 @@ so that all documents agree on both without asking each other. Equal stretches t
 near their ends may the parse differ, where it depends on what stands beside. Each symbol carries the range of words
 that settle it. A window of words speaks through the first symbol, on the highest level that has one, whose range
 lies inside the window: equal windows choose the same symbol. Windows whose symbol no second document has are unique; the
-others are verified by 128-bit names of the whole window.
+others are verified by two independent 64-bit names of the whole window, each over its own word hashes.
 """
 
 from __future__ import annotations
@@ -127,7 +127,10 @@ def recompression_dedup(docs: DataFrame, width: int = 50, rounds: int = ROUNDS)
         return Samples(names, doc[windows], at, at)
 
     def fingerprint(units: Units, positions: np.ndarray):
-        return tuple(arrays.word_windows(units.values, positions, width, seed) for seed in (0, 0x5EED))
+        if not len(positions):
+            return units.values[:0], units.values[:0]
+        others = arrays.word_hashes(units.chunk.text, units.starts, units.stops, lane=1)
+        return arrays.word_windows(units.values, positions, width), arrays.word_windows(others, positions, width, 0x5EED)
 
     def keep(units: Units, gone: np.ndarray) -> list[bytes]:
         out = []
