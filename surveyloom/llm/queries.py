@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.llm.decontaminate import contamination
+from surveyloom.llm.fill_in_middle import fill_in_middle, restore
+from surveyloom.llm.hard_negatives import hard_negatives
 from surveyloom.llm.hashed import fold
 from surveyloom.llm.html_text import extract_text, fit_labeller
 from surveyloom.llm.jaccard_join import jaccard_join
+from surveyloom.llm.language_model import fit, lm_scores
 from surveyloom.llm.mixing import mix_report
 from surveyloom.llm.quality import fit_quality, quality_scores
 from surveyloom.llm.recompression import recompression_dedup
@@ -197,3 +200,79 @@ def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of all pages."""
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return extract_text(pages, fit_labeller(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """For every hundredth vector and each of its five positives, the first five negatives close below. Each seventh label is moved on."""
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.select("vec_id", "embedding", moved.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), mined AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  WHERE 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM mined WHERE rank <= 5
+"""
+
+
+@query
+def op12_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored by a Kneser-Ney model of order 3, learned on four of five folds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = fit(docs, fold(F.col("doc_id"), 5) != 1)
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 1, F.lit(False)).alias("held_out")
+    known = F.lit(model.words.total).cast("long").alias("train_tokens")
+    return lm_scores(docs, model).select("doc_id", held_out, "n_tokens", "n_known", known, "base_score", "score", "perplexity")
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents cut at lines and rearranged, half prefix first and half suffix first, and rebuilt."""
+    made = restore(fill_in_middle(table(spark, folder, "documents").select("doc_id", "text"), seed=7, percent=100, spm_percent=50))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines
+  FROM documents
+), drawn AS (
+  SELECT *, len(lines)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM hashed
+), placed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), pieces AS (
+  SELECT *, coalesce(array_to_string(lines[1:a], ''), '') AS p, coalesce(array_to_string(lines[a + 1:b], ''), '') AS m,
+         coalesce(array_to_string(lines[b + 1:n], ''), '') AS s
+  FROM placed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
+FROM pieces
+"""
