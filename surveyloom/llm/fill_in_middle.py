@@ -100,6 +100,11 @@ def draws(doc_id: Column, seed: int, n: int = 4) -> list[Column]:
     return [F.conv(F.substring(hexed, 8 * i + 1, 8), 16, 10).cast("long").alias(f"_h{i + 1}") for i in range(n)]
 
 
+def _packed(df: DataFrame, columns: list[str]) -> Column:
+    """Columns of any name in one struct, `own`."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in columns]).alias("own")
+
+
 def _chars(text: np.ndarray) -> np.ndarray:
     """How many code points begin before each byte (n + 1)."""
     out = np.zeros(len(text) + 1, np.int64)
@@ -120,8 +125,8 @@ def fill_in_middle(docs: DataFrame, seed: int = 7, percent: int = 100, spm_perce
     """
     ship_package(docs.sparkSession)
     docs = docs.drop(*ADDED)
-    quoted = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns if c != "text"]
-    rows = docs.select(F.struct(*quoted).alias("own"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *draws(F.col("doc_id"), seed))
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(_packed(docs, rest), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *draws(F.col("doc_id"), seed))
     schema = T.StructType([rows.schema["own"], *[T.StructField(n, k) for n, k in ADDED.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +159,7 @@ def fill_in_middle(docs: DataFrame, seed: int = 7, percent: int = 100, spm_perce
             yield pa.RecordBatch.from_arrays([part.column("own"), *columns, _joined(out[4]), pa.array(out[5], pa.string())], ["own", *ADDED])
 
     made = rows.mapInArrow(arrays.released(run), schema)
-    return made.select(*[F.col("own").getField(c).alias(c) for c in docs.columns if c != "text"], *ADDED)
+    return made.select(*[F.col("own").getField(c).alias(c) for c in rest], *ADDED)
 
 
 def restore(outputs: DataFrame) -> DataFrame:
@@ -163,16 +168,18 @@ def restore(outputs: DataFrame) -> DataFrame:
     A null output is an empty one. Earlier columns of these names are replaced.
     """
     ship_package(outputs.sparkSession)
-    outputs = outputs.drop("text", "restored_sha256").withColumn("output", F.coalesce(F.col("output").cast("string"), F.lit("")))
-    schema = T.StructType([*outputs.schema.fields, T.StructField("text", T.StringType()), T.StructField("restored_sha256", T.StringType())])
+    outputs = outputs.drop("text", "restored_sha256")
+    rows = outputs.select(_packed(outputs, outputs.columns), F.coalesce(F.col("output").cast("string"), F.lit("")).alias("output"), "form")
+    schema = T.StructType([rows.schema["own"], T.StructField("text", T.StringType()), T.StructField("restored_sha256", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in arrays.parts(batches, "output", PART):
             data, offsets = arrays.text_bytes(part.column("output"))
             buffer, places = memoryview(np.ascontiguousarray(data)), offsets.tolist()
             whole = [Piece(buffer, a, b) for a, b in zip(places, places[1:])]
-            rows = [restored(p, f) if f in FORMS else [p] for p, f in zip(whole, part.column("form").to_pylist())]
-            hashes = pa.array([digest(row) for row in rows], pa.string())
-            yield pa.RecordBatch.from_arrays([*part.columns, _joined(rows), hashes], [*part.schema.names, "text", "restored_sha256"])
+            pieces = [restored(p, f) if f in FORMS else [p] for p, f in zip(whole, part.column("form").to_pylist())]
+            hashes = pa.array([digest(row) for row in pieces], pa.string())
+            yield pa.RecordBatch.from_arrays([part.column("own"), _joined(pieces), hashes], ["own", "text", "restored_sha256"])
 
-    return outputs.mapInArrow(arrays.released(run), schema)
+    made = rows.mapInArrow(arrays.released(run), schema)
+    return made.select(*[F.col("own").getField(c).alias(c) for c in outputs.columns], "text", "restored_sha256")
