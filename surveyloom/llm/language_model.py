@@ -14,7 +14,9 @@ n-grams that begin with it keep their plain counts, as nothing else can stand be
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import itertools
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,8 +30,8 @@ from pyspark.sql import types as T
 
 from surveyloom.llm import arrays
 from surveyloom.llm.arrays import U64
-from surveyloom.llm.chunks import partitions, rows_of, written
-from surveyloom.session import new_folder, ship_package
+from surveyloom.llm.chunks import partitions, rows_of, shuffles_dropped
+from surveyloom.session import new_folder, scratch, ship_package
 
 ORDER = 3
 PART = 4 << 20  # bytes of text whose n-grams are in memory at a time
@@ -39,9 +41,8 @@ END = U64(0xE4D0F7E87A11C0DE)  # the hash of the end of a document
 SENT = "bucket int, columns array<binary>"
 TABLE = "sent_bucket int, columns array<binary>, part int, path string, n long, n1 long, n2 long, n3 long, n4 long, total long"
 _NAMES = [x.split()[0] for x in TABLE.split(", ")]
-_WORDS = {"hashes": "<u8", "counts": "<u8"}  # the columns of a file, one after another
-_GRAMS = {"hashes": "<u8", "counts": "<f4"}
-_STATS = {"sum": "<f8", "ones": "<f4", "twos": "<f4", "more": "<f4"}  # of a context: its counts, and how many are 1, 2, and 3 or more
+CELL = 4  # entries of a range to one of its directory
+STATS = 4  # of a context: the sum of its counts, and how many of them are 1, 2, and 3 or more
 _MAPS = 16384  # files that a task keeps mapped
 
 
@@ -53,8 +54,9 @@ def _sent(buckets: np.ndarray, columns: list[np.ndarray], edges: int) -> list[tu
 
 
 def _bucket(hashes: np.ndarray, n: int) -> np.ndarray:
-    """The range of a hash among n equal ones."""
-    return ((hashes >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)
+    """The range of each hash among n equal ones: the whole part of hash * n / 2 ** 64."""
+    high, low = (hashes >> U64(32)) * U64(n), (hashes & U64(0xFFFFFFFF)) * U64(n)
+    return ((high + (low >> U64(32))) >> U64(32)).astype(np.int64)
 
 
 def _gram_hashes(ids: np.ndarray) -> np.ndarray:
@@ -109,16 +111,41 @@ def _sending(batches: Iterator[pa.RecordBatch], grams, buckets: int) -> Iterator
         yield rows()
 
 
-def _save(folder: str, name: str, kinds: dict[str, str], columns: list[np.ndarray]) -> str:
-    """A flat file of one range, under a name of this attempt's own; a lost or repeated attempt leaves a file that no row names."""
+def _save(folder: str, name: str, arrays_: list[np.ndarray]) -> str:
+    """Arrays in one flat file, their bytes' numbers first, under a name of this attempt's own; a lost or repeated attempt leaves
+    a file that no row names."""
     files, root = fs.FileSystem.from_uri(folder)
     path = f"{root}/{name}-{uuid.uuid4().hex}"
     with files.open_output_stream(path) as sink:
-        for kind, values in zip(kinds.values(), columns):
-            sink.write(values.astype(kind).tobytes())
+        sink.write(np.array([len(arrays_), *[x.nbytes for x in arrays_]], "<u8").tobytes())
+        for x in arrays_:
+            sink.write(np.ascontiguousarray(x).tobytes())
     return path
 
 
+def _small(values: np.ndarray) -> list[np.ndarray]:
+    """Integers as bytes, and the places and values of those of 255 or more."""
+    large = np.flatnonzero(values >= 255)
+    return [np.minimum(values, 255).astype("u1"), large.astype("<u4"), values[large].astype("<u8")]
+
+
+def _directory(hashes: np.ndarray, ranges: int) -> list[np.ndarray]:
+    """A range's ascending hashes as a directory of cells and 32 bits of each.
+
+    Within a range hash * ranges, modulo 2 ** 64, ascends too. Its top bits are the cell, the next 32 are kept: a hash that
+    isn't there is taken for one of some `CELL` others in 1 of 2 ** 32 cases, at every size.
+    """
+    bits = max(0, (len(hashes) // CELL).bit_length() - 1)
+    cells, rest = _cells(hashes, bits, ranges)
+    return [np.searchsorted(cells, np.arange((1 << bits) + 1, dtype=U64)).astype("<u4"), rest.astype("<u4")]
+
+
+def _cells(hashes: np.ndarray, bits: int, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    place = hashes * U64(ranges)
+    cells = place >> U64(64 - bits) if bits else np.zeros(len(place), U64)
+    return cells, (place >> U64(32 - bits)) & U64(0xFFFFFFFF)
+
+
 def _row(part: int, path: str, n: int, counts: np.ndarray | None = None) -> list:
     """A range's own row: its files, its entries, how many have each count of 1 to 4, and the sum of the counts."""
     events = np.empty(0, U64) if counts is None else counts
@@ -158,9 +185,9 @@ def _sent_on(table: DataFrame) -> DataFrame:
 
 @dataclass
 class Table:
-    """The ranges of one order: the file, entries, and entries before it of each, and numbers over all."""
+    """The ranges of one order: the file of each and the entries before it, and numbers over all."""
 
-    ranges: dict[int, tuple[str, int, int]]
+    ranges: dict[int, tuple[str, int]]
     size: int
     counts: tuple[int, int, int, int]  # entries with a count of 1 to 4
     total: int
@@ -171,7 +198,7 @@ def _table(rows: DataFrame) -> Table:
     found = sorted(rows.where("path IS NOT NULL").drop("columns", "sent_bucket").collect(), key=lambda r: r["part"])
     before = np.concatenate(([0], np.cumsum([r["n"] for r in found]))).astype(int)
     counts = tuple(sum(r[f"n{i}"] for r in found) for i in range(1, 5))
-    return Table({r["part"]: (r["path"], r["n"], int(b)) for r, b in zip(found, before)}, int(before[-1]), counts, sum(r["total"] for r in found))
+    return Table({r["part"]: (r["path"], int(b)) for r, b in zip(found, before)}, int(before[-1]), counts, sum(r["total"] for r in found))
 
 
 @dataclass
@@ -205,7 +232,7 @@ def discounts(counts: tuple[int, int, int, int]) -> np.ndarray:
 
 
 class Files:
-    """Files of columns, mapped into memory where the folder is a local one, as a mounted shared folder is."""
+    """Files of arrays, mapped into memory where the folder is a local one, as a mounted shared folder is."""
 
     def __init__(self, folder: str):
         self.files, _ = fs.FileSystem.from_uri(folder)
@@ -217,40 +244,56 @@ class Files:
         with self.files.open_input_file(path) as source:
             return np.frombuffer(source.read_buffer(), np.uint8)
 
-    def columns(self, path: str, n: int, kinds: dict[str, str]) -> list[np.ndarray]:
-        data, out, at = self.map(path), [], 0
-        for kind in map(np.dtype, kinds.values()):
-            out.append(data[at : at + n * kind.itemsize].view(kind))
-            at += n * kind.itemsize
-        return out
+    def arrays(self, path: str) -> list[np.ndarray]:
+        """The arrays' bytes."""
+        data = self.map(path)
+        n = int(data[:8].view("<u8")[0])
+        places = np.concatenate(([8 * (n + 1)], 8 * (n + 1) + np.cumsum(data[8 : 8 * (n + 1)].view("<u8").astype(np.int64))))
+        return [data[a:b] for a, b in zip(places.tolist(), places.tolist()[1:])]
 
-    def find(self, table: Table, hashes: np.ndarray, kinds: dict[str, str], ranges: int) -> list[np.ndarray]:
-        """For each hash whether it is there, its place, and the columns after the hash, 0 where it isn't.
+    def _ranges(self, table: Table, wanted: np.ndarray, ranges: int):
+        """The ranges that ascending hashes lie in: a slice of them, the file's arrays, and the entries before."""
+        cuts = np.searchsorted(_bucket(wanted, ranges), np.arange(ranges + 1)).tolist()
+        for part, (path, base) in table.ranges.items():
+            if cuts[part] < cuts[part + 1]:
+                yield slice(cuts[part], cuts[part + 1]), self.arrays(path), base
 
-        Looked up in ascending order, range by range.
-        """
+    def words(self, table: Table, hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+        """The id and the count of each word; UNKNOWN and 0 where it isn't there. Looked up in ascending order."""
         wanted, back = np.unique(hashes, return_inverse=True)
-        out = [np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64), *[np.zeros(len(wanted), k) for k in list(kinds.values())[1:]]]
-        cuts = np.searchsorted(_bucket(wanted, ranges), np.arange(ranges + 1)).tolist()
-        for part, (path, n, base) in table.ranges.items():
-            own = slice(cuts[part], cuts[part + 1])
-            if own.start == own.stop:
-                continue
-            known, *columns = self.columns(path, n, kinds)
+        ids, counts = np.full(len(wanted), UNKNOWN), np.zeros(len(wanted), U64)
+        for own, (known, held), base in self._ranges(table, wanted, ranges):
+            known = known.view("<u8")
             at = np.searchsorted(known, wanted[own])
-            at[at == n] = 0
+            at[at == len(known)] = 0
             hit = np.flatnonzero(known[at] == wanted[own])
-            at = at[hit]
-            hit += own.start
-            for values, found in zip(out, (True, at + base, *[c[at] for c in columns])):
-                values[hit] = found
-        return [x[back] for x in out]
+            ids[own.start + hit] = at[hit] + base + 1
+            counts[own.start + hit] = held.view("<u8")[at[hit]]
+        return ids[back], counts[back]
 
-
-def _ids(files: Files, words: Table, hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """The id and the training count of each token; words that no training document has are UNKNOWN, with 0."""
-    there, place, counts = files.find(words, hashes, _WORDS, ranges)
-    return np.where(there, place + 1, UNKNOWN).astype(np.uint32), counts
+    def grams(self, table: Table, hashes: np.ndarray, ranges: int, columns: int) -> list[np.ndarray]:
+        """The first columns of each n-gram, 0 where it isn't there. Looked up in ascending order."""
+        wanted, back = np.unique(hashes, return_inverse=True)
+        out = [np.zeros(len(wanted), np.float64) for _ in range(columns)]
+        for own, (directory, rest, *held), _ in self._ranges(table, wanted, ranges):
+            directory, rest = directory.view("<u4"), rest.view("<u4")
+            cells, sought = _cells(wanted[own], len(directory).bit_length() - 1 if len(directory) > 2 else 0, ranges)
+            low, high = directory[cells].astype(np.int64), directory[cells + U64(1)].astype(np.int64)
+            ends = high.copy()
+            while (open_ := low < high).any():
+                middle = (low + high) >> 1
+                less = (rest[np.minimum(middle, len(rest) - 1)] < sought) & open_
+                low, high = np.where(less, middle + 1, low), np.where(open_ & ~less, middle, high)
+            hit = np.flatnonzero(low < ends)
+            hit = hit[rest[low[hit]] == sought[hit]]
+            at = low[hit]
+            for i, values in enumerate(out):
+                body, large, more = (x.view(k) for x, k in zip(held[3 * i : 3 * i + 3], ("u1", "<u4", "<u8")))
+                found = body[at].astype(np.float64)
+                big = np.flatnonzero(found == 255)
+                found[big] = more[np.searchsorted(large, at[big])]
+                values[own.start + hit] = found
+        return [x[back] for x in out]
 
 
 def _windows(ids: np.ndarray, bounds: np.ndarray, order: int) -> np.ndarray:
@@ -289,11 +332,12 @@ def fit(docs: DataFrame, learn: Column | None = None, order: int = ORDER) -> Mod
     def save_words(batches):
         for bucket, (hashes, counts) in _by_bucket(batches):
             hashes, (counts,), _ = _folded(hashes, [counts], [])
-            path = _save(folder, f"words-{bucket:06d}", _WORDS, [hashes, counts])
+            path = _save(folder, f"words-{bucket:06d}", [hashes.astype("<u8"), counts.astype("<u8")])
             yield _batch([_row(bucket, path, len(hashes), counts)])
 
     sent = texts.mapInArrow(arrays.released(count_words), SENT)
-    words = _table(written(_dealt(sent, buckets).mapInArrow(arrays.released(save_words), TABLE), "words"))
+    with scratch_table(_dealt(sent, buckets).mapInArrow(arrays.released(save_words), TABLE), "words") as saved:
+        words = _table(saved)
     if words.size >= UNKNOWN - 1:
         raise ValueError(f"{words.size} different words are too many")
 
@@ -302,7 +346,7 @@ def fit(docs: DataFrame, learn: Column | None = None, order: int = ORDER) -> Mod
 
         def grams(part):
             hashes, bounds = _tokens(part)
-            ids = _windows(_ids(source, words, hashes, buckets)[0], bounds, order)
+            ids = _windows(source.words(words, hashes, buckets)[0], bounds, order)
             names = _gram_hashes(ids)
             found, (counts,), columns = _folded(names, [np.ones(len(names), U64)], list(ids.T))
             return found, counts, columns
@@ -310,13 +354,27 @@ def fit(docs: DataFrame, learn: Column | None = None, order: int = ORDER) -> Mod
         return _sending(batches, grams, buckets)
 
     sent = texts.mapInArrow(arrays.released(count_grams), SENT)
-    tables = {}
+    tables, before = {}, contextlib.ExitStack()
     for k in range(order, 0, -1):
-        saved = written(_dealt(sent, buckets).mapInArrow(arrays.released(_saver(folder, k, order, buckets)), TABLE), f"grams{k}")
-        tables[k] = _table(saved)
-        sent = _sent_on(saved)
-    roots = [np.zeros(4, np.int64)] + [np.array([int(arrays.unpack(bytes(x)).sum()) for x in r["columns"]], np.int64) for r in sent.select("columns").toLocalIterator()]
-    return Model(folder, order, buckets, words, tables, tuple(int(x) for x in np.sum(roots, axis=0)))
+        with before:
+            now = contextlib.ExitStack()
+            saved = now.enter_context(scratch_table(_dealt(sent, buckets).mapInArrow(arrays.released(_saver(folder, k, order, buckets)), TABLE), f"grams{k}"))
+        before, tables[k], sent = now, _table(saved), _sent_on(saved)
+    with before:
+        roots = [[int(arrays.unpack(bytes(x)).sum()) for x in r["columns"]] for r in sent.select("columns").toLocalIterator()]  # a row a range
+    return Model(folder, order, buckets, words, tables, tuple(sum(x) for x in zip([0] * STATS, *roots)))
+
+
+@contextlib.contextmanager
+def scratch_table(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """A frame written to the shared folder and read back for the length of a block; its shuffle's files go with the write."""
+    with shuffles_dropped(df.sparkSession):
+        scratched = scratch(df, label)
+        table = scratched.__enter__()
+    try:
+        yield table
+    finally:
+        scratched.__exit__(None, None, None)
 
 
 def _saver(folder: str, k: int, order: int, buckets: int):
@@ -332,8 +390,8 @@ def _saver(folder: str, k: int, order: int, buckets: int):
             ids, counts = np.stack(kept, axis=1), sums[0]
             short = (ids[:, 0] == START) & (ids[:, 1] == START) if k > 1 else np.zeros(len(ids), bool)  # a part of a lower order
             event = ~short & (counts > 0)
-            kinds = _GRAMS | (_STATS if k < order else {})
-            path = _save(folder, f"grams{k}-{bucket:06d}", kinds, [hashes, np.where(event, counts, 0), *sums[1:]])
+            held = [_small(x) for x in (np.where(event, counts, U64(0)), *sums[1:])]
+            path = _save(folder, f"grams{k}-{bucket:06d}", [*_directory(hashes, buckets), *itertools.chain(*held)])
             rows = [_row(bucket, path, len(hashes), counts[event])]
             use = np.flatnonzero(counts > 0)
             suffixes = _gram_hashes(ids[use, 1:]) if k > 1 else np.empty(0, U64)
@@ -345,7 +403,7 @@ def _saver(folder: str, k: int, order: int, buckets: int):
                 rows.append([0, [arrays.pack(np.array([int(x.sum())], U64)) for x in stats], *[None] * 8])
             else:
                 contexts = _gram_hashes(ids[events, :-1])
-                none = [np.zeros(len(use), U64)] * 4
+                none = [np.zeros(len(use), U64)] * STATS
                 names = np.concatenate([suffixes, contexts])
                 sums = [np.concatenate(x) for x in zip([added, *none], [np.zeros(len(events), U64), *stats])]
                 lower = [np.concatenate([ids[use, i + 1], ids[events, i]]) for i in range(k - 1)]
@@ -358,25 +416,24 @@ def _saver(folder: str, k: int, order: int, buckets: int):
 
 def log_probabilities(files: Files, model: Model, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each token its training count and its log10 probability after the tokens before it."""
-    ids, counts = _ids(files, model.words, hashes, model.ranges)
+    ids, counts = files.words(model.words, hashes, model.ranges)
     windows = _windows(ids, bounds, model.order)
     at = np.arange(len(ids)) - np.repeat(bounds[:-1], np.diff(bounds))
     p = np.full(len(ids), 1 / (model.words.size + 1))
     context = [np.full(len(ids), x, np.float64) for x in model.roots]  # the empty one
     for k in range(1, model.order + 1):
         off = model.discounts[k]
-        kinds = _GRAMS | (_STATS if k < model.order else {})
+        columns = 1 + (STATS if k < model.order else 0)
         reach = at >= k - 2  # at most one start symbol
         names = _gram_hashes(windows[:, model.order - k :])
-        _, _, count, *own = files.find(model.grams[k], names, kinds, model.ranges)
+        count, *own = files.grams(model.grams[k], names, model.ranges, columns)
         total = context[0]
         known = reach & (total > 0)
         left = (off[1] * context[1] + off[2] * context[2] + off[3] * context[3])[known] / total[known]
-        found = count[known].astype(np.float64)
-        p[known] = np.maximum(found - off[np.minimum(count[known], 3).astype(int)], 0) / total[known] + left * p[known]
+        p[known] = np.maximum(count[known] - off[np.minimum(count[known], 3).astype(int)], 0) / total[known] + left * p[known]
         if k < model.order:  # the n-gram up to the token before is the context of the next order
             starts = np.full((1, k), START, np.uint32)
-            _, _, _, *first = files.find(model.grams[k], _gram_hashes(starts), kinds, model.ranges)
+            _, *first = files.grams(model.grams[k], _gram_hashes(starts), model.ranges, columns)
             begins = at == 0
             context = [np.where(begins, f[0], np.roll(x, 1)).astype(np.float64) for x, f in zip(own, first)]
     return counts, np.log10(p)
