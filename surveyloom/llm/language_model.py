@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import contextlib
 import functools
-import itertools
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,16 +40,27 @@ END = U64(0xE4D0F7E87A11C0DE)  # the hash of the end of a document
 SENT = "bucket int, columns array<binary>"
 TABLE = "sent_bucket int, columns array<binary>, part int, path string, n long, n1 long, n2 long, n3 long, n4 long, total long"
 _NAMES = [x.split()[0] for x in TABLE.split(", ")]
-CELL = 4  # entries of a range to one of its directory
+CELL = 16  # entries of a range to one of its directory
 STATS = 4  # of a context: the sum of its counts, and how many of them are 1, 2, and 3 or more
 _MAPS = 16384  # files that a task keeps mapped
 
 
 def _sent(buckets: np.ndarray, columns: list[np.ndarray], edges: int) -> list[tuple[int, list[bytes]]]:
-    """Columns cut by bucket and packed."""
-    order = np.argsort(buckets, kind="stable")
+    """Columns cut by bucket, sorted by the first column there, and packed."""
+    order = np.argsort(buckets.astype(U64) << U64(32) | columns[0].astype(U64) & U64(0xFFFFFFFF))
     cuts = np.searchsorted(buckets[order], np.arange(edges + 1))
-    return [(b, [arrays.pack(c[order[cuts[b] : cuts[b + 1]]].astype(U64)) for c in columns]) for b in np.flatnonzero(np.diff(cuts)).tolist()]
+    return [(b, _packed([c[order[cuts[b] : cuts[b + 1]]] for c in columns])) for b in np.flatnonzero(np.diff(cuts)).tolist()]
+
+
+def _packed(columns: list[np.ndarray]) -> list[bytes]:
+    """The columns' bytes; of a first column of ids, which ascends, the steps."""
+    first = arrays.pack_ascending(columns[0]) if columns[0].dtype == np.uint32 else arrays.pack(columns[0].astype(U64))
+    return [columns[0].dtype.char.encode() + first, *[arrays.pack(c.astype(U64)) for c in columns[1:]]]
+
+
+def _unpacked(columns: list[bytes]) -> list[np.ndarray]:
+    steps = columns[0][:1] == np.dtype(np.uint32).char.encode()
+    return [(arrays.unpack_ascending if steps else arrays.unpack)(columns[0][1:]), *[arrays.unpack(c) for c in columns[1:]]]
 
 
 def _bucket(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -123,10 +133,22 @@ def _save(folder: str, name: str, arrays_: list[np.ndarray]) -> str:
     return path
 
 
-def _small(values: np.ndarray) -> list[np.ndarray]:
-    """Integers as bytes, and the places and values of those of 255 or more."""
-    large = np.flatnonzero(values >= 255)
-    return [np.minimum(values, 255).astype("u1"), large.astype("<u4"), values[large].astype("<u8")]
+def _coded(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Columns of integers as one code a row: a byte for the 255 commonest rows of the range, whose values come next, then
+    places and values of the others."""
+    rows = np.stack([x.astype(U64) for x in columns], axis=1)
+    if len(columns) == 1:
+        other = np.flatnonzero(columns[0] >= 255)
+        return [np.minimum(rows[:, 0], U64(255)).astype(np.uint8), np.arange(255, dtype="<u8"), other.astype("<u4"), rows[other, 0]]
+    name = arrays.mix(rows @ (arrays.seeded(9, rows.shape[1]) | U64(1)))
+    _, first, back, often = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
+    common = np.argsort(-often, kind="stable")[:255]
+    code = np.full(len(first), 255, np.uint8)
+    same = (rows == rows[first][back]).all(axis=1)  # else two rows have one name, and the second is kept in full
+    code[common] = np.arange(len(common))
+    code = np.where(same, code[back], 255).astype(np.uint8)
+    other = np.flatnonzero(code == 255)
+    return [code, rows[first[common]].ravel(), other.astype("<u4"), rows[other].ravel()]
 
 
 def _directory(hashes: np.ndarray, ranges: int) -> list[np.ndarray]:
@@ -170,7 +192,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np
         if held and row["bucket"] != bucket:
             yield joined()
         bucket = row["bucket"]
-        held.append([arrays.unpack(x) for x in row["columns"]])
+        held.append(_unpacked(row["columns"]))
     if held:
         yield joined()
 
@@ -275,8 +297,8 @@ class Files:
         """The first columns of each n-gram, 0 where it isn't there. Looked up in ascending order."""
         wanted, back = np.unique(hashes, return_inverse=True)
         out = [np.zeros(len(wanted), np.float64) for _ in range(columns)]
-        for own, (directory, rest, *held), _ in self._ranges(table, wanted, ranges):
-            directory, rest = directory.view("<u4"), rest.view("<u4")
+        for own, found, _ in self._ranges(table, wanted, ranges):
+            directory, rest, code, common, places, others = (x.view(k) for x, k in zip(found, ("<u4", "<u4", "u1", "<u8", "<u4", "<u8")))
             cells, sought = _cells(wanted[own], len(directory).bit_length() - 1 if len(directory) > 2 else 0, ranges)
             low, high = directory[cells].astype(np.int64), directory[cells + U64(1)].astype(np.int64)
             ends = high.copy()
@@ -287,12 +309,13 @@ class Files:
             hit = np.flatnonzero(low < ends)
             hit = hit[rest[low[hit]] == sought[hit]]
             at = low[hit]
-            for i, values in enumerate(out):
-                body, large, more = (x.view(k) for x, k in zip(held[3 * i : 3 * i + 3], ("u1", "<u4", "<u8")))
-                found = body[at].astype(np.float64)
-                big = np.flatnonzero(found == 255)
-                found[big] = more[np.searchsorted(large, at[big])]
-                values[own.start + hit] = found
+            kind = code[at]
+            common, others = common.reshape(-1, columns), others.reshape(-1, columns)
+            values = common[np.minimum(kind, len(common) - 1)] if len(common) else np.zeros((len(at), columns))
+            odd = np.flatnonzero(kind == 255)
+            values[odd] = others[np.searchsorted(places, at[odd])]
+            for column, x in zip(out, values.T):
+                column[own.start + hit] = x
         return [x[back] for x in out]
 
 
@@ -390,8 +413,7 @@ def _saver(folder: str, k: int, order: int, buckets: int):
             ids, counts = np.stack(kept, axis=1), sums[0]
             short = (ids[:, 0] == START) & (ids[:, 1] == START) if k > 1 else np.zeros(len(ids), bool)  # a part of a lower order
             event = ~short & (counts > 0)
-            held = [_small(x) for x in (np.where(event, counts, U64(0)), *sums[1:])]
-            path = _save(folder, f"grams{k}-{bucket:06d}", [*_directory(hashes, buckets), *itertools.chain(*held)])
+            path = _save(folder, f"grams{k}-{bucket:06d}", [*_directory(hashes, buckets), *_coded([np.where(event, counts, U64(0)), *sums[1:]])])
             rows = [_row(bucket, path, len(hashes), counts[event])]
             use = np.flatnonzero(counts > 0)
             suffixes = _gram_hashes(ids[use, 1:]) if k > 1 else np.empty(0, U64)
