@@ -33,7 +33,7 @@ from surveyloom.llm.chunks import partitions, rows_of, shuffles_dropped
 from surveyloom.session import new_folder, scratch, ship_package
 
 ORDER = 3
-PART = 4 << 20  # bytes of text whose n-grams are in memory at a time
+PART = 2 << 20  # bytes of text whose n-grams are in memory at a time
 HELD = 1 << 20  # distinct n-grams that a task folds before it sends them
 START, UNKNOWN = 0, np.uint32(0xFFFFFFFF)
 END = U64(0xE4D0F7E87A11C0DE)  # the hash of the end of a document
