@@ -32,7 +32,7 @@ def with_views(body: str) -> str:
 
     visit(body)
     parts = [f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in needed]
-    head = "WITH RECURSIVE " if any("d_reach" in p or "d_led" in p for p in parts) else "WITH "
+    head = "WITH RECURSIVE " if any("d_reach" in p for p in parts) else "WITH "
     return (head + ",\n".join(parts) + "\n" if parts else "") + body
 
 
@@ -480,20 +480,34 @@ VIEWS["d_bucket_of"] = """SELECT survey_id, category, cast(band AS int) AS band,
   FROM d_sketch, (SELECT unnest(range(16)) AS band)"""
 SHARED = "len(list_intersect(a.words, b.words))"
 JACCARD = f"{SHARED} / (len(a.words) + len(b.words) - {SHARED})::double"
-VIEWS["d_led"] = f"""SELECT 0 AS level, survey_id, category, band, bucket, min(survey_id) OVER (PARTITION BY category, band, bucket) AS leader
-  FROM d_bucket_of UNION ALL
-  SELECT level + 1, survey_id, category, band, bucket, min(survey_id) OVER (PARTITION BY category, band, bucket)
-  FROM (SELECT level, l.survey_id, l.category, band, bucket || '|' || k.keys[(band + level + 1) % 16 + 1] AS bucket
-    FROM d_led l JOIN d_sketch k ON l.survey_id = k.survey_id JOIN d_classified a ON a.survey_id = l.survey_id
-    JOIN d_classified b ON b.survey_id = leader WHERE l.survey_id <> leader AND {JACCARD} < {RULE.threshold} AND level < 15)"""
-VIEWS["d_pair"] = "SELECT DISTINCT survey_id, leader FROM d_led WHERE survey_id <> leader"
-VIEWS["d_link"] = f"""SELECT p.survey_id, leader, {JACCARD} AS similarity FROM d_pair p JOIN d_classified a ON a.survey_id = p.survey_id
-  JOIN d_classified b ON b.survey_id = leader WHERE {JACCARD} >= {RULE.threshold}"""
-oracle("similar_links", "SELECT survey_id, leader, round(similarity, 6) AS similarity FROM d_link")
-VIEWS["d_edge"] = "SELECT survey_id AS x, leader AS y FROM d_link UNION SELECT leader, survey_id FROM d_link"
-VIEWS["d_reach"] = """SELECT DISTINCT x AS node, x AS other FROM d_edge UNION SELECT node, y FROM d_reach JOIN d_edge ON other = x"""
-VIEWS["d_root"] = "SELECT node, min(other) AS root FROM d_reach GROUP BY node"
-VIEWS["d_member"] = "SELECT survey_id, coalesce(root, survey_id) AS cluster_id FROM d_classified LEFT JOIN d_root ON survey_id = node"
+VIEWS["d_class"] = """SELECT *, min(survey_id) OVER (PARTITION BY category, list_sort(words)) AS class_id FROM d_classified WHERE len(words) > 0"""
+VIEWS["d_stand"] = "SELECT * FROM d_class WHERE survey_id = class_id"
+VIEWS["d_like"] = f"""SELECT b.survey_id, a.survey_id AS leader, {JACCARD} AS similarity FROM d_stand a JOIN d_stand b
+  ON a.category = b.category AND a.survey_id < b.survey_id
+  WHERE least(len(a.words), len(b.words)) >= {RULE.threshold} * greatest(len(a.words), len(b.words)) - 0.000001 AND {JACCARD} >= {RULE.threshold}"""
+
+
+def reached(name: str, edges: str, nodes: str) -> None:
+    """The smallest node that each of `nodes` reaches along `edges` (x, y), itself included."""
+    VIEWS[f"d_reach_{name}"] = f"SELECT DISTINCT x AS node, x AS other FROM {edges} UNION SELECT node, y FROM d_reach_{name} JOIN {edges} ON other = x"
+    VIEWS[f"d_root_{name}"] = f"SELECT node, min(other) AS root FROM d_reach_{name} GROUP BY node"
+    VIEWS[f"d_{name}"] = f"SELECT survey_id, coalesce(root, survey_id) AS cluster_id FROM {nodes} LEFT JOIN d_root_{name} ON survey_id = node"
+
+
+VIEWS["d_led"] = """SELECT DISTINCT survey_id, leader FROM (SELECT survey_id, min(survey_id) OVER (PARTITION BY category, band, bucket) AS leader
+  FROM d_bucket_of SEMI JOIN d_stand USING (survey_id)) JOIN d_like USING (survey_id, leader)"""
+VIEWS["d_led_edge"] = "SELECT survey_id AS x, leader AS y FROM d_led UNION SELECT leader, survey_id FROM d_led"
+reached("first", "d_led_edge", "d_stand")
+oracle(
+    "similar_links",
+    """SELECT survey_id, class_id AS leader, 1.0::double AS similarity FROM d_class WHERE survey_id <> class_id
+  UNION ALL SELECT survey_id, leader, round(similarity, 6) FROM d_like JOIN d_led USING (survey_id, leader)
+  UNION ALL SELECT CASE WHEN a.cluster_id < b.cluster_id THEN p.survey_id ELSE p.leader END, CASE WHEN a.cluster_id < b.cluster_id THEN p.leader ELSE p.survey_id END,
+    round(similarity, 6) FROM d_like p JOIN d_first a ON a.survey_id = p.leader JOIN d_first b ON b.survey_id = p.survey_id WHERE a.cluster_id <> b.cluster_id""",
+)
+VIEWS["d_edge"] = """SELECT survey_id AS x, leader AS y FROM d_like UNION SELECT leader, survey_id FROM d_like
+  UNION SELECT survey_id, class_id FROM d_class WHERE survey_id <> class_id UNION SELECT class_id, survey_id FROM d_class WHERE survey_id <> class_id"""
+reached("member", "d_edge", "d_classified")
 oracle("cluster_assign", "SELECT * FROM d_member")
 oracle("cluster_members", "SELECT cluster_id, count(*) AS surveys FROM d_member GROUP BY cluster_id")
 VIEWS["d_known"] = """SELECT DISTINCT k.category, k.band, k.bucket FROM d_bucket_of k JOIN d_classified USING (survey_id)
