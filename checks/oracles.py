@@ -510,9 +510,10 @@ VIEWS["d_edge"] = """SELECT survey_id AS x, leader AS y FROM d_like UNION SELECT
 reached("member", "d_edge", "d_classified")
 oracle("cluster_assign", "SELECT * FROM d_member")
 oracle("cluster_members", "SELECT cluster_id, count(*) AS surveys FROM d_member GROUP BY cluster_id")
-VIEWS["d_known"] = """SELECT DISTINCT k.category, k.band, k.bucket FROM d_bucket_of k JOIN d_classified USING (survey_id)
-  WHERE arrived < DATE '2024-01-16'"""
-VIEWS["d_seen"] = """SELECT DISTINCT cluster_id FROM d_member JOIN d_bucket_of USING (survey_id) JOIN d_known USING (category, band, bucket)"""
+oracle("updated_clusters", "SELECT * FROM d_member")
+VIEWS["d_known"] = "SELECT DISTINCT class_id FROM d_class WHERE arrived < DATE '2024-01-16'"
+VIEWS["d_seen"] = """SELECT DISTINCT cluster_id FROM d_member JOIN d_class USING (survey_id) JOIN (SELECT class_id FROM d_known
+  UNION SELECT survey_id FROM d_like JOIN d_known ON leader = class_id UNION SELECT leader FROM d_like JOIN d_known ON survey_id = class_id) USING (class_id)"""
 VIEWS["d_profile"] = """SELECT cluster_id, min(category) AS category, count(*) AS volume, round(avg(confidence), 6) AS mean_confidence,
   max(severity) AS severity, bool_or(is_critical) AS is_critical, min(arrived) AS first_day,
   list(survey_id ORDER BY severity DESC, survey_id)[1] AS example_id FROM d_member JOIN d_signal USING (survey_id) GROUP BY cluster_id"""

@@ -17,7 +17,8 @@ from surveyloom.plans import marts, scorecard
 from surveyloom.plans import triage as job
 from surveyloom.session import materialise, new_folder
 from surveyloom.sources import tables as io
-from surveyloom.streaming import deadlines
+from surveyloom.sources.patterns import append_patterns
+from surveyloom.streaming import clusters, deadlines
 from surveyloom.streaming import jobs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -481,9 +482,9 @@ def _triage(t):
     key = (t.spark.sparkContext.applicationId, t.folder)
     if key not in _TRIAGE:
         surveys = t.classified()
-        past = surveys.filter(c("arrived") < F.lit(QA_CUT)).select("survey_id")
-        known = lambda bands: bands.join(past, "survey_id", "left_semi")
-        _TRIAGE[key] = job.run(surveys, known, SETTINGS)
+        history = new_folder(t.spark, "history")
+        append_patterns(t.spark, history, similarity.word_sets(surveys.filter(c("arrived") < F.lit(QA_CUT))), 0)
+        _TRIAGE[key] = job.run(surveys, history, SETTINGS)
     return _TRIAGE[key]
 
 
@@ -497,10 +498,7 @@ def cluster_members(t):
 
 @query
 def novelty_flag(t):
-    run = _triage(t)
-    profiles = triage.cluster_profile(run.members, _signalled(t))
-    known = run.bands.join(t.classified().filter(c("arrived") < F.lit(QA_CUT)), "survey_id", "left_semi")
-    return triage.with_novelty(profiles, run.members, run.bands, known).select("cluster_id", "is_new")
+    return _routed(t).select("cluster_id", "is_new")
 
 
 @query
@@ -643,6 +641,15 @@ def process_kpis(t):
     return quality.process_kpis(_decided(t), _reviews(t), tickets, _sla(t))
 
 
+@query
+def updated_clusters(t):
+    """Clusters after three batches of surveys, each looked up in the index that the ones before have left."""
+    path, surveys = new_folder(t.spark, "clusters"), t.classified()
+    for batch in range(3):
+        clusters.update_clusters(t.spark, path, surveys.filter(c("survey_id") % 3 == batch), batch)
+    return clusters.cluster_state(t.spark, path)
+
+
 # --- streams: each takes what is there, then stops, and the result is read as a table ---
 
 

@@ -48,15 +48,9 @@ def cluster_profile(members: DataFrame, surveys: DataFrame) -> DataFrame:
     )
 
 
-def with_novelty(profiles: DataFrame, members: DataFrame, bands: DataFrame, known: DataFrame) -> DataFrame:
-    """Add `is_new`: no member of the cluster shares a sketch bucket with a known pattern.
-
-    `bands` are the buckets of the surveys, `known` the buckets (`category`, `band`,
-    `bucket`) of past patterns.
-    """
-    key = ["category", "band", "bucket"]
-    seen = bands.join(known.select(*key).distinct(), key, "left_semi").select("survey_id").distinct()
-    clusters = members.join(seen, "survey_id", "left_semi").select("cluster_id").distinct()
+def with_novelty(profiles: DataFrame, members: DataFrame, seen: DataFrame) -> DataFrame:
+    """Add `is_new`: no member of the cluster is among `seen`, the surveys (`survey_id`) that are similar to a known pattern."""
+    clusters = members.join(seen.select("survey_id").distinct(), "survey_id", "left_semi").select("cluster_id").distinct()
     hit = clusters.withColumn("_seen", F.lit(True))
     return profiles.join(hit, "cluster_id", "left").withColumn("is_new", F.col("_seen").isNull()).drop("_seen")
 

@@ -56,7 +56,7 @@ class Sources:
         return self.spark.read.parquet(source)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     """True if the path holds a readable table."""
     try:
         spark.read.parquet(path)
@@ -129,7 +129,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     is computed once, as it may hold model calls.
     """
     with scratch(source, "source") as rows:
-        target = spark.read.parquet(path) if _exists(spark, path) else spark.createDataFrame([], rows.schema)
+        target = spark.read.parquet(path) if table_exists(spark, path) else spark.createDataFrame([], rows.schema)
         rewrite_table(upsert(target, rows, keys, **policy), path)
 
 
@@ -164,7 +164,7 @@ def _rewrite_periods(
         raise ValueError("the period columns must be part of the key")
     with scratch(batch, "batch") as rows:
         content = rows
-        if _exists(spark, path):
+        if table_exists(spark, path):
             columns = spark.read.parquet(path).columns
             if set(columns) != set(rows.columns):
                 raise ValueError(f"the table has the columns {sorted(columns)}, the batch {sorted(rows.columns)}")

@@ -1,51 +1,107 @@
-"""Cases that are not handled within the time their severity allows, as a stream."""
+"""Cases that are not handled within the time their severity allows, as a stream.
+
+One keyed state holds what is known of a case: when it was opened and how severe it is, or that it was handled before its opening
+arrived. A timer in event time stands at its deadline. Handling in time clears state and timer; if the watermark passes
+the deadline first, the case is given out and its state cleared.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+import datetime as dt
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from surveyloom.session import ship_package
 from surveyloom.settings import SlaRule
 
+STATE = "opened long, deadline long, band string, owner string, handled long"
+OUTPUT = "case_id string, band string, deadline timestamp, escalate_to string"
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+
+class DeadlineTimers(StatefulProcessor):
+    """One case a key. Times are microseconds since 1970."""
+
+    def __init__(self, rules: Sequence[SlaRule], keep_ms: int):
+        self.rules = sorted(rules, key=lambda r: r.min_severity)
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.case = handle.getValueState("case", STATE)
+
+    def rule(self, severity: float | None) -> SlaRule | None:
+        """The rule of the highest bar that the severity reaches; the strictest where it is unknown."""
+        if severity is None or pd.isna(severity):
+            return self.rules[-1]
+        return next((r for r in reversed(self.rules) if severity >= r.min_severity), None)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        state = self.case.get() if self.case.exists() else None
+        opened, deadline, band, owner, handled = state if state is not None else (None, None, None, None, None)
+        before = deadline
+        for frame in rows:
+            for ts, severity, is_opening in zip(frame["ts"], frame["severity"], frame["is_opening"]):
+                if pd.isna(ts):
+                    continue
+                at = int(ts.value // 1000) if isinstance(ts, pd.Timestamp) else int(pd.Timestamp(ts).value // 1000)
+                if not is_opening:
+                    handled = at if handled is None else min(handled, at)
+                elif opened is None:
+                    rule = self.rule(severity)
+                    if rule is not None:
+                        opened, band, owner = at, rule.band, rule.second_owner
+                        deadline = at + rule.hours * 3_600_000_000
+        if opened is not None and handled is not None and opened <= handled <= deadline:
+            self.clear()
+        elif opened is not None:
+            self.case.update((opened, deadline, band, owner, None if handled is None or handled > deadline else handled))
+            if before is None:
+                self.reset_timer(deadline // 1000)
+        elif handled is not None:  # the opening may still come; longer than the watermark's delay it can't be late
+            self.case.update((None, None, None, None, handled))
+            if before is None and state is None:
+                self.reset_timer(handled // 1000 + self.keep_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+        state = self.case.get() if self.case.exists() else None
+        self.clear()
+        if state is not None and state[0] is not None:
+            moment = _EPOCH + dt.timedelta(microseconds=int(state[1]))
+            yield pd.DataFrame({"case_id": [key[0]], "band": [state[2]], "deadline": [moment], "escalate_to": [state[3]]})
+
+    def reset_timer(self, at_ms: int) -> None:
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(at_ms)
+
+    def clear(self) -> None:
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.case.clear()
+
+    def close(self) -> None:
+        pass
+
 
 def missed_deadlines(
     opened: DataFrame, handled: DataFrame, rules: Sequence[SlaRule], delay: str = "1 hour"
 ) -> DataFrame:
     """`case_id`, `band`, `deadline` and `escalate_to` of each case that runs out of time.
 
-    `opened` has case_id, ts and severity, `handled` has case_id and ts. For each rule an
-    outer join of the two streams looks for a handling within the rule's hours; Spark
-    keeps an open case in its state until the watermark passes the deadline, and then
-    gives it out unmatched. A case handled later is reported too. A case of unknown severity
-    falls under the strictest rule.
+    `opened` has case_id, ts and severity, `handled` has case_id and ts. A case handled later is reported too; a handling before
+    the opening does not count. A case of unknown severity falls under the strictest rule, one below all bars under none. The first opening of a
+    case counts. A handling that arrives before its opening waits for it as long as the longest rule and an hour.
     """
-    closed = handled.select(F.col("case_id").alias("_case"), F.col("ts").alias("_handled"))
-    closed = closed.withWatermark("_handled", delay)
-    cases = opened.select("case_id", "ts", "severity").withWatermark("ts", delay)
-    ordered = sorted(rules, key=lambda r: r.min_severity)
-    parts = []
-    for rule, above in zip(ordered, [*ordered[1:], None]):
-        span = F.expr(f"INTERVAL {rule.hours} HOURS")
-        mine = F.col("severity") >= rule.min_severity
-        if above is not None:
-            mine = mine & (F.col("severity") < above.min_severity)
-        else:
-            mine = mine | F.col("severity").isNull()
-        in_time = (
-            (F.col("case_id") == F.col("_case"))
-            & (F.col("_handled") >= F.col("ts"))
-            & (F.col("_handled") <= F.col("ts") + span)
-        )
-        open_still = cases.filter(mine).join(closed, in_time, "leftOuter").filter(F.col("_case").isNull())
-        parts.append(
-            open_still.select(
-                "case_id",
-                F.lit(rule.band).alias("band"),
-                (F.col("ts") + span).alias("deadline"),
-                F.lit(rule.second_owner).alias("escalate_to"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    ship_package(opened.sparkSession)
+    opening = opened.select("case_id", "ts", F.col("severity").cast("double").alias("severity"), F.lit(True).alias("is_opening"))
+    closing = handled.select("case_id", "ts", F.lit(None).cast("double").alias("severity"), F.lit(False).alias("is_opening"))
+    rows = opening.withWatermark("ts", delay).unionByName(closing.withWatermark("ts", delay))
+    keep = (max((r.hours for r in rules), default=0) + 1) * 3_600_000
+    return rows.groupBy("case_id").transformWithStateInPandas(DeadlineTimers(rules, keep), outputStructType=OUTPUT, outputMode="append", timeMode="eventTime")

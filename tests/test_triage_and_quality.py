@@ -109,15 +109,16 @@ def surveys(spark, n=40):
     return spark.createDataFrame(rows, "survey_id long, arrived date, lang string, category string, confidence double, severity double, text string")
 
 
-def test_triage_job(spark):
+def test_triage_job(spark, tmp_path):
     df = surveys(spark)
-    past = df.filter(F.col("arrived") == F.lit(DAY)).select("survey_id")
-    run = job.run(df, lambda bands: bands.join(past, "survey_id", "left_semi"))
+    history = str(tmp_path / "history")
+    run = job.run(df, history)
     routed = run.routed.collect()
     assert sum(r.volume for r in routed) == 40
     assert len({r.cluster_id for r in routed}) == len(routed)
-    assert all(r.reason and r.route in ("auto_ticket", "review", "archive") for r in routed)
-    again = job.run(df, run.bands)
+    assert all(r.reason and r.route in ("auto_ticket", "review", "archive") and r.is_new for r in routed)
+    job.remember(spark, history, run, 0)
+    again = job.run(df, history)
     assert {r.is_new for r in again.routed.collect()} == {False}
     queue = triage.review_queue(run.routed, df).collect()
     assert [r.severity for r in queue] == sorted((r.severity for r in queue), reverse=True)
@@ -173,6 +174,5 @@ def test_sla(spark):
 def test_settings_reach_the_job(spark):
     df = surveys(spark, 9)
     settings = Settings(routing=Routing(version="v7", min_volume=1000), critical_keywords={})
-    known = df.selectExpr("category", "0 AS band", "'' AS bucket")
-    run = job.run(df, known, settings)
+    run = job.run(df, settings=settings)
     assert {(r.route, r.rules_version) for r in run.routed.collect()} == {("archive", "v7")}
