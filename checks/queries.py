@@ -722,5 +722,5 @@ def stream_deadlines(t):
     )
     missed = deadlines.missed_deadlines(opened, handled, SETTINGS.sla)
     path = new_folder(t.spark, "missed")
-    streams.start_table(missed, path, new_folder(t.spark, "progress"), 8).awaitTermination()
+    streams.start_table(missed, path, new_folder(t.spark, "progress"), 8, timers=True).awaitTermination()
     return _without_zone(t.spark.read.parquet(path))

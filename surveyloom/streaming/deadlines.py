@@ -41,7 +41,7 @@ class DeadlineTimers(StatefulProcessor):
             return self.rules[-1]
         return next((r for r in reversed(self.rules) if severity >= r.min_severity), None)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         state = self.case.get() if self.case.exists() else None
         opened, deadline, band, owner, handled = state if state is not None else (None, None, None, None, None)
         before = deadline
@@ -69,7 +69,7 @@ class DeadlineTimers(StatefulProcessor):
                 self.reset_timer(handled // 1000 + self.keep_ms)
         return iter(())
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         state = self.case.get() if self.case.exists() else None
         self.clear()
         if state is not None and state[0] is not None:

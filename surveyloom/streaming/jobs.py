@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,21 +12,31 @@ from pyspark.sql.streaming import StreamingQuery
 from surveyloom.operators.quality import window_volume
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+Trigger = Mapping[str, object]
+ALL_THERE: Trigger = {"availableNow": True}
+
+
 @contextmanager
-def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
-    """Start streams with this number of state partitions.
+def state_settings(spark: SparkSession, partitions: int | None, timers: bool = False) -> Iterator[None]:
+    """Start streams with this number of state partitions, and with a state store that has timers.
 
     A stream keeps the number it was first started with, whatever the session says later,
     and each partition costs a state store per operator; so it is chosen per stream.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    if number is not None:
-        spark.conf.set(key, str(number))
+    wanted = {}
+    if partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    if timers:
+        wanted["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def arrivals(
@@ -42,21 +52,25 @@ def stream_volume(stream: DataFrame, ts: str = "ts", width: str = "1 hour", dela
 
 
 def start_table(
-    stream: DataFrame, path: str, checkpoint: str, partitions: int | None = None
+    stream: DataFrame, path: str, checkpoint: str, partitions: int | None = None, timers: bool = False, trigger: Trigger = ALL_THERE
 ) -> StreamingQuery:
-    """Append a stream to a parquet table, taking what is there and stopping."""
-    with state_partitions(stream.sparkSession, partitions):
+    """Append a stream to a parquet table.
+
+    `trigger` is as for `DataStreamWriter.trigger`; by default the stream takes what is there and stops. `timers` is for operators with
+    timers of their own, such as `deadlines`.
+    """
+    with state_settings(stream.sparkSession, partitions, timers):
         return (
             stream.writeStream.format("parquet")
             .outputMode("append")
             .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
+            .trigger(**trigger)
             .start(path)
         )
 
 
 def start_deltas(
-    stream: DataFrame, fold: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+    stream: DataFrame, fold: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, trigger: Trigger = ALL_THERE
 ) -> StreamingQuery:
     """Fold each micro-batch and keep the result under its batch number.
 
@@ -70,7 +84,7 @@ def start_deltas(
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -102,7 +116,7 @@ def current_clusters(spark: SparkSession, path: str) -> DataFrame:
 
 
 def start_upsert(
-    stream: DataFrame, keys: Sequence[str], order_by: str, path: str, checkpoint: str
+    stream: DataFrame, keys: Sequence[str], order_by: str, path: str, checkpoint: str, trigger: Trigger = ALL_THERE
 ) -> StreamingQuery:
     """Upsert each micro-batch into a table, the latest row per key winning.
 
@@ -118,6 +132,6 @@ def start_upsert(
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

@@ -92,5 +92,21 @@ def test_deadlines(spark, tmp_path):
         feed(spark, tmp_path / "handled", *handled, schema="case_id string, ts timestamp"),
     ]
     missed = deadlines.missed_deadlines(*streams, rules)
-    run(jobs.start_table(missed, str(tmp_path / "out"), str(tmp_path / "cp")))
+    query = jobs.start_table(missed, str(tmp_path / "out"), str(tmp_path / "cp"), 2, timers=True)
+    run(query)
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("never", "low", at(10), "lead"), ("slow", "high", at(4), "boss"), ("unknown", "high", at(4), "boss")]
+    sizes = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert max(sizes) > sizes[-1]  # cases that were handled or given out are gone
+
+
+def test_a_case_handled_before_it_arrives_and_one_opened_twice(spark, tmp_path):
+    rules = (SlaRule("high", 0.8, 4, "boss"), SlaRule("low", 0.2, 10, "lead"))
+    opened = [[("a", at(0), 0.9)], [("b", at(1), 0.9), ("c", at(1), 0.9), ("c", at(2), 0.3), ("early", at(3), 0.9), ("below", at(1), 0.1)], [("tick", at(60), 0.9)], [("tock", at(61), 0.9)]]
+    handled = [[("b", at(2)), ("early", at(1))], [("a", at(9))], [("tick", at(60))], [("tock", at(61))]]
+    streams = [
+        feed(spark, tmp_path / "opened", *opened, schema="case_id string, ts timestamp, severity double"),
+        feed(spark, tmp_path / "handled", *handled, schema="case_id string, ts timestamp"),
+    ]
+    missed = deadlines.missed_deadlines(*streams, rules)
+    run(jobs.start_table(missed, str(tmp_path / "out"), str(tmp_path / "cp"), 2, timers=True))
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("a", "high", at(4), "boss"), ("c", "high", at(5), "boss"), ("early", "high", at(7), "boss")]
