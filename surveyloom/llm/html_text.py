@@ -12,7 +12,6 @@ comments inside the article. There, the layout knows the label.
 
 from __future__ import annotations
 
-import functools
 import html
 import random
 import re
@@ -47,120 +46,223 @@ FOREIGN = frozenset(("math", "svg"))
 #: Opening one of these ends open foreign elements, but for those that hold HTML again.
 BREAKOUT = frozenset("article blockquote body center dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
 HOLDS_HTML = frozenset(("annotation-xml", "foreignobject"))
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<raw>script|style)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
-    r"|</?(?P<odd>[a-zA-Z][^\s/>]*)[^>]*>",
-    re.S | re.I,
-)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+STOP = re.compile("[>\"']")
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in ("script", "style")}
+COMMENT_END = re.compile("--!?>")
 MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Opening one of these ends an open paragraph, and an open element of its own kind up to the container named.
 ENDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",), "p": ()}
 
 
+class Path:
+    """An open element and those around it. What blocks take from a path is kept with each element, so that they share it."""
+
+    __slots__ = ("tag", "depth", "bits", "label", "last")
+
+    def __init__(self, parent: Path | None = None, tag: str = "", marks: tuple[str, ...] = ()):
+        self.tag, self.depth, self.bits, self.label = tag, 0, 0, None
+        if parent is not None:
+            found = {f"t {tag}", *(f"m {mark}" for mark in marks)}
+            parts = {part for mark in marks for part in re.split(r"[=_\-]", mark)[1:]}
+            found.update(f"w {part}" for part in parts if part)
+            if parent.depth:
+                found.add(f"p {parent.tag} {tag}")
+            self.depth, self.bits = parent.depth + 1, parent.bits
+            for x in found:
+                self.bits |= 1 << _bin(x)
+            self.label = 0 if parts & OTHER_WORDS or tag in OTHER_TAGS else 1 if tag in MAIN_TAGS else parent.label
+        self.last = _bin("e " + (f"{parent.tag} {tag}" if parent is not None and parent.depth else tag))
+
+
+def _bin(feature: str) -> int:
+    return zlib.crc32(feature.encode()) % PATH_BINS
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]
+    path: Path
     linked: int  # characters inside links
 
 
+@dataclass
+class Token:
+    """A tag, or any other mark (without a tag) that parts text and is none itself."""
+
+    start: int
+    stop: int
+    tag: str = ""
+    end: bool = False
+    rest: str = ""
+    parts: bool = False  # of a tag that can't be read
+
+
+def tokens(page: str) -> Iterator[Token]:
+    """The page's tags and comments, in order; what lies between is text.
+
+    One cursor goes through the page. A comment ends at --> or --!>, or at once as <!--> and <!--->; other marks that begin with <! or
+    <?, and end tags without a name, end at the next >. Script and style go with what they hold. A quoted value that never ends,
+    or behind which no tag ends, is not taken for quoted, up to where that was found. A < behind the last > is text.
+    """
+    last, at, plain = page.rfind(">"), 0, 0
+    unquoted: set[str] = set()  # quotes that don't occur any more
+    while True:
+        start = page.find("<", at)
+        if start < 0 or start > last:
+            return
+        at = start + 1
+        following = page[at : at + 1]
+        if following in ("!", "?"):
+            if page.startswith("!--", at):
+                if page.startswith((">", "->"), at + 3):
+                    stop = page.index(">", at + 3) + 1
+                else:
+                    found = COMMENT_END.search(page, at + 3)
+                    stop = found.end() if found else len(page)
+            else:
+                stop = page.index(">", at) + 1
+            yield Token(start, stop)
+            at = stop
+            continue
+        end = following == "/"
+        name = NAME.match(page, at + end)
+        if not name:
+            if end:  # no tag, but no text either
+                at = page.index(">", at) + 1
+                yield Token(start, at)
+            continue
+        spot, parts = name.end(), False
+        while True:
+            found = STOP.search(page, spot)
+            mark = found[0] if found else ""
+            if mark == ">":
+                stop = found.end()
+                break
+            close = -1
+            if mark and mark not in unquoted and spot >= plain:
+                close = page.find(mark, found.end())
+                if close < 0:
+                    unquoted.add(mark)
+            if close < 0 or close > last:
+                plain, parts = max(plain, close), True
+                stop = page.index(">", name.end()) + 1
+                break
+            spot = close + 1
+        tag = name[0].lower()
+        if tag in RAW_END and not end:
+            found = RAW_END[tag].search(page, stop)
+            at = found.end() if found else len(page)
+            yield Token(start, at)
+            continue
+        yield Token(start, stop, "" if parts else tag, end, page[name.end() : stop - 1], parts)
+        at = stop
+
+
 def blocks(page: str) -> list[Block]:
     """The page's leaf blocks, whole, in order, with character references decoded and white space folded."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []  # tag, and what the path says of it
+    stack: list[Path] = [Path()]
+    inner = [0]  # how many elements up to each place are no parts of a sentence
+    known: dict[tuple[Path, str, str], Path] = {}
+    places: dict[str, list[int]] = {}  # where each tag is on the stack
     parts: list[str] = []
-    linked, links, at = 0, 0, 0
+    linked, at = 0, 0
     held: list[tuple[list[str], int]] = []  # the text around each open embedded element
     special: list[int] = []  # where embedded elements and math are on the stack
 
+    def last(tag: str, after: int = 0) -> int | None:
+        """The innermost open element of the tag, if it is above that place."""
+        open_ = places.get(tag)
+        return open_[-1] if open_ and open_[-1] > after else None
+
     def flush():
         nonlocal parts, linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, tuple(x for _, x in stack), linked))
+            out.append(Block(text, stack[-1], linked))
         parts, linked = [], 0
 
+    def drop(index: int):
+        while len(stack) > index:
+            places[stack.pop().tag].pop()
+            inner.pop()
+
     def close(index: int):
-        nonlocal links, parts, linked
+        nonlocal parts, linked
         while special and special[-1] >= index:
             outer = special.pop()
-            if stack[outer][0] in EMBEDDED:
+            if stack[outer].tag in EMBEDDED:
                 flush()
-                links -= sum(tag == "a" for tag, _ in stack[outer:])
-                del stack[outer:]
+                drop(outer)
                 parts, linked = held.pop()
-                if any(tag not in INLINE for tag, _ in stack[index:]):
+                # the text around is that of the elements outside; where one of them closes too, and is a block, it ends here
+                if inner[-1] > inner[index - 1]:
                     flush()
-        links -= sum(tag == "a" for tag, _ in stack[index:])
-        del stack[index:]
+        drop(index)
 
-    for token in TOKEN.finditer(page):
-        if token.start() > at:
-            piece = page[at : token.start()]
+    for token in tokens(page):
+        if token.start > at:
+            piece = page[at : token.start]
             parts.append(piece)
-            linked += len(piece) if links else 0
-        at = token.end()
-        tag = (token["tag"] or "").lower()
+            linked += len(piece) if last("a") is not None else 0
+        at = token.stop
+        tag = token.tag
         if not tag:
-            if token["odd"]:
+            if token.parts:
                 flush()
             continue
-        if special and not token["end"] and tag in BREAKOUT:
-            while special and stack[special[-1]][0] in FOREIGN and not any(x in HOLDS_HTML for x, _ in stack[special[-1] :]):
+        if special and not token.end and tag in BREAKOUT:
+            while special and stack[special[-1]].tag in FOREIGN and all(last(x, special[-1] - 1) is None for x in HOLDS_HTML):
                 close(special[-1])
-        scope = special[-1] if special else -1  # what opens inside ends nothing outside
-        found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None) if token["end"] else None
+        scope = special[-1] if special else 0  # what opens inside ends nothing outside
+        found = last(tag) if token.end else None
         inline = tag in INLINE or tag in EMBEDDED or tag == "math"
-        if scope >= 0 and stack[scope][0] == "math":
-            inline = inline or not token["end"] and tag not in BREAKOUT or bool(token["end"]) and (found is None or found > scope)
+        if special and stack[scope].tag == "math":
+            inline = inline or not token.end and tag not in BREAKOUT or token.end and (found is None or found > scope)
         if not inline:
             flush()
-        if token["end"]:
+        if token.end:
             if found is not None:
                 close(found)
-        elif tag not in VOID and not token["rest"].endswith("/"):
+        elif tag not in VOID and not token.rest.endswith("/"):
             if not inline:
-                open_p = next((i for i in range(len(stack) - 1, scope, -1) if stack[i][0] == "p"), None)
+                open_p = last("p", scope)
                 if open_p is not None:
                     close(open_p)
-            for i in range(len(stack) - 1, scope, -1) if tag in ENDS else ():
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if stack[i][0] in ENDS[tag]:
-                    break
-            marks = [f"{a.lower()}={w}" for a, x, y, z in MARK.findall(token["rest"]) for w in (x or y or z).lower().split()] if token["rest"] else []
+            if tag in ENDS:
+                same = last(tag, scope)
+                if same is not None and all((last(x, scope) or 0) < same for x in ENDS[tag]):
+                    close(same)
+            path = known.get((stack[-1], tag, token.rest))
+            if path is None:
+                marks = tuple(f"{a.lower()}={w}" for a, x, y, z in MARK.findall(token.rest) for w in (x or y or z).lower().split()) if token.rest else ()
+                path = known[stack[-1], tag, token.rest] = Path(stack[-1], tag, marks)
             if tag in EMBEDDED:
                 held.append((parts, linked))
                 parts, linked = [], 0
             if tag in EMBEDDED or tag == "math":
                 special.append(len(stack))
-            stack.append((tag, " ".join([tag, *marks])))
-            links += tag == "a"
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(path)
+            inner.append(inner[-1] + (tag not in INLINE))
     if at < len(page):
         parts.append(page[at:])
     flush()
-    close(0)
+    close(1)
     flush()
     return out
 
 
-@functools.lru_cache(1 << 16)
-def path_bins(path: tuple[str, ...]) -> np.ndarray:
-    """Hashed features of a path: every element's tag and marks, the last two elements, and tags in a row."""
-    found = set()
-    tags = [x.split()[0] for x in path]
-    for element in path:
-        tag, *marks = element.split()
-        found.add(f"t {tag}")
-        for mark in marks:
-            found.add(f"m {mark}")
-            found.update(f"w {part}" for part in re.split(r"[=_\-]", mark)[1:] if part)
-    found.update(f"p {a} {b}" for a, b in zip(tags, tags[1:]))
-    found.add("e " + " ".join(tags[-2:]))
-    return np.array(sorted(zlib.crc32(x.encode()) % PATH_BINS for x in found), np.int64)
+def path_bins(paths: list[Path]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of paths: every element's tag and marks, the last two elements, and tags in a row. One list, and their sizes."""
+    bins, sizes, step = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 1 << 14
+    for low in range(0, len(paths), step):
+        rows = b"".join((p.bits | 1 << p.last).to_bytes(PATH_BINS // 8, "little") for p in paths[low : low + step])
+        has = np.unpackbits(np.frombuffer(rows, np.uint8).reshape(-1, PATH_BINS // 8), axis=1, bitorder="little")
+        sizes.append(has.sum(axis=1, dtype=np.int64))
+        bins.append(np.nonzero(has)[1])
+    return np.concatenate(bins), np.concatenate(sizes)
 
 
 @dataclass
@@ -178,7 +280,7 @@ class Encoded:
 def encode(pages: list[list[Block]]) -> Encoded:
     flat = [b for page in pages for b in page]
     sizes = np.array([len(p) for p in pages], np.int64)
-    bins = [path_bins(b.path) for b in flat]
+    bins, bin_sizes = path_bins([b.path for b in flat])
     text, offsets = arrays.text_bytes(pa.array([b.text for b in flat], pa.large_string()))
     starts, stops, bounds = arrays.word_spans(text, offsets)
     words = (arrays.word_hashes(text, starts, stops, lower=True) % arrays.U64(WORD_BINS)).astype(np.int64)
@@ -193,12 +295,12 @@ def encode(pages: list[list[Block]]) -> Encoded:
             np.array([b.linked for b in flat]) / np.maximum(chars, 1),
             place,
             ends,
-            np.array([len(b.path) for b in flat]) / 10,
+            np.array([b.path.depth for b in flat]) / 10,
             np.ones(len(flat)),
         ],
         axis=1,
     ) if flat else np.empty((0, COUNTS))
-    return Encoded(np.concatenate(bins) if bins else np.empty(0, np.int64), np.array([len(x) for x in bins], np.int64), words, word_sizes, np.minimum(counts, 3), sizes)
+    return Encoded(bins, bin_sizes, words, word_sizes, np.minimum(counts, 3), sizes)
 
 
 def _means(table: np.ndarray, items: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -331,18 +433,6 @@ OTHER_WORDS = frozenset(
 )
 
 
-def plain_label(path: tuple[str, ...]) -> int | None:
-    """1 for main text and 0 for what surrounds it, where the markup says so; else None. The innermost statement counts."""
-    for element in reversed(path):
-        tag, *marks = element.split()
-        words = {w for mark in marks for w in re.split(r"[=_\-]", mark)[1:]}
-        if words & OTHER_WORDS or tag in OTHER_TAGS:
-            return 0
-        if tag in MAIN_TAGS:
-            return 1
-    return None
-
-
 class Layouts:
     """Pages made from given words, with the label of each block."""
 
@@ -450,7 +540,7 @@ def train(pages: list[str], made: int = MADE_PAGES) -> Labeller:
     words = sorted({w for page in read for b in page[:40] for w in b.text.split()[:60]})[:20_000]
     examples, labels = [], []
     for page in read:
-        known = [plain_label(b.path) for b in page]
+        known = [b.path.label for b in page]
         if any(known):  # a page on which nothing is said to be main text teaches nothing
             examples.append(page)
             labels.append([x or 0 for x in known])

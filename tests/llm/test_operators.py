@@ -161,3 +161,74 @@ def test_blocks_of_a_page():
 )
 def test_embedded_elements_cut_nothing(page, expected):
     assert [b.text for b in html_text.blocks(page)] == expected
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<p>one <!--> two</p><p>three</p>", ["one two", "three"]),
+        ("<p>one <!---> two</p>", ["one two"]),
+        ("<p>one<!-- a > b --!> two<p>three<!-- -- ->x-->", ["one two", "three"]),
+        ("<p>a<![CDATA[x>b</p>c", ["ab", "c"]),
+        ("<p>a</ >b</3>c<?pi x>d<!doctype y>e", ["abcde"]),
+        ("1 < 2 and <3 or a<", ["1 < 2 and <3 or a<"]),
+        ("<p title='a>b'>x<p title='never>y</p>z", ["x", "y", "z"]),
+        ("<p>a<script x='>'>if (a</b) {}</script >b<style>c", ["ab"]),
+        ("<p>a<script>never ends</p>", ["a"]),
+    ],
+)
+def test_marks_that_are_no_tags_cut_nothing(page, expected):
+    assert [b.text for b in html_text.blocks(page)] == expected
+
+
+@pytest.mark.parametrize("kind", ["<a ", "<div>x", "<svg>x", "</x>", '<a "x" ', '<a ">', "<p>a<b '\">", "<!-- ", "<table><tr><td>y", "<math><mi>x", "<object>z", "<a>x", "<li>q", "<![CDATA["])
+def test_broken_pages_take_linear_time(kind):
+    """Half a megabyte of one mark, and as many end tags that close nothing."""
+    import time
+
+    began = time.monotonic()
+    found = html_text.blocks(kind * (500_000 // len(kind)) + "</y>" * 20_000)
+    assert time.monotonic() - began < 20
+    if kind in ("<div>x", "<svg>x", "<object>z", "<table><tr><td>y", "<li>q"):
+        assert len("".join(b.text for b in found)) == kind.count(kind[-1]) * (500_000 // len(kind))
+
+
+def test_a_page_s_words_are_those_of_a_plain_parser():
+    """All text outside script and style, in the order of the page, on pages with every kind of element."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.off = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.off += tag in ("script", "style")
+
+        def handle_endtag(self, tag):
+            self.off -= tag in ("script", "style") and self.off > 0
+
+        def handle_data(self, data):
+            if not self.off:
+                self.out.append(data)
+
+    rng = np.random.default_rng(4)
+    tags = "p div b a li ul table tr td section span h2 em article".split()
+    for _ in range(200):
+        page, open_ = [], []
+        for i in range(60):
+            kind = rng.integers(6)
+            if kind == 0 and open_:
+                page.append(f"</{open_.pop()}>")
+            elif kind <= 2:
+                open_.append(str(rng.choice(tags)))
+                page.append(f"<{open_[-1]} class='c{i}' data-x=\"a > b\">")
+            elif kind == 3:
+                page.append(str(rng.choice(["<!-- x > y -->", "<script>var a = '<p>';</script>", "<br>", "<img src=x/>", "<!doctype html>", "<style>p > b {}</style>"])))
+            else:
+                page.append(f"w{i}&amp;é ")
+        plain = Plain()
+        plain.feed("".join(page))
+        plain.close()
+        squeeze = lambda x: "".join(x.split())
+        assert squeeze("".join(b.text for b in html_text.blocks("".join(page)))) == squeeze("".join(plain.out))
