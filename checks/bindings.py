@@ -27,6 +27,7 @@ SETTINGS = Settings(
         "fr": ("eauaux", "leaux", "paeaux"),
         "de": ("schen", "ungder"),
     },
+    critical_signals=("please contact", "question*", "lefour*"),
 )
 
 

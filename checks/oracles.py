@@ -395,6 +395,14 @@ oracle(
 )
 
 
+VIEWS["d_read"] = f"""SELECT survey_h_hid, invitation_date, comment, survey_id, {LABEL} AS category, (digest % 1000) / 1000::double AS confidence,
+  (digest % 100) / 100::double AS severity, '[en] ' || comment AS translation, CASE WHEN digest % 11 = 0 THEN 'unreadable' WHEN digest % 13 = 0 THEN 'unknown category'
+  WHEN digest % 17 = 0 THEN 'confidence' WHEN digest % 19 = 0 THEN 'severity' END AS problem FROM d_digest"""
+oracle("classified_comments", "SELECT * EXCLUDE (problem, survey_id) FROM d_read WHERE problem IS NULL")
+oracle("refused_comments", "SELECT survey_h_hid, invitation_date, comment, problem FROM d_read WHERE problem IS NOT NULL")
+oracle("classified_table", "SELECT survey_h_hid, problem IS NULL AS is_accepted FROM d_read WHERE cast(invitation_date AS date) = DATE '2024-01-15'")
+
+
 def reply(key: str) -> str:
     body = f"""'{{"{key}": "' || payload || '"}}'"""
     spread = f"""'{{' || chr(10) || '"{key}": "' || payload || '"' || chr(10) || '}}'"""
@@ -462,11 +470,22 @@ VIEWS["d_classified"] = """SELECT d.doc_id AS survey_id, cast(DATE '2024-01-01'
   CASE WHEN toxic = 1 THEN 0.9::double ELSE (n_chars % 8) / 10::double END AS severity, text,
   list_distinct(list_filter(string_split(lower(translate(text, ',.:;!()', '')), ' '), lambda w: length(w) > 3)) AS words
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
-VIEWS["d_signal"] = """SELECT *, hits > 0 OR severity >= 0.8 AS is_critical FROM (SELECT *, cast(len(list_intersect(words,
+VIEWS["d_plain"] = r"""SELECT doc_id, ' ' || trim(regexp_replace(lower(translate(coalesce(text, ''), ',.:;!()', '')), '[\s\x{00a0}]+', ' ', 'g')) || ' ' AS plain FROM documents"""
+HOLDS = "list_filter([{}], lambda s: contains(plain, ' ' || CASE WHEN ends_with(s, '*') THEN rtrim(s, '*') ELSE s || ' ' END))"
+VIEWS["d_signal"] = f"""SELECT *, hits > 0 OR severity >= 0.8 AS is_critical FROM (SELECT c.*, cast(len({HOLDS.format("'please contact', 'question*', 'lefour*'")}) + len(list_intersect(words,
   CASE lang WHEN 'en' THEN ['thatre', 'thble', 'erthes', 'blees'] WHEN 'fr' THEN ['eauaux', 'leaux', 'paeaux']
-  WHEN 'de' THEN ['schen', 'ungder'] ELSE [] END)) AS int) AS hits FROM d_classified)"""
+  WHEN 'de' THEN ['schen', 'ungder'] ELSE [] END)) AS int) AS hits FROM d_classified c JOIN d_plain ON doc_id = survey_id)"""
 oracle("critical_signals", "SELECT survey_id, hits, is_critical FROM d_signal")
 
+SIGNALS = [a + b + d + "*" for a in "bcdfglmprst" for b in "aeiou" for d in "lnrst"] + [
+    "thatre", "schen", "paeaux", "question", "the answer", "please contact", "contact u*", "of the", "legal act*",
+]
+oracle(
+    "signal_hits",
+    f"""SELECT doc_id AS survey_id, cast(len(found) AS int) AS hits, array_to_string(list_sort(found), ',') AS signals
+  FROM (SELECT doc_id, {HOLDS.format(listed(SIGNALS))} AS found FROM d_plain)""",
+)
+
 RULE = Similarity()
 MINIMA = ", ".join(f"min((h * {a} + {b}) % {PRIME}) AS m{i}" for i, (a, b) in enumerate(multipliers(RULE.n_hashes)))
 KEYS = ", ".join(
@@ -568,6 +587,18 @@ oracle(
     """SELECT survey_id, day, route, category FROM (SELECT *, row_number() OVER (PARTITION BY day, route ORDER BY md5(survey_id || 'qa'), survey_id) AS n,
   count(*) OVER (PARTITION BY day, route) AS total FROM d_sampled) WHERE n <= ceil(total * 0.2::double)""",
 )
+VIEWS["d_unseen"] = """SELECT survey_id, arrived AS day, CASE WHEN severity >= 0.5 THEN 'auto_ticket' ELSE 'archive' END AS route, category, source
+  FROM d_classified JOIN documents ON doc_id = survey_id WHERE survey_id % 5 <> 0"""
+VIEWS["d_stratum"] = "SELECT day, route, category, source, count(*) AS n FROM d_unseen GROUP BY ALL"
+VIEWS["d_share"] = "SELECT *, least(10, total) * n // total AS whole, least(10, total) * n % total AS rest FROM (SELECT *, sum(n) OVER (PARTITION BY day) AS total FROM d_stratum)"
+VIEWS["d_quota"] = """SELECT day, route, category, source, whole + CASE WHEN row_number() OVER (PARTITION BY day ORDER BY rest DESC, route, category NULLS FIRST,
+  source NULLS FIRST) <= least(10, total) - sum(whole) OVER (PARTITION BY day) THEN 1 ELSE 0 END AS quota FROM d_share"""
+oracle(
+    "qa_sample_fixed",
+    """SELECT u.survey_id, u.day, u.route, u.category, u.source FROM (SELECT *, row_number() OVER (PARTITION BY day, route, category, source
+  ORDER BY md5(survey_id || 'qa'), survey_id) AS n FROM d_unseen) u JOIN d_quota q ON u.day = q.day AND u.route = q.route
+  AND u.category IS NOT DISTINCT FROM q.category AND u.source IS NOT DISTINCT FROM q.source WHERE u.n <= q.quota""",
+)
 VIEWS["d_review"] = """SELECT survey_id, category, confidence, quality = 0 AS is_wrong FROM d_classified JOIN labels ON survey_id = doc_id"""
 oracle(
     "qa_error_rate",

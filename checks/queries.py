@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from checks.bindings import ALL_MONTHS, AS_OF, COMMENT_DAY, SETTINGS, Tables, c
 from surveyloom import settings as S
 from surveyloom.functions import codes, dates, replies
-from surveyloom.operators import buckets, dimensions, merging, model, promoters, quality, similarity, triage, words
+from surveyloom.operators import buckets, dimensions, merging, model, promoters, quality, signals, similarity, triage, words
 from surveyloom.plans import comments as jobs
-from surveyloom.plans import marts, scorecard
+from surveyloom.plans import classify, marts, scorecard
 from surveyloom.plans import triage as job
 from surveyloom.session import materialise, new_folder
 from surveyloom.sources import tables as io
@@ -29,6 +29,11 @@ MART_DAY = dt.date(1998, 6, 1)
 QA_CUT = dt.date(2024, 1, 16)
 SLA_NOW = dt.datetime(2024, 2, 1)
 THRESHOLDS = (0.5, 0.6, 0.7, 0.8, 0.9, 0.95)
+#: Stems of all three-letter beginnings out of some letters, with some words and phrases.
+SIGNALS = (
+    *(f"{a}{b}{d}*" for a in "bcdfglmprst" for b in "aeiou" for d in "lnrst"),
+    "thatre", "schen", "paeaux", "question", "the answer", "please contact", "contact u*", "of the", "legal act*",
+)
 STOPWORDS = ("that", "this", "with", "thion", "tion", "eaux", "thth", "erth")
 
 
@@ -405,6 +410,31 @@ def categorised_table(t):
     return t.spark.read.parquet(path)
 
 
+def _classified_replies(t):
+    return classify.classify_comments(t.comments(), model.offline_classifier(), SETTINGS)
+
+
+@query
+def classified_comments(t):
+    """Surveys with what one model reply says of each; the replies that can't be used are in `refused_comments`."""
+    return classify.accepted(_classified_replies(t))
+
+
+@query
+def refused_comments(t):
+    return classify.refused(_classified_replies(t)).drop("reply")
+
+
+@query
+def classified_table(t):
+    """The daily classification job, run twice, with the tables of accepted and of refused rows read back."""
+    path, refused = new_folder(t.spark, "classified"), new_folder(t.spark, "refused")
+    for _ in range(2):
+        classify.classify_day(t.spark, path, refused, t.comments(), model.offline_classifier(), SETTINGS, COMMENT_DAY)
+    rows = [t.spark.read.parquet(p).select("survey_h_hid", F.lit(p == path).alias("is_accepted")) for p in (path, refused)]
+    return rows[0].unionByName(rows[1])
+
+
 # --- words ---
 
 
@@ -447,7 +477,7 @@ def classification_parse(t):
 
 
 def _signalled(t):
-    return triage.critical_signals(t.classified(), SETTINGS.critical_keywords)
+    return triage.critical_signals(t.classified(), SETTINGS.critical_keywords, signals=SETTINGS.critical_signals)
 
 
 @query
@@ -455,6 +485,13 @@ def critical_signals(t):
     return _signalled(t).select("survey_id", "hits", "is_critical")
 
 
+@query
+def signal_hits(t):
+    """Words, phrases and stems of all languages in every text, by one automaton."""
+    found = signals.signal_hits(t.classified(), SIGNALS).select("survey_id", c("signals"))
+    return found.select("survey_id", F.size("signals").alias("hits"), F.concat_ws(",", "signals").alias("signals"))
+
+
 def _sketched(t):
     sets = materialise(similarity.word_sets(t.classified()), "words")
     return sets, materialise(similarity.sketches(sets), "sketches")
@@ -585,6 +622,15 @@ def qa_sample_share(t):
     return quality.qa_sample_share(_sampled(t), 0.2)
 
 
+@query
+def qa_sample_fixed(t):
+    """Ten surveys a day out of automatic tickets and archive, by route, category and source."""
+    route = F.when(c("survey_id") % 5 == 0, triage.REVIEW).when(c("severity") >= 0.5, triage.AUTO).otherwise(triage.ARCHIVE)
+    rows = t.classified().join(t.raw("documents").select(c("doc_id").alias("survey_id"), "source"), "survey_id")
+    rows = rows.select("survey_id", c("arrived").alias("day"), route.alias("route"), "category", "source")
+    return quality.qa_sample_fixed(rows, 10, strata=("route", "category", "source"))
+
+
 def _reviews(t):
     labels = t.raw("labels").select(c("doc_id").alias("survey_id"), (c("quality") == 0).alias("is_wrong"))
     return t.classified().select("survey_id", "category", "confidence").join(labels, "survey_id")

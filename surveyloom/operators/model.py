@@ -38,6 +38,15 @@ def category_prompt(labels: Sequence[str] = CATEGORY_LABELS) -> str:
     )
 
 
+def classify_prompt(labels: Sequence[str] = CATEGORY_LABELS) -> str:
+    listed = "; ".join(labels)
+    return (
+        f"Read the customer's text below. Choose the one category that it is about, out of: {listed}. Say how sure you are and how "
+        "serious the matter is, each from 0 to 1, and put the text into English. Answer with one JSON object and nothing else, in the "
+        'form {"category": "<category>", "confidence": 0.0, "severity": 0.0, "translation": "<English text>"}. Text: '
+    )
+
+
 def with_prompt(df: DataFrame, instruction: str, text_col: str = "comment") -> DataFrame:
     """Add `prompt`; an empty text gives a null prompt, which is never sent."""
     text = F.nullif(F.col(text_col), F.lit(""))
@@ -153,6 +162,29 @@ def offline_categoriser(labels: Sequence[str] = CATEGORY_LABELS, instruction: st
     return build
 
 
+def offline_classifier(labels: Sequence[str] = CATEGORY_LABELS) -> ClientFactory:
+    """Replies with fields that depend on the text's digest only; some replies can't be used."""
+    head = classify_prompt(labels)
+
+    def reply(text: str) -> str:
+        d = _digest(text)
+        if d % 11 == 0:
+            return "I can't say."
+        fields = {
+            "category": "something else" if d % 13 == 0 else labels[d % len(labels)],
+            "confidence": 1.5 if d % 17 == 0 else d % 1000 / 1000,
+            "severity": None if d % 19 == 0 else d % 100 / 100,
+            "translation": f"[en] {text}",
+        }
+        body = json.dumps(fields, ensure_ascii=False)
+        return (body, f"```json {body} ```", f"```json\n{body}\n```")[d % 3]
+
+    def build() -> Client:
+        return lambda prompts, options: [reply(p.removeprefix(head)) for p in prompts]
+
+    return build
+
+
 def fused_comment(df: DataFrame, parts: Sequence[str], keep: Sequence[str | Column], trim: bool = False) -> DataFrame:
     """Fuse the comment parts and keep rows that have a comment."""
     from surveyloom.functions.text import has_text

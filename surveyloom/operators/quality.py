@@ -43,6 +43,34 @@ def qa_sample_share(
     return drawn.select(*surveys.columns)
 
 
+def qa_sample_fixed(
+    surveys: DataFrame,
+    per_day: int,
+    seed: str = "qa",
+    strata: Sequence[str] = ("route", "category", "lang"),
+    routes: Sequence[str] = ("auto_ticket", "archive"),
+    day: str = "day",
+    id_col: str = "survey_id",
+) -> DataFrame:
+    """Exactly `per_day` surveys of each day (all, if fewer) out of those that no human has seen, each stratum by its share.
+
+    A stratum gets the whole part of its share; the places left go to the largest remainders, ties in the order of the
+    strata. Within a stratum the draw is random, and the same on every run with one seed.
+    """
+    seen = surveys.filter(F.col("route").isin(*routes))
+    keys = [day, *strata]
+    of_day = Window.partitionBy(f"_{day}")
+    counts = seen.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("*").alias("_n"))
+    whole = counts.withColumn("_all", F.sum("_n").over(of_day)).withColumn("_drawn", F.least(F.col("_all"), F.lit(per_day)) * F.col("_n"))
+    parts = whole.withColumns({"_quota": F.expr("_drawn div _all"), "_rest": F.col("_drawn") % F.col("_all")})
+    place = F.row_number().over(of_day.orderBy(F.desc("_rest"), *[f"_{k}" for k in strata]))
+    open_ = F.least(F.col("_all"), F.lit(per_day)) - F.sum("_quota").over(of_day)
+    quota = parts.withColumn("_quota", F.col("_quota") + (place <= open_).cast("long")).select(*[f"_{k}" for k in keys], "_quota")
+    numbered = ranked(seen, keys, id_col, seed)
+    same = reduce(lambda a, b: a & b, [numbered[k].eqNullSafe(quota[f"_{k}"]) for k in keys])
+    return numbered.join(quota, same).filter(F.col("rank") <= F.col("_quota")).select(*surveys.columns)
+
+
 def error_rate(reviews: DataFrame, *by: str, wrong: str = "is_wrong") -> DataFrame:
     """Reviewed rows, errors and their share, overall or by columns."""
     test = F.col(wrong).cast("int")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.text import keyword_hits, token_set
 from surveyloom.operators.ranking import ranked
+from surveyloom.operators.signals import signal_hits
 from surveyloom.settings import CRITICAL_KEYWORDS, Routing, SlaRule
 
 AUTO, REVIEW, ARCHIVE = "auto_ticket", "review", "archive"
@@ -19,12 +20,18 @@ def critical_signals(
     surveys: DataFrame,
     keywords: dict[str, Iterable[str]] = CRITICAL_KEYWORDS,
     critical_severity: float = Routing().critical_severity,
+    signals: Sequence[str] = (),
+    text_col: str = "text",
 ) -> DataFrame:
-    """Add `hits`, the number of high-risk words of the row's language, and `is_critical`."""
-    found = F.size(keyword_hits(token_set(F.col("text")), F.col("lang"), keywords))
-    marked = surveys.withColumn("hits", found)
+    """Add `hits`, the number of high-risk words of the row's language and of `signals` of any, and `is_critical`.
+
+    For `signals` see `signal_hits`; they are looked for in `text_col`, such as a translation.
+    """
+    words = keyword_hits(token_set(F.col("text")), F.col("lang"), keywords)
+    found = signal_hits(surveys, signals, text_col, "_signals") if signals else surveys
+    hits = F.size(F.array_union(words, F.col("_signals"))) if signals else F.size(words)
     severe = F.coalesce(F.col("severity") >= critical_severity, F.lit(False))
-    return marked.withColumn("is_critical", (F.col("hits") > 0) | severe)
+    return found.withColumn("hits", hits).withColumn("is_critical", (F.col("hits") > 0) | severe).drop("_signals")
 
 
 def cluster_profile(members: DataFrame, surveys: DataFrame) -> DataFrame:

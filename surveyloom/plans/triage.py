@@ -34,7 +34,7 @@ def run(surveys: DataFrame, history: str | None = None, settings: Settings = Set
     links = similarity.similar_links(sets, sketched, rule)
     members = materialise(similarity.cluster_members(surveys, links), "members")
     signalled = triage.critical_signals(
-        surveys, settings.critical_keywords, settings.routing.critical_severity
+        surveys, settings.critical_keywords, settings.routing.critical_severity, settings.critical_signals
     )
     profiles = triage.cluster_profile(members, signalled)
     found = similar_patterns(surveys.sparkSession, history, sets, rule) if history else None

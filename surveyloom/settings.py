@@ -98,6 +98,12 @@ CRITICAL_KEYWORDS = {
     "it": ("sicurezza", "reso", "danno", "frode", "legale"),
 }
 
+#: Words, phrases and stems (ending in *) that force a review, whatever the language of the survey was.
+CRITICAL_SIGNALS = (
+    "safety", "unsafe", "injur*", "return*", "refund*", "damag*", "fraud*", "legal", "lawsuit*", "legal act*",
+    "sicurezza", "pericolos*", "reso", "rimbors*", "dann*", "frod*", "legale", "azione legal*",
+)
+
 
 @dataclass(frozen=True)
 class ModelOptions:
@@ -157,6 +163,7 @@ class Settings:
     exam_cutover: dt.date = EXAM_CUTOVER
     stopwords: tuple[str, ...] = DEFAULT_STOPWORDS
     translation_options: ModelOptions = ModelOptions(temperature=0.2)
+    classification_options: ModelOptions = ModelOptions(temperature=0.1)
     category_options: ModelOptions = ModelOptions(temperature=0.1)
     routing: Routing = Routing()
     similarity: Similarity = Similarity()
@@ -168,6 +175,7 @@ class Settings:
     critical_keywords: dict[str, tuple[str, ...]] = field(
         default_factory=lambda: dict(CRITICAL_KEYWORDS)
     )
+    critical_signals: tuple[str, ...] = CRITICAL_SIGNALS
 
     @property
     def translated_banners(self) -> tuple[str, ...]:
@@ -185,6 +193,7 @@ class Settings:
             raise ValueError(f"unknown settings: {', '.join(unknown)}")
         nested = {
             "translation_options": lambda v: ModelOptions(**v),
+            "classification_options": lambda v: ModelOptions(**v),
             "category_options": lambda v: ModelOptions(**v),
             "routing": lambda v: Routing(**{**v, **({"weights": tuple(v["weights"])} if "weights" in v else {})}),
             "similarity": lambda v: Similarity(**v),
