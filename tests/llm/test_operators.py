@@ -232,3 +232,40 @@ def test_a_page_s_words_are_those_of_a_plain_parser():
         plain.close()
         squeeze = lambda x: "".join(x.split())
         assert squeeze("".join(b.text for b in html_text.blocks("".join(page)))) == squeeze("".join(plain.out))
+
+
+def thue_morse(n, a="a", b="b"):
+    out = [bin(i).count("1") % 2 for i in range(n)]
+    return [a if x else b for x in out], [b if x else a for x in out]
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_self_similar_words_are_told_apart(spark, n):
+    """A word and its complement, which sums modulo a power of two can't tell apart, in joins, windows and items."""
+    one, two = ("".join(x) for x in thue_morse(n))
+    assert one != two
+    before = [f"x{i}" for i in range(49)]
+    rows = [(1, one), (2, two), (3, one.upper()), (4, " ".join([*before, one])), (5, " ".join([*before, two])), (6, " ".join([*before, one]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_join(docs).collect()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 4, 6: 4}
+    assert {r["doc_id"]: len(r["kept"].split()) for r in recompression_dedup(docs).collect()} == {1: 1, 2: 1, 3: 1, 4: 50, 5: 50, 6: 0}
+    index = decontaminate.build_index([1], [f"q r s {one}"])
+    found = decontaminate.matches(pa.array([f"q r s {one}", f"q r s {two}", f"q r {two}"]), index)
+    assert [(doc, distance) for doc, _, distance, _ in found] == [(0, 0), (1, 1)]
+
+
+@pytest.mark.parametrize("width", [64, 65, 1000, 2048])
+def test_wide_windows_equal_brute_force(spark, width):
+    words = thue_morse(2048)
+    texts = [" ".join(words[0]), " ".join(words[1]), " ".join(["z", *words[0], "y"]), "".join(words[0]), "".join(words[1]), "q" + "".join(words[0])]
+    docs = spark.createDataFrame([(i, x, "en", "s", 0) for i, x in enumerate(texts)], SCHEMA)
+    for found, units in (
+        (suffix_dedup.suffix_dedup(docs, width), {i: x.encode() for i, x in enumerate(texts)}),
+        (recompression_dedup(docs, width), {i: tuple(x.split()) for i, x in enumerate(texts)}),
+    ):
+        kept = brute(units, width)
+        for row in found.collect():
+            own = row["kept"].split() if isinstance(row["kept"], str) else list(row["kept"])
+            assert own == kept[row["doc_id"]]
+            assert row["n_units"] == len(units[row["doc_id"]]) and row["n_units"] - len(own) == sum(s["stop"] - s["start"] for s in row["spans"])
+            assert all(a["stop"] < b["start"] for a, b in zip(row["spans"], row["spans"][1:]))
