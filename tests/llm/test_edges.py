@@ -8,7 +8,7 @@ from surveyloom.llm.queries import QUERIES
 TABLES = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
     "labels": "doc_id long, quality long, toxic long",
-    "embeddings": "vec_id long, embedding array<float>",
+    "embeddings": "vec_id long, embedding array<float>, label int",
     "pages": "page_id long, url string, html string",
     "benchmark": "item_id long, text string",
 }
@@ -41,8 +41,8 @@ def odd(spark, tmp_path_factory):
     item = "a benchmark question of more than eight words that some document holds"
     docs.append((len(TEXTS), f"before {item} after", "en", "s", 1))
     labels = [(i, i % 2, (i + 1) % 2) for i in range(len(TEXTS))] + [(None, 1, 1), (3, None, None), (4, 1, 0)]
-    vectors = [(i, [float(i % 3), -1.0, 0.5]) for i in range(60)]
-    vectors += [(100, None), (150, [1.0, None, 2.0]), (200, [float("nan"), 0.0, 0.0]), (None, [1.0, 1.0, 1.0])]
+    vectors = [(i, [float(i % 3), -1.0, 0.5], i % 2) for i in range(60)]
+    vectors += [(100, None, 1), (150, [1.0, None, 2.0], 1), (200, [float("nan"), 0.0, 0.0], 1), (None, [1.0, 1.0, 1.0], 1), (400, [9.0, 9.0, 9.0], None)]
     pages = [(i, None, html) for i, html in enumerate([None, "", "<p>", "<html><body><article><p>Some text &amp; more of it.</p></article></body></html>"])]
     tables = {"documents": docs, "labels": labels, "embeddings": vectors, "pages": pages, "benchmark": [(1, item), (2, None), (None, "")]}
     return store(spark, tmp_path_factory.mktemp("odd"), tables, CLASHES)
@@ -63,11 +63,11 @@ def by_id(df, key="doc_id"):
     return {r[key]: r for r in rows}
 
 
-@pytest.mark.parametrize("name", [n for n in NAMES if n.split("_")[0] in ("op1", "op3", "op5", "op7", "op8", "op9", "op10")])
+@pytest.mark.parametrize("name", [n for n in NAMES if n.split("_")[0] in ("op1", "op3", "op5", "op7", "op8", "op9", "op10", "op12", "op13")])
 def test_odd_documents_give_one_row_each(spark, odd, name):
     found = by_id(QUERIES[name](spark, odd))
     assert sorted(found) == list(range(len(TEXTS) + 1))
-    if "score" in found[0]:
+    if "predicted" in found[0]:
         assert all(0 <= r["score"] <= 1 for r in found.values())
     if "component_id" in found[0]:
         assert found[5]["component_id"] == 4 and found[0]["n_shingles"] == 0
@@ -76,7 +76,12 @@ def test_odd_documents_give_one_row_each(spark, odd, name):
         assert [found[i]["n_words"] for i in (0, 1, 2, 8)] == [0, 0, 0, 27000]
     if "n_bytes" in found[0]:
         assert [found[i]["n_bytes"] for i in (0, 1, 2, 7)] == [0, 0, 3, 9000]
-    if "n_tokens" in found[0]:
+    if "base_score" in found[0]:
+        assert [found[i]["n_tokens"] for i in (0, 1, 2, 3, 7, 8)] == [1, 1, 1, 2, 2, 27001]
+        assert all(r["score"] < 0 and r["base_score"] < 0 for r in found.values())
+    if "form" in found[0]:
+        assert [(found[i]["n"], found[i]["form"]) for i in (0, 1)] == [(0, "plain")] * 2 and [found[i]["n"] for i in (2, 7)] == [1, 1]
+    if "start" in found[0]:
         ends = [found[i]["start"] + found[i]["n_tokens"] for i in sorted(found)]
         assert found[0]["n_tokens"] == 1 and [found[i]["start"] for i in sorted(found)] == [0, *ends[:-1]]
 
@@ -92,13 +97,26 @@ def test_odd_pages(spark, odd):
     assert [found[i]["text"] for i in (0, 1, 2)] == ["", "", ""]
 
 
+def test_odd_vectors_are_no_negatives(spark, odd):
+    """Vector 0 moves to label 1, so it and its positives are of the odd ids; copies of its own vector are negatives too."""
+    rows = QUERIES["op11_hard_negatives"](spark, odd).collect()
+    label = {i: (i % 2 + 1) % 10 if i % 7 == 0 else i % 2 for i in range(60)}
+    whole = {i: (256 * (i % 3), -256, 128) for i in range(60)}
+    scored = sorted((-sum(x * y for x, y in zip(whole[0], v)), i) for i, v in whole.items() if i != 0)
+    expected = []
+    for s, p in [x for x in scored if label[x[1]] == label[0]][:5]:
+        fits = [x for x in scored if label[x[1]] != label[0] and 80 * -s <= 100 * -x[0] <= 100 * -s][:5]
+        expected += [(0, p, k + 1, i, -s, -t) for k, (t, i) in enumerate(fits)]
+    assert sorted(tuple(r) for r in rows) == sorted(expected) and expected
+
+
 def test_odd_vectors_take_no_part(spark, odd):
     rows = QUERIES["op4_exact_topk"](spark, odd).collect()
-    whole = {i: (256 * (i % 3), -256, 128) for i in range(60)}
+    whole = {i: (256 * (i % 3), -256, 128) for i in range(60)} | {400: (2304, 2304, 2304)}
     for query in (0, 50):
         scored = sorted((-sum(x * y for x, y in zip(whole[query], v)), i) for i, v in whole.items() if i != query)[:5]
         assert [(-r["score"], r["vec_id"]) for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == query] == scored
-    assert {r["query_id"] for r in rows} == {0, 50}
+    assert {r["query_id"] for r in rows} == {0, 50, 400}
 
 
 def test_pipeline_over_odd_documents(spark, odd):
