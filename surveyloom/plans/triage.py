@@ -27,14 +27,16 @@ def run(surveys: DataFrame, history: str | None = None, settings: Settings = Set
 
     `surveys` have survey_id, arrived, lang, category, confidence, severity and text. `history` is the folder of the index of
     known patterns, as `remember` keeps it; without one, or before its first batch, every cluster is new.
+    Settings without critical keywords turn the signals off, too.
     """
     rule = settings.similarity
     sets = materialise(similarity.word_sets(surveys), "words")
     sketched = materialise(similarity.sketches(sets, rule), "sketches")
     links = similarity.similar_links(sets, sketched, rule)
     members = materialise(similarity.cluster_members(surveys, links), "members")
+    signals = settings.critical_signals if settings.critical_keywords else ()
     signalled = triage.critical_signals(
-        surveys, settings.critical_keywords, settings.routing.critical_severity, settings.critical_signals
+        surveys, settings.critical_keywords, settings.routing.critical_severity, signals
     )
     profiles = triage.cluster_profile(members, signalled)
     found = similar_patterns(surveys.sparkSession, history, sets, rule) if history else None
