@@ -612,6 +612,31 @@ oracle(
     count(*) FILTER (confidence >= threshold AND NOT is_wrong) AS correct, count(*) AS total
     FROM d_review, (SELECT unnest([0.5, 0.6, 0.7, 0.8, 0.9, 0.95]::double[]) AS threshold) GROUP BY threshold)""",
 )
+VIEWS["d_confidence"] = """SELECT category, confidence AS x, count(*) AS n, cast(sum((NOT is_wrong)::int) AS bigint) AS ok,
+  row_number() OVER (PARTITION BY category ORDER BY confidence) AS i FROM d_review GROUP BY category, confidence"""
+VIEWS["d_running"] = """SELECT *, sum(n) OVER w AS upto_n, sum(ok) OVER w AS upto_ok FROM d_confidence WINDOW w AS (PARTITION BY category ORDER BY i)"""
+VIEWS["d_span"] = """SELECT a.category, a.i AS a, b.i AS b, (b.upto_ok - a.upto_ok + a.ok) / (b.upto_n - a.upto_n + a.n)::double AS share
+  FROM d_running a JOIN d_running b ON a.category = b.category AND a.i <= b.i"""
+VIEWS["d_isotonic"] = """SELECT category, b AS i, max(least_share) AS calibrated FROM (SELECT *, min(share) OVER (PARTITION BY category, a ORDER BY b
+  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS least_share FROM d_span) GROUP BY category, b"""
+VIEWS["d_block"] = """SELECT category, min(x) AS low, max(x) AS high, cast(sum(n) AS bigint) AS reviewed, cast(sum(ok) AS bigint) AS correct, calibrated
+  FROM d_confidence JOIN d_isotonic USING (category, i) GROUP BY category, calibrated"""
+oracle("calibration_blocks", "SELECT * REPLACE (round(calibrated, 6) AS calibrated) FROM d_block")
+VIEWS["d_tail"] = """SELECT category, low, n, ok, (ok / n + 1.959964 * 1.959964 / (2 * n) - 1.959964 * sqrt(ok / n * (1 - ok / n) / n
+  + 1.959964 * 1.959964 / (4 * n * n))) / (1 + 1.959964 * 1.959964 / n) AS bound FROM (SELECT category, low,
+    (sum(reviewed) OVER w)::double AS n, (sum(correct) OVER w)::double AS ok FROM d_block WINDOW w AS (PARTITION BY category ORDER BY low DESC))"""
+oracle(
+    "calibrated_threshold",
+    """SELECT category, target, arg_min(low, low) FILTER (bound >= target) AS threshold, cast(arg_min(n, low) FILTER (bound >= target) AS bigint) AS automated,
+  cast(arg_min(ok, low) FILTER (bound >= target) AS bigint) AS correct, round(arg_min(bound, low) FILTER (bound >= target), 6) AS lower_bound
+  FROM d_tail, (SELECT unnest([0.5, 0.6, 0.7, 0.75, 0.8, 0.99]::double[]) AS target) GROUP BY category, target""",
+)
+oracle(
+    "calibrated_confidence",
+    """SELECT survey_id, c.category, confidence, round(coalesce(b.calibrated, f.calibrated), 6) AS calibrated FROM d_classified c
+  ASOF LEFT JOIN d_block b ON c.category = b.category AND c.confidence >= b.low
+  LEFT JOIN (SELECT category, min(calibrated) AS calibrated FROM d_block GROUP BY category) f ON c.category = f.category""",
+)
 oracle(
     "category_trend",
     """SELECT *, round(n / (sum(n) OVER (PARTITION BY day))::double, 6) AS share, n - lag(n) OVER (PARTITION BY category ORDER BY day) AS change

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks.bindings import ALL_MONTHS, AS_OF, COMMENT_DAY, SETTINGS, Tables, c
 from surveyloom import settings as S
 from surveyloom.functions import codes, dates, replies
-from surveyloom.operators import buckets, dimensions, merging, model, promoters, quality, signals, similarity, triage, words
+from surveyloom.operators import buckets, calibration, dimensions, merging, model, promoters, quality, signals, similarity, triage, words
 from surveyloom.plans import comments as jobs
 from surveyloom.plans import classify, marts, scorecard
 from surveyloom.plans import triage as job
@@ -646,6 +646,30 @@ def threshold_curve(t):
     return quality.threshold_curve(_reviews(t).withColumn("is_correct", ~c("is_wrong")), THRESHOLDS)
 
 
+TARGETS = (0.5, 0.6, 0.7, 0.75, 0.8, 0.99)
+
+
+def _calibration(t):
+    return calibration.calibration(_reviews(t).withColumn("is_correct", ~c("is_wrong")), ["category"])
+
+
+@query
+def calibration_blocks(t):
+    return _calibration(t).withColumn("calibrated", F.round("calibrated", 6))
+
+
+@query
+def calibrated_threshold(t):
+    return calibration.calibrated_threshold(_calibration(t), TARGETS, ["category"])
+
+
+@query
+def calibrated_confidence(t):
+    """Every classified survey with its confidence as the reviews bear it out."""
+    rows = t.classified().select("survey_id", "category", "confidence")
+    return calibration.calibrated(rows, _calibration(t), ["category"]).withColumn("calibrated", F.round("calibrated", 6))
+
+
 @query
 def category_trend(t):
     return quality.category_trend(t.events())
