@@ -298,6 +298,7 @@ UPSERT = """SELECT * FROM d_old o WHERE NOT EXISTS (SELECT 1 FROM d_new n
   WHERE n.k IS NOT DISTINCT FROM o.k AND n.day IS NOT DISTINCT FROM o.day) UNION ALL SELECT * FROM d_new"""
 oracle("upsert_null_safe", UPSERT)
 oracle("upserted_table", UPSERT)
+oracle("switched_table", UPSERT)
 oracle("upserted_periods", UPSERT)
 oracle("append_rows", "SELECT * FROM d_old UNION ALL SELECT * FROM d_new")
 oracle("appended_table", "SELECT * FROM d_old UNION ALL SELECT * FROM d_new")

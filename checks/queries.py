@@ -249,6 +249,17 @@ def upserted_table(t):
     return t.spark.read.parquet(path)
 
 
+@query
+def switched_table(t):
+    """Two upserts and an append into a table with versions, the append between them."""
+    path = new_folder(t.spark, "switched")
+    io.ensure_table(t.spark, path, _keyed_orders(t, "old", "F").schema, versioned=True)
+    io.upsert_table(t.spark, path, _keyed_orders(t, "old", "O"), ["k", "day"])
+    io.append_table(_keyed_orders(t, "old", "F"), path)
+    io.upsert_table(t.spark, path, _keyed_orders(t, "new", "O", "P"), ["k", "day"])
+    return io.read_table(t.spark, path)
+
+
 @query
 def appended_table(t):
     path = new_folder(t.spark, "appended")

@@ -12,7 +12,7 @@ from surveyloom.operators import model as M
 from surveyloom.plans.comments import daily_slice, fuse_comments
 from surveyloom.session import scratch
 from surveyloom.settings import Settings
-from surveyloom.sources.tables import rewrite_table, upsert_table
+from surveyloom.sources.tables import read_table, rewrite_table, upsert_table
 
 KEY = ("survey_h_hid", "invitation_date")
 FIELDS = ("category", "confidence", "severity", "translation")
@@ -75,5 +75,5 @@ def classify_day(
     with scratch(classify_comments(daily_slice(answers, as_of, tolerant), client, settings), "classified") as rows:
         upsert_table(spark, path, accepted(rows), KEY)
         upsert_table(spark, refused_path, refused(rows), KEY)
-    left = spark.read.parquet(refused_path).join(spark.read.parquet(path).select(*KEY), list(KEY), "left_anti")
+    left = read_table(spark, refused_path).join(read_table(spark, path).select(*KEY), list(KEY), "left_anti")
     rewrite_table(left, refused_path)

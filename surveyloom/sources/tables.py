@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from surveyloom.operators.merging import replace_by_key, upsert
 from surveyloom.session import new_folder, remove_folder, scratch
+from surveyloom.sources.versions import pointed, resolved, switch
 
 TRANSLATIONS = T.StructType(
     [
@@ -53,13 +54,18 @@ class Sources:
             return source()
         if source.startswith("table:"):
             return self.spark.table(source.removeprefix("table:"))
-        return self.spark.read.parquet(source)
+        return read_table(self.spark, source)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table by its path, plain or with versions."""
+    return spark.read.parquet(resolved(spark, path))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True if the path holds a readable table."""
     try:
-        spark.read.parquet(path)
+        read_table(spark, path)
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             return False
@@ -67,9 +73,25 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Create an empty table with a declared schema unless one is there."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType, versioned: bool = False) -> None:
+    """Create an empty table with a declared schema unless one is there.
+
+    With `versioned` every rewrite of the table goes to a new folder, and readers go by `read_table`; see
+    `surveyloom.sources.versions`. All functions here follow the table that they find.
+    """
+    empty = spark.createDataFrame([], schema).write
+    if not versioned:
+        empty.mode("ignore").parquet(path)
+    elif not table_exists(spark, path):
+        switch(spark, path, empty.parquet)
+
+
+def _overwrite(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Fill a new version where the table has versions, else the folder itself."""
+    if pointed(spark, path) is None:
+        write(path)
+    else:
+        switch(spark, path, write)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -77,16 +99,20 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     if partition_by:
         write_partitioned(df, path, *partition_by)
     else:
-        df.write.mode("overwrite").parquet(path)
+        _overwrite(df.sparkSession, path, df.write.mode("overwrite").parquet)
 
 
 def rewrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table by a frame that reads the table itself.
 
-    The new content is written out in the shared folder before the old is touched. The
-    copy goes when the table is complete; a failure while the table is written leaves it.
+    A table with versions gets a new one, written once. For a plain folder the new content
+    is written out in the shared folder before the old is touched; the copy goes when the
+    table is complete, and a failure while the table is written leaves it.
     """
     spark = df.sparkSession
+    if pointed(spark, path) is not None:
+        replace_table(df, path, partition_by)
+        return
     staged = new_folder(spark, "staged")
     df.write.parquet(staged)
     replace_table(spark.read.schema(df.schema).parquet(staged), path, partition_by)
@@ -94,6 +120,7 @@ def rewrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    path = resolved(df.sparkSession, path)
     if partition_by:
         gathered(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
     else:
@@ -108,7 +135,7 @@ def gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, *columns: str) -> None:
     """One directory per value."""
-    gathered(df, columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
+    _overwrite(df.sparkSession, path, gathered(df, columns).write.mode("overwrite").partitionBy(*columns).parquet)
 
 
 def write_clustered(df: DataFrame, path: str, *columns: str) -> None:
@@ -119,17 +146,17 @@ def write_clustered(df: DataFrame, path: str, *columns: str) -> None:
     """
     spread = F.xxhash64(*df.columns)
     ranged = df.repartitionByRange(*columns, spread)
-    ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+    _overwrite(df.sparkSession, path, ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet)
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], **policy) -> None:
-    """Keyed upsert into a parquet table that may not exist yet; rewrites the table.
+    """Keyed upsert into a parquet table that may not exist yet; rewrites the table, see `rewrite_table`.
 
     For large tables partition by a column of the key and use `upsert_periods`. The source
     is computed once, as it may hold model calls.
     """
     with scratch(source, "source") as rows:
-        target = spark.read.parquet(path) if table_exists(spark, path) else spark.createDataFrame([], rows.schema)
+        target = read_table(spark, path) if table_exists(spark, path) else spark.createDataFrame([], rows.schema)
         rewrite_table(upsert(target, rows, keys, **policy), path)
 
 
@@ -162,6 +189,7 @@ def _rewrite_periods(
     """
     if not set(period) <= set(keys):
         raise ValueError("the period columns must be part of the key")
+    path = resolved(spark, path)
     with scratch(batch, "batch") as rows:
         content = rows
         if table_exists(spark, path):
