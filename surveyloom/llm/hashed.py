@@ -26,14 +26,14 @@ def fold(doc_id: Column, n: int) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column | None, most: int) -> DataFrame:
     """doc_id, y and text of at most `most` labelled documents, those whose ids have the smallest digests.
 
-    `keep` is a condition on doc_id, or none. Several labels of a document are averaged. The sample's ids, bounded by `most`, are
-    broadcast, so texts of other documents are not shuffled.
+    `keep` is a condition on doc_id, or none. Several labels of a document are averaged; of several rows of one doc_id the smallest
+    text counts. The sample's ids, bounded by `most`, are broadcast, so texts of other documents are not shuffled.
     """
     y = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (F.lit(True) if keep is None else keep))
     y = y.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
     chosen = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
 
 def bins(hashes: np.ndarray, size: int) -> np.ndarray:
