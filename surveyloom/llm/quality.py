@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.llm import arrays
 from surveyloom.llm.arrays import U64
+from surveyloom.llm.chunks import written
 from surveyloom.llm.hashed import PART, bins, by_document, labelled_sample, score_texts, sigmoid
 from surveyloom.session import ship_package
 
@@ -114,8 +115,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, keep: Column | None = None,
             columns = [part.column("doc_id"), part.column("y"), *(pa.array(x, pa.binary()) for x in blobs)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "y", "terms", "vals"])
 
-    sample = labelled_sample(docs, labels, "quality", keep, most)
-    rows = sample.select("doc_id", "y", "text").mapInArrow(arrays.released(extract), "doc_id long, y int, terms binary, vals binary")
+    sample = written(labelled_sample(docs, labels, "quality", keep, most).select("doc_id", "y", "text"), "quality_sample")
+    rows = sample.mapInArrow(arrays.released(extract), "doc_id long, y int, terms binary, vals binary")
     found = rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     return train([(np.frombuffer(r["terms"], np.int32), np.frombuffer(r["vals"], np.float32).astype(float), r["y"]) for r in found])
 
