@@ -384,6 +384,7 @@ oracle(
 VIEWS["d_translated"] = """SELECT survey_h_hid, invitation_date, comment, brand,
   CASE WHEN digest % 3 < 2 THEN '[en] ' || comment END AS translated_comment FROM d_digest WHERE brand IS NOT NULL"""
 oracle("translated_comments", "SELECT * FROM d_translated")
+oracle("stored_replies", "SELECT * FROM d_translated")
 oracle(
     "categorised_comments",
     f"SELECT survey_h_hid, invitation_date, comment, {LABEL} AS comment_category, true AS known_category FROM d_digest",

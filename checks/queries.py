@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -398,6 +399,23 @@ def translated_comments(t):
     return jobs.translate_comments(t.comments(), model.offline_translator(), SETTINGS).drop("result")
 
 
+def _refusing():
+    """A client that answers nothing."""
+
+    def call(prompts, options):
+        raise RuntimeError("asked again")
+
+    return call
+
+
+@query
+def stored_replies(t):
+    """Translated twice with a reply store; the second client refuses every call, so all replies come from the store."""
+    settings = replace(SETTINGS, reply_store=new_folder(t.spark, "replies"))
+    jobs.translate_comments(t.comments(), model.offline_translator(), settings)
+    return jobs.translate_comments(t.comments(), _refusing, settings).drop("result")
+
+
 @query
 def categorised_comments(t):
     return jobs.categorise_comments(t.comments(), model.offline_categoriser(), SETTINGS, validate=True)

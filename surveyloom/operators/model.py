@@ -5,14 +5,18 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyloom.functions.text import fuse_text
+from surveyloom.operators import replies as kept
+from surveyloom.session import materialise
 from surveyloom.settings import CATEGORY_LABELS, ModelOptions
 
 # A client maps a list of prompts to a list of replies. It is built on the worker by a
@@ -62,6 +66,8 @@ def generate_text(
     retries: int = 2,
     pause: float = 0.5,
     tasks: int | None = None,
+    store: str | None = None,
+    per_file: int = 16,
 ) -> DataFrame:
     """Pass all columns through and add the model's reply and a status.
 
@@ -70,9 +76,14 @@ def generate_text(
     of tasks that make them is fixed (one per core by default) and not left to the size
     of the data. Prompts that keep failing give a null reply and the error in the status;
     the rows stay, and the other prompts of their batch get their replies. Spark may run a task again, so write or checkpoint the result before
-    using it twice.
+    using it twice, or name a `store`: a shared folder that keeps every reply by the digest of
+    prompt and options. With it the calls are made at once, only for prompts that it has no
+    reply for, and written every `per_file` batches, so a lost task or run pays again for
+    that many at most; one store may serve any number of jobs, one after another.
     """
     tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
+    if store:
+        return _from_store(df, client, options, prompt_col, batch_size, retries, pause, tasks, store.rstrip("/"), per_file)
     keyed = df.withColumn("_key", F.sha2(F.col(prompt_col), 256))
     prompts = keyed.select("_key", F.col(prompt_col).alias("_prompt")).filter("_key IS NOT NULL")
 
@@ -89,6 +100,25 @@ def generate_text(
     return keyed.join(answered, F.col("_key") == F.col("_asked"), "left").drop("_key", "_asked")
 
 
+def _from_store(df, client, options, prompt_col, batch_size, retries, pause, tasks, store, per_file) -> DataFrame:
+    spark, run = df.sparkSession, uuid.uuid4().hex[:12]
+    key = F.sha2(F.concat(F.lit(f"{json.dumps(vars(options), sort_keys=True)}\n"), F.col(prompt_col)), 256)
+    keyed = df.withColumn("_key", key)
+    prompts = keyed.select("_key", F.col(prompt_col).alias("_prompt")).filter("_key IS NOT NULL").distinct()
+    missing = prompts.join(kept.stored(spark, store), "_key", "left_anti").repartition(tasks, "_key")
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        call = client()
+        part = f"{store}/run={run}/part={TaskContext.get().partitionId()}"
+        yield from kept.asked_once(batches, part, lambda p: _call(call, p, options, retries, pause), batch_size, per_file)
+
+    failures = materialise(missing.mapInPandas(ask, "_key string, _status string"), "failed_calls")
+    kept.finish(spark, store, run)
+    answers = kept.stored(spark, store).select(F.col("_key").alias("_asked"), F.col("_reply").alias(RESULT), F.lit("").alias(STATUS))
+    failed = failures.select(F.col("_key").alias("_asked"), F.lit(None).cast("string").alias(RESULT), F.col("_status").alias(STATUS))
+    return keyed.join(answers.unionByName(failed), F.col("_key") == F.col("_asked"), "left").drop("_key", "_asked")
+
+
 def _call(call: Client, prompts: list[str], options: ModelOptions, retries: int, pause: float):
     """Replies and statuses for one batch, with a bounded number of tries.
 

@@ -25,7 +25,7 @@ def classify_comments(answers: DataFrame, client: M.ClientFactory, settings: Set
     call, `unreadable`, `unknown category`, `confidence` or `severity` (missing or outside 0 to 1), `no text`.
     """
     comments = M.with_prompt(fuse_comments(answers, *KEY), M.classify_prompt(settings.category_labels))
-    replied = M.generate_text(comments, client, settings.classification_options)
+    replied = M.generate_text(comments, client, settings.classification_options, store=settings.reply_store)
     read = replied.select(*KEY, "comment", F.col(M.RESULT).alias("reply"), F.col(M.STATUS).alias("_status"), parse_classification(F.col(M.RESULT)).alias("_r"))
     rows = read.select(*KEY, "comment", "reply", "_status", *[F.col(f"_r.{f}").alias(f) for f in FIELDS])
     share = lambda name: F.coalesce(F.col(name).between(0, 1), F.lit(False))

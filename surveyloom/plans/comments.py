@@ -57,7 +57,7 @@ def translate_comments(
     `status` adds that column, "" for an answered call and the error for a failed one.
     """
     comments = M.with_prompt(brand_comments(answers, settings.brand_prefixes), M.TRANSLATE_PROMPT)
-    replied = M.generate_text(comments, client, settings.translation_options)
+    replied = M.generate_text(comments, client, settings.translation_options, store=settings.reply_store)
     return replied.select(
         "survey_h_hid",
         "invitation_date",
@@ -84,7 +84,7 @@ def categorise_comments(
     """
     comments = fuse_comments(answers, "survey_h_hid", "invitation_date")
     prompted = M.with_prompt(comments, M.category_prompt(settings.category_labels))
-    replied = M.generate_text(prompted, client, settings.category_options)
+    replied = M.generate_text(prompted, client, settings.category_options, store=settings.reply_store)
     result = replied.select(
         "survey_h_hid",
         "invitation_date",

@@ -165,6 +165,7 @@ class Settings:
     translation_options: ModelOptions = ModelOptions(temperature=0.2)
     classification_options: ModelOptions = ModelOptions(temperature=0.1)
     category_options: ModelOptions = ModelOptions(temperature=0.1)
+    reply_store: str | None = None  # shared folder that keeps model replies; none keeps none
     routing: Routing = Routing()
     similarity: Similarity = Similarity()
     sla: tuple[SlaRule, ...] = (
@@ -198,6 +199,7 @@ class Settings:
             "routing": lambda v: Routing(**{**v, **({"weights": tuple(v["weights"])} if "weights" in v else {})}),
             "similarity": lambda v: Similarity(**v),
             "sla": lambda v: tuple(SlaRule(**r) for r in v),
+            "reply_store": lambda v: v,
             "exam_cutover": dt.date.fromisoformat,
             "critical_keywords": lambda v: {k: tuple(words) for k, words in v.items()},
             "survey_families": lambda v: tuple((name, tuple(types)) for name, types in v),
