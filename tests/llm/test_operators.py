@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -126,6 +127,58 @@ def test_items_at_the_allowed_distance_are_found_at_every_length(spread):
         assert found == brute
 
 
+@pytest.mark.parametrize("kind", ["changed", "any", "spread"])
+def test_walks_alone_find_nine_of_ten(kind):
+    """Without the runs, items at the allowed distance are found by a sampled walk over their own words."""
+    rng = np.random.default_rng(11)
+    words = [f"v{i}" for i in range(4000)]
+    for n in (8, 9, 10, 11, 12, 15, 16, 20, 23, 24, 28, 31, 38, 60):
+        items = [rng.choice(words, n).tolist() for _ in range(100)]
+        index = decontaminate.build_index(list(range(len(items))), [" ".join(x) for x in items], runs=False)
+        assert not index.widths
+        at = [sorted(rng.choice(n, n // 4, replace=False).tolist()) for _ in items]
+        changed = [[f"n{i}" if i in gone else word for i, word in enumerate(x)] for x, gone in zip(items, at)]
+        bodies = changed if kind == "changed" else [_edited(rng, x, n // 4, kind == "spread") for x in items]
+        texts = [" ".join([*rng.choice(words, 9), *x, *rng.choice(words, 9)]) for x in bodies]
+        found = decontaminate.matches(pa.array(texts), index)
+        assert len({d for d, i, _, _ in found if d == i}) >= 90, (n, len(found))
+
+
+@pytest.mark.parametrize("rest", ["absent", "there"])
+def test_items_that_begin_alike_take_bounded_memory(rest):
+    """400 items of one beginning, in half a megabyte of it: with the items' other words absent, or all there."""
+    items = [f"which of the x{i} y{i} z{i} u{i} v{i} w{i}" for i in range(400)]
+    index = decontaminate.build_index(list(range(400)), items)
+    others = [" ".join(x.split()[3:]) for x in items] if rest == "there" else []
+    text = " ".join(["which of the " * 40_000, *others, items[7]])
+    tracemalloc.start()
+    found = decontaminate.matches(pa.array([text, items[3]]), index)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(0, 7, 0), (1, 3, 0)} <= {x[:3] for x in found}
+    assert {i for d, i, _, _ in found if d == 0} <= set(range(400)) and peak < 300 << 20
+
+
+def test_blocks_of_the_benchmark_give_the_same_rows(spark, monkeypatch):
+    """Many small blocks, repeated items and a text id: the rows of one block, each copy once."""
+    rng = np.random.default_rng(5)
+    words = [f"v{i}" for i in range(60)]
+    items = [" ".join(rng.choice(words, int(rng.integers(1, 20)))) for _ in range(60)]
+    texts = [" ".join([*rng.choice(words, 30), items[i % 60], *rng.choice(words, 5)]) for i in range(40)]
+    rows = [(f"b{i}", x) for i, x in enumerate(items)] + [("b3", items[3]), ("b4", "another one"), ("none", None), ("empty", "")]
+    benchmark = spark.createDataFrame(rows, "item_id string, text string")
+    docs = spark.createDataFrame([(i, x, "en", "s", 0) for i, x in enumerate([*texts, None, ""])], SCHEMA)
+    whole = sorted(map(tuple, decontaminate.contamination(docs, benchmark).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)
+    assert sorted(map(tuple, decontaminate.contamination(docs, benchmark).collect())) == whole
+    index = decontaminate.build_index([x[0] for x in rows], [x[1] or "" for x in rows])
+    assert whole == sorted((d, rows[i][0], *x) for d, i, *x in decontaminate.matches(pa.array([*texts, None, ""]), index))
+    clean = {r["doc_id"] for r in decontaminate.decontaminated(docs, benchmark).collect()}
+    assert clean == set(range(42)) - {x[0] for x in whole}
+    nothing = benchmark.where("item_id = 'none'")
+    assert decontaminate.contamination(docs, nothing).count() == 0 and decontaminate.decontaminated(docs, nothing).count() == 42
+
+
 def test_short_items_are_found():
     """At 25 per cent one edit in items of 4 to 7 words, none below; an item without words is nowhere."""
     words = "zero one two three four five six".split()
