@@ -38,11 +38,15 @@ def sampling_key(doc_id: Column, weight: Column, seed: str) -> Column:
     return -F.log((digits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 48))) / weight
 
 
-def _keyed(docs: DataFrame, seed: str) -> list[Column]:
-    return [
-        n_words(F.col("text")).alias("_size"),
-        sampling_key(F.col("doc_id"), quality_weight(F.col("text")), seed).alias("_key"),
-    ]
+def given_weight(name: str) -> Column:
+    """A column of weights, for example a classifier's scores: from 0.01 up; 0.01 for null, NaN and what is less."""
+    given = F.col(f"`{name.replace('`', '``')}`").cast("double")
+    return F.greatest(F.lit(0.01), F.when(F.isnan(given), 0.01).otherwise(F.coalesce(given, F.lit(0.01))))
+
+
+def _key(seed: str, weight: str | None) -> Column:
+    weights = quality_weight(F.col("text")) if weight is None else given_weight(weight)
+    return sampling_key(F.col("doc_id"), weights, seed).alias("_key")
 
 
 def targets(sizes: DataFrame, weights: Sequence[int], share: float, most: int) -> DataFrame:
@@ -74,13 +78,14 @@ def targets(sizes: DataFrame, weights: Sequence[int], share: float, most: int) -
     return filled.crossJoin(F.broadcast(level)).select("source", "source_size", target.alias("target"))  # one row
 
 
-def plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, most: int = 2, seed: str = "mix") -> tuple[DataFrame, DataFrame]:
-    """The documents' sizes and keys (doc_id, source, _size, _key), and the sources' plan.
+def plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, most: int = 2, seed: str = "mix", weight: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The documents' sizes and keys (doc_id, source, _size, _key), and the sources' plan. Sizes and keys are written first, so that
+    the sampling of ranges doesn't read texts again.
 
     The plan has source, source_size, target, epochs and `cut`, the last (key, doc_id) that the rest of the target
     includes: the document at its end is in if at least half of it fits. Null if there is none.
     """
-    slim = docs.select("doc_id", "source", *_keyed(docs, seed))
+    slim = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("_size"), _key(seed, weight)), "keys")
     slim = running(slim, [F.col("source").asc_nulls_last(), F.col("_key").asc(), F.col("doc_id").asc_nulls_last()], {"_before": "_size"}, "source", "mix")
     slim = written(slim, "mixed")
     sizes = slim.groupBy("source").agg(F.sum("_size").alias("source_size"))
@@ -105,7 +110,8 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
     Takes doc_id, text and source; other columns are ignored. Size is the number of words; a null text has none. A null
     source is a source of its own, the last; a null doc_id sorts last. Empty texts take no words. Rows that repeat a
-    doc_id in one source with one weight are taken or left together.
+    doc_id in one source with one weight are taken or left together. `weight` names a column of quality weights (see
+    `given_weight`); without it, the text's own share of characters that aren't marks decides.
     """
     slim, aims = plan(docs, **options)
     joined = slim.join(aims.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
@@ -114,13 +120,13 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
+def mix(docs: DataFrame, seed: str = "mix", weight: str | None = None, **options) -> DataFrame:
     """The mixed documents, each as often as it is taken, with the columns of `docs`, whatever their names."""
-    _, aims = plan(docs, seed=seed, **options)
+    _, aims = plan(docs, seed=seed, weight=weight, **options)
     aims = aims.withColumnRenamed("source", "_source")
 
     def repeated(slim: DataFrame) -> DataFrame:
-        joined = slim.select("*", *_keyed(slim, seed)).join(aims, F.col("source").eqNullSafe(F.col("_source")))
+        joined = slim.select("*", _key(seed, weight)).join(aims, F.col("source").eqNullSafe(F.col("_source")))
         return joined.withColumn("_times", _times("_source")).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
 
-    return carried(docs, ("doc_id", "text", "source"), repeated)
+    return carried(docs, ("doc_id", "text", "source", weight), repeated)

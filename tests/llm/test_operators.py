@@ -10,7 +10,7 @@ import pytest
 
 from surveyloom.llm import decontaminate, html_text, suffix_dedup
 from surveyloom.llm.jaccard_join import jaccard_join
-from surveyloom.llm.mixing import mix_report
+from surveyloom.llm.mixing import mix, mix_report
 from surveyloom.llm.recompression import recompression_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -90,6 +90,20 @@ def test_mix_meets_its_targets(docs):
     assert all(0 <= r["taken"] <= 2 * r["size"] and r["target"] <= 2 * r["source_size"] for r in rows)
 
 
+def test_mix_by_given_weights(spark):
+    """Scores passed in as a column decide who is taken more often; null, NaN and negative scores weigh least; `mix` agrees with the report."""
+    scores = [0.99, 0.02, None, float("nan"), -1.0]
+    docs = spark.createDataFrame([(i, "a b c", "s" if i % 2 else None, scores[i % 5]) for i in range(2000)], "doc_id long, text string, source string, `my``score` double")
+    options = {"share": 0.3, "weight": "my`score"}
+    report = {r["doc_id"]: r["times"] for r in mix_report(docs, **options).collect()}
+    taken = [sum(n for i, n in report.items() if i % 5 == k) for k in range(5)]
+    assert taken[0] > 350 and max(taken[1:]) < 100 and sum(taken) in (599, 600, 601)
+    mixed = mix(docs, **options)
+    assert mixed.columns == docs.columns
+    rows = [r["doc_id"] for r in mixed.collect()]
+    assert sorted(rows) == sorted(i for i, n in report.items() for _ in range(n))
+
+
 def test_edited_items_are_found():
     item = " ".join(f"i{k}" for k in range(40))
     edited = item.replace("i7 ", "").replace("i20", "changed")
