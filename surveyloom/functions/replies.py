@@ -57,8 +57,18 @@ def parse_category(reply: Column) -> Column:
     return F.coalesce(json_scalar(reply, key), json_scalar(extract_or_null(reply, ANY_FENCE), key))
 
 
-def parse_classification(reply: Column) -> Column:
+def classification_body(reply: Column) -> Column:
+    """What is inside the fence of a reply, else the reply."""
+    fenced = F.nullif(F.regexp_extract(reply, ANY_FENCE, 1), F.lit(""))  # a match holds two braces at least
+    return F.coalesce(fenced, reply)
+
+
+def read_classification(body: Column) -> Column:
     """Struct of category, confidence, severity and readable text; null fields if unreadable."""
     schema = "category string, confidence double, severity double, translation string"
-    body = F.coalesce(extract_or_null(reply, ANY_FENCE), reply)
     return F.from_json(F.when(_closed(body).isNotNull(), body).otherwise(F.lit("{}")), schema)
+
+
+def parse_classification(reply: Column) -> Column:
+    """Both steps. Each use of a column is evaluated again, so long replies better take them one after the other."""
+    return read_classification(classification_body(reply))

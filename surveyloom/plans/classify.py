@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.functions.replies import parse_classification
+from surveyloom.functions.replies import classification_body, read_classification
 from surveyloom.operators import model as M
 from surveyloom.plans.comments import daily_slice, fuse_comments
 from surveyloom.session import scratch
@@ -26,7 +26,10 @@ def classify_comments(answers: DataFrame, client: M.ClientFactory, settings: Set
     """
     comments = M.with_prompt(fuse_comments(answers, *KEY), M.classify_prompt(settings.category_labels))
     replied = M.generate_text(comments, client, settings.classification_options, store=settings.reply_store)
-    read = replied.select(*KEY, "comment", F.col(M.RESULT).alias("reply"), F.col(M.STATUS).alias("_status"), parse_classification(F.col(M.RESULT)).alias("_r"))
+    # Exploded from arrays of one: what is read once stays read, where a plain column would be worked out again for each use.
+    once = lambda col, name: F.explode(F.array(col)).alias(name)
+    said = replied.select(*KEY, "comment", F.col(M.RESULT).alias("reply"), F.col(M.STATUS).alias("_status"), once(classification_body(F.col(M.RESULT)), "_body"))
+    read = said.select(*KEY, "comment", "reply", "_status", once(read_classification(F.col("_body")), "_r"))
     rows = read.select(*KEY, "comment", "reply", "_status", *[F.col(f"_r.{f}").alias(f) for f in FIELDS])
     share = lambda name: F.coalesce(F.col(name).between(0, 1), F.lit(False))
     problem = (

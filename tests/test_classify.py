@@ -120,3 +120,11 @@ def test_qa_sample_of_a_fixed_size(spark, per_day):
     for stratum, n in sizes.items():  # each by its share, to less than one
         assert abs(drawn[stratum] - min(per_day, unseen[stratum[0]]) * n / unseen[stratum[0]]) < 1
     assert {r.survey_id for r in quality.qa_sample_fixed(df.repartition(5), per_day).collect()} == {r.survey_id for r in got}
+
+
+def test_a_reply_is_read_once_however_often_it_is_asked_about(spark):
+    """A filter on what was read must not read the reply again for each field and each use."""
+    rows = classify.classify_comments(answers(spark, ["bare"]), saying({"bare": good()}))
+    for part in (classify.accepted(rows), classify.refused(rows)):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == plan.count("regexp_extract") == 1
