@@ -30,6 +30,7 @@ from surveyloom.session import new_folder, ship_package
 END_ID = 1
 NO_ID = np.iinfo(np.int64).max
 CACHED_UNITS = 250_000
+PIECE = 2 << 20  # bytes of text that are encoded at once
 
 
 #: What a byte can be: part of a letter, ASCII punctuation, or anything else.
@@ -150,13 +151,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder:
     files.create_dir(root, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.release(_encoder)  # what the stages before have left in this worker
         files, root = fs.FileSystem.from_uri(folder)
         part = TaskContext.get().partitionId()
         stem = f"{root}/{part:06d}-{uuid.uuid4().hex}"
         encoder = _encoder(tokenizer)
         counts, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         with files.open_output_stream(f"{stem}.tokens") as sink:
-            for piece in arrays.parts(batches, "text"):
+            for piece in arrays.parts(batches, "text", PIECE):
                 tokens, sizes = encoder.encode(piece.column("text"), end_id)
                 sink.write(tokens.tobytes())
                 counts.append(sizes)
