@@ -110,3 +110,32 @@ def test_a_case_handled_before_it_arrives_and_one_opened_twice(spark, tmp_path):
     missed = deadlines.missed_deadlines(*streams, rules)
     run(jobs.start_table(missed, str(tmp_path / "out"), str(tmp_path / "cp"), 2, timers=True))
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("a", "high", at(4), "boss"), ("c", "high", at(5), "boss"), ("early", "high", at(7), "boss")]
+
+
+def test_cases_share_a_row_of_state_and_none_is_lost(spark, tmp_path):
+    rules = (SlaRule("high", 0.8, 4, "boss"), SlaRule("low", 0.0, 10, "lead"))
+    case = lambda i: (f"case {i}", at(i % 7), 0.9 if i % 3 else 0.1)
+    end = [[(f"tick {i}", at(50 + i), 0.9)] for i in range(2)]
+    opened = [[case(i) for i in range(200)], [case(i) for i in range(200, 400)], *end]
+    done = {i: i % 7 + i % 13 for i in range(400) if i % 5}  # the hour in which a case is handled
+    handled = [[(f"case {i}", at(h)) for i, h in done.items() if i % 2 == batch] for batch in range(2)] + [[row[:2] for row in rows] for rows in end]
+    streams = [
+        feed(spark, tmp_path / "opened", *opened, schema="case_id string, ts timestamp, severity double"),
+        feed(spark, tmp_path / "handled", *handled, schema="case_id string, ts timestamp"),
+    ]
+    missed = deadlines.missed_deadlines(*streams, rules, delay="12 hours")
+    query = jobs.start_table(missed, str(tmp_path / "out"), str(tmp_path / "cp"), 2, timers=True)
+    run(query)
+    want = []
+    for i in range(400):
+        band, hours, owner = ("high", 4, "boss") if i % 3 else ("low", 10, "lead")
+        if i not in done or done[i] - i % 7 > hours:
+            want.append((f"case {i}", band, at(i % 7 + hours), owner))
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == sorted(want, key=str)
+    counts = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+
+    few = deadlines.missed_deadlines(*streams, rules, delay="12 hours", buckets=3)
+    query = jobs.start_table(few, str(tmp_path / "few"), str(tmp_path / "cp-few"), 2, timers=True)
+    run(query)
+    assert rows(spark.read.parquet(str(tmp_path / "few"))) == sorted(want, key=str)
+    assert 0 < max(p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators) < max(counts) / 20
