@@ -12,6 +12,7 @@ from surveyloom import settings as S
 from surveyloom.functions.codes import any_flag, family_of, percent_score, unify_score
 from surveyloom.functions.dates import dated_rule
 from surveyloom.operators.dimensions import NO_KEY, left_join_sparse, spread_nulls
+from surveyloom.session import fine_partitions
 
 FLAGS = (
     "optical_flag",
@@ -95,12 +96,13 @@ def product_flags(surveys: DataFrame, receipts: DataFrame) -> DataFrame:
 
     `surveys` holds the dimensions, `survey_h_hid` and `receipt_h_hid`. The result is
     partitioned by survey, which the join with the answers and the count per survey use
-    as it is. Surveys without an id are taken apart by their dimensions.
+    as it is: this stage folds whole rows five times, so its partitions are small and aren't
+    coalesced. Surveys without an id are taken apart by their dimensions.
     """
     flagged = left_join_sparse(surveys, receipt_flags(receipts), "receipt_h_hid", "survey_h_hid")
     return (
         flagged.withColumn("_survey", spread_nulls(F.col("survey_h_hid"), *SURVEY_DIMENSIONS))
-        .repartition("_survey")
+        .repartition(fine_partitions(surveys.sparkSession), "_survey")
         .groupBy("_survey", *SURVEY_DIMENSIONS)
         .agg(F.coalesce(F.bit_or("flags"), F.lit(0)).alias("flags"))
     )

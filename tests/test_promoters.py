@@ -215,6 +215,15 @@ def test_survey_key_is_shuffled_once(spark):
     assert plan.count("Exchange hashpartitioning(_survey") == 1
 
 
+def test_wide_rows_are_folded_in_small_partitions(spark):
+    """Small by bytes, the partitions of the survey fold must not be put together: its rows stand in memory several times."""
+    sources = build(spark, [(str(i), JAN, "Optical", None, "h1") for i in range(2000)], results=[answer("1", "9")])
+    scored = scorecard.scored_surveys(sources, as_of=AS_OF)
+    sizes = [r["count"] for r in scored.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 100
+    assert len(sizes) > 8 * spark.sparkContext.defaultParallelism
+
+
 def test_hot_null_header_is_spread(spark):
     """A third of the rows without a header must not meet in one task."""
     from surveyloom.operators.dimensions import spread_nulls
