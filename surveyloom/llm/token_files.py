@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,8 +32,12 @@ END_ID = 1
 NO_ID = np.iinfo(np.int64).max
 CACHED_UNITS = 250_000
 PIECE = 2 << 20  # bytes of text that are encoded at once
+GROUP = 16  # runs of letters that are encoded as one text
 
 
+#: A run of the letters that `_units` knows. Lower case leaves each of them one letter.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+
 #: What a byte can be: part of a letter, ASCII punctuation, or anything else.
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
@@ -87,6 +92,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)  # ids with which a run of letters ends
+        if suffix:
+            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self):
@@ -94,6 +103,21 @@ class Encoder:
         self.sizes = np.empty(0, np.int64)  # of known units, in the order of their numbers
         self.ids = np.empty(0, self.dtype)
 
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts one after another, and how many each has."""
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), self.dtype, int(sizes.sum())), sizes
+
+    def _encoded_runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As `_encoded` for runs of letters: many are one text with blanks between them, as a text costs more than a short run.
+
+        The ids that end a run tell them apart. If there are more or fewer than runs, the tokenizer cuts runs in another way, and each is encoded alone.
+        """
+        ids, _ = self._encoded([" ".join(runs[i : i + GROUP]) for i in range(0, len(runs), GROUP)])
+        sizes = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        return (ids, sizes) if len(sizes) == len(runs) and sizes.sum() == len(ids) else self._encoded(runs)
+
     def _numbers(self, units: list[str]) -> np.ndarray:
         """The units' numbers; new ones are encoded."""
         if len(self.known) > CACHED_UNITS:
@@ -101,12 +125,14 @@ class Encoder:
         out = np.fromiter(map(self.known.get, units, itertools.repeat(-1)), np.int64, len(units))
         new = np.flatnonzero(out < 0)
         if len(new):
-            found = [x.ids for x in self.tokenizer.encode_batch_fast([units[i] for i in new], add_special_tokens=False)]
+            is_run = np.fromiter((_LETTERS(units[i]) is not None for i in new), bool, len(new))
+            new = np.concatenate([new[is_run], new[~is_run]])
             out[new] = np.arange(len(self.known), len(self.known) + len(new))
-            self.known.update(zip([units[i] for i in new], out[new].tolist()))
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(found), self.dtype, int(sizes.sum()))])
+            fresh, n = [units[i] for i in new], int(is_run.sum())
+            self.known.update(zip(fresh, out[new].tolist()))
+            found = [encoded(some) for encoded, some in ((self._encoded_runs, fresh[:n]), (self._encoded, fresh[n:])) if some]
+            self.sizes = np.concatenate([self.sizes, *(sizes for _, sizes in found)])
+            self.ids = np.concatenate([self.ids, *(ids for ids, _ in found)])
         return out
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -149,3 +149,39 @@ def test_different_texts_of_one_id_stay(spark):
     assert out.columns == docs.columns
     found = sorted(((r["doc_id"], r["text"] or "") for r in out.collect()), key=str)
     assert found == sorted([(3, one + " end"), (5, two), (5, other), (None, one), (7, "")], key=str)
+
+
+def test_runs_of_letters_are_encoded_together():
+    """As the tokenizer reads them one by one, with few calls; other units, and those of a tokenizer without ends of words, stay alone."""
+    import pyarrow as pa
+    import public_tokenizers
+
+    from surveyloom.llm.token_files import Encoder
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words = [f"{a}{b}{c}" for a in ("str", "ÉÀ", "İx", "q", "ß", "Ａ", "µ", "ſ") for b in ("an", "'s", "ö", "3", "</w>", "—", "<|endoftext|>", "é") for c in ("ge", "", "X", "~", "~~a")]
+    words += ["</w>", "w", "́a", "x y", "　", "'s", "don't", "ÿ" * 300, "​"]
+    texts = [" ".join(words), *words, " ".join(f"wo{chr(97 + i % 26)}{chr(97 + i // 26)}rd" for i in range(600))]
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.texts = inner, 0
+
+        def encode_batch_fast(self, texts, **how):
+            self.texts += len(texts)
+            return self.inner.encode_batch_fast(texts, **how)
+
+    encoder = Encoder(path)
+    plain = encoder.tokenizer
+    want = [i for t in texts for i in [*plain.encode(t, add_special_tokens=False).ids, 1]]
+    encoder.tokenizer = Counting(plain)
+    ids, sizes = encoder.encode(pa.array(texts), 1)
+    assert ids.tolist() == want and sizes.sum() == len(want)
+    before = encoder.tokenizer.texts
+    encoder._forget()
+    encoder.encode(pa.array(texts[-1:]), 1)
+    assert encoder.tokenizer.texts - before <= 600 / 10
+
+    encoder._forget()
+    encoder.ends[:] = False
+    assert encoder.encode(pa.array(texts), 1)[0].tolist() == want
